@@ -1,4 +1,6 @@
 """All registered queries."""
 
-from gradeloom.plans import queries_prepare, queries_scoring  # noqa: F401
+from gradeloom.plans import (  # noqa: F401
+    queries_compare, queries_judge, queries_prepare, queries_scoring, queries_trainlog,
+)
 from gradeloom.plans.registry import ORACLES, QUERIES  # noqa: F401
