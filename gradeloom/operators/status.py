@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,49 +128,64 @@ def status_summary(
     )
 
 
-def build_status(
+def uncovered_by_run(breakdown: DataFrame, runs: DataFrame, tags: DataFrame) -> DataFrame:
+    """Tags of each run's manifest that the run does not test."""
+    wanted = runs.select("run_id", "manifest").join(tags.select("manifest", F.col("tag").alias("name")), "manifest")
+    tested = breakdown.select("run_id", F.col("convention").alias("name"))
+    return wanted.drop("manifest").join(tested, ["run_id", "name"], "left_anti")
+
+
+def status_parts(
     results: DataFrame,
     runs: DataFrame,
-    manifest_tags_df: DataFrame | None = None,
+    tags: DataFrame | None = None,
     manifest_meta: DataFrame | None = None,
-) -> DataFrame:
-    """The whole status as rows ``(run_id, section, rank, name, item)``; ``item`` is JSON.
-
-    Lists stay rows because some have no bound (every boilerplate case is one item).
-    ``rank`` orders a section. See :func:`gradeloom.sources.sinks.write_status` for nested
-    documents of runs whose lists are small.
-    """
+) -> dict[str, DataFrame]:
+    """The parts of a status as tables: summary, boost, skip, uncovered, boilerplate and seed."""
     breakdown = tag_breakdown(results)
     boost = boost_tags(breakdown)
+    parts = {
+        "summary": status_summary(results, runs, manifest_meta),
+        "boost": boost,
+        "skip": skip_tags(breakdown),
+        "boilerplate": boilerplate_cases(results),
+        "seed": seed_candidates(results, boost),
+    }
+    if tags is not None:
+        parts["uncovered"] = uncovered_by_run(breakdown, runs, tags)
+    return parts
+
 
-    def rows(df: DataFrame, section: str, rank, name: str, fields: list[str]) -> DataFrame:
+SEED_FIELDS = ("id", "label", "score", "conventions_tested", "prompt", "expected", "generated")
+
+
+def build_status(parts: dict[str, DataFrame]) -> DataFrame:
+    """The whole status as rows ``(run_id, section, rank, name, item)``; ``item`` is JSON.
+
+    Lists stay rows because some have no bound (every boilerplate case is one item);
+    ``rank`` and ``name`` order a section. For nested documents of runs whose lists are
+    small see :func:`gradeloom.sources.sinks.status_documents`.
+    """
+    zero = F.lit(0.0)
+    rank = {
+        "summary": zero,
+        "boost": priority_rank(F.col("priority")) + F.col("avg_score"),
+        "skip": F.col("avg_score"),
+        "boilerplate": F.col("ord"),
+        "seed": F.coalesce(F.col("rank"), F.lit(0)),
+        "uncovered": zero,
+    }
+    name = {"summary": "action", "boilerplate": "func"}
+    hidden = ("run_id", "ord", "rank")
+
+    def rows(section: str, df: DataFrame) -> DataFrame:
+        fields = SEED_FIELDS if section == "seed" else [c for c in df.columns if c not in hidden]
         return df.select(
             "run_id",
             F.lit(section).alias("section"),
-            rank.cast("double").alias("rank"),
-            F.col(name).alias("name"),
+            rank[section].cast("double").alias("rank"),
+            F.col(name.get(section, "name")).alias("name"),
             F.to_json(F.struct(*fields)).alias("item"),
         )
 
-    zero = F.lit(0.0)
-    summary = status_summary(results, runs, manifest_meta)
-    parts = [
-        rows(summary, "summary", zero, "action", [c for c in summary.columns if c != "run_id"]),
-        rows(boost, "boost", priority_rank(F.col("priority")) + F.col("avg_score"), "name",
-             ["name", "avg_score", "n_holdout_examples", "priority"]),
-        rows(skip_tags(breakdown), "skip", F.col("avg_score"), "name", ["name", "avg_score", "reason"]),
-        rows(boilerplate_cases(results), "boilerplate", F.col("ord"), "func", ["func", "score", "length_ratio"]),
-        rows(seed_candidates(results, boost), "seed", F.coalesce(F.col("rank"), F.lit(0)), "name",
-             ["id", "label", "score", "conventions_tested", "prompt", "expected", "generated"]),
-    ]
-    if manifest_tags_df is not None:
-        wanted = runs.select("run_id", "manifest").join(
-            manifest_tags_df.select("manifest", F.col("tag").alias("name")), "manifest"
-        ).drop("manifest")
-        tested = breakdown.select("run_id", F.col("convention").alias("name"))
-        missing = wanted.join(tested, ["run_id", "name"], "left_anti")
-        parts.append(rows(missing, "uncovered", zero, "name", ["name"]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, [rows(section, df) for section, df in parts.items()])

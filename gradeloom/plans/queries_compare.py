@@ -184,54 +184,54 @@ def _(spark, sf):
 
 # ---------------------------------------------------------------- rules over event values
 
-def verdicts(spark, sf, **columns):
+def verdicts(spark, sf, rule):
     """Rules over two scores in [0, 1) and a count made from each event."""
     ev = table(spark, sf, "events").select(
         "event_id", (F.pmod("event_id", F.lit(100)) / 100).alias("a"), (F.floor("value") % 100 / 100).alias("b"),
         F.pmod("user_id", F.lit(20)).alias("n"),
     )
+    columns = rule(F.col("a"), F.col("b"), F.col("n"))
     return ev.select("event_id", *[c.alias(name) for name, c in columns.items()])
 
 
 V = "WITH v AS (SELECT event_id, (event_id % 100) / 1e2 AS a, (CAST(floor(value) AS BIGINT) % 100) / 1e2 AS b, user_id % 20 AS n FROM events) "
-A, Bc, N = F.col("a"), F.col("b"), F.col("n")
 
 
 @query("boost_priority", V + """SELECT event_id, CASE WHEN n >= 10 AND a < 5e-1 THEN 'critical' WHEN a < 3e-1 THEN 'high' WHEN a < 5e-1 THEN 'medium' ELSE 'low' END AS priority FROM v""")
 def _(spark, sf):
-    return verdicts(spark, sf, priority=rules.boost_priority(A, N))
+    return verdicts(spark, sf, lambda a, b, n: {"priority": rules.boost_priority(a, n)})
 
 
 @query("skip_reason", V + "SELECT event_id, CASE WHEN a >= 8e-1 THEN 'EXCELLENT' ELSE 'GOOD' END AS reason FROM v")
 def _(spark, sf):
-    return verdicts(spark, sf, reason=rules.skip_reason(A))
+    return verdicts(spark, sf, lambda a, b, n: {"reason": rules.skip_reason(a)})
 
 
 @query("next_action", V + "SELECT event_id, CASE WHEN n > 5 THEN 'GENERATE_DATA' WHEN a < 6e-1 THEN 'TRAIN' WHEN a >= 8e-1 THEN 'DONE' ELSE 'EVAL' END AS action FROM v")
 def _(spark, sf):
-    return verdicts(spark, sf, action=rules.next_action(F.when(N > 5, N).otherwise(0), A))
+    return verdicts(spark, sf, lambda a, b, n: {"action": rules.next_action(F.when(n > 5, n).otherwise(0), a)})
 
 
 @query("delta_verdict", V + "SELECT event_id, CASE WHEN a - b > 5e-2 THEN 'helping' WHEN a - b < -5e-2 THEN 'hurting' ELSE 'minimal effect' END AS verdict FROM v")
 def _(spark, sf):
-    return verdicts(spark, sf, verdict=rules.delta_verdict(A, Bc))
+    return verdicts(spark, sf, lambda a, b, n: {"verdict": rules.delta_verdict(a, b)})
 
 
 @query("diagnosis", V + """SELECT event_id, CASE WHEN a < b - 5e-2 THEN 'hurting' WHEN a - b < 5e-2 THEN 'no effect' WHEN a < 35e-2 THEN 'undertrained' WHEN a < 6e-1 THEN 'working' ELSE 'good' END AS both,
   CASE WHEN a < 35e-2 THEN 'undertrained' WHEN a < 6e-1 THEN 'working' ELSE 'good' END AS alone FROM v""")
 def _(spark, sf):
-    return verdicts(spark, sf, both=rules.diagnosis(A, Bc), alone=rules.diagnosis(A))
+    return verdicts(spark, sf, lambda a, b, n: {"both": rules.diagnosis(a, b), "alone": rules.diagnosis(a)})
 
 
 @query("is_strong", V + "SELECT event_id, a >= 8e-1 AS strong FROM v")
 def _(spark, sf):
-    return verdicts(spark, sf, strong=rules.is_strong(A))
+    return verdicts(spark, sf, lambda a, b, n: {"strong": rules.is_strong(a)})
 
 
 @query("trend", V + """SELECT event_id, CASE WHEN a > b THEN '▲' WHEN a < b THEN '▼' ELSE '─' END AS arrow,
   CASE WHEN abs(a - b) < 5e-3 THEN '→' WHEN a > b THEN '▲' ELSE '▼' END AS tag_arrow FROM v""")
 def _(spark, sf):
-    return verdicts(spark, sf, arrow=trend(A - Bc), tag_arrow=trend(A - Bc, compare.TAG_DEAD_ZONE))
+    return verdicts(spark, sf, lambda a, b, n: {"arrow": trend(a - b), "tag_arrow": trend(a - b, compare.TAG_DEAD_ZONE)})
 
 
 @query("loss_health", "SELECT event_id, CASE WHEN value / 100 > 1 THEN 'not converged' WHEN value / 100 < 15e-2 THEN 'overfit' ELSE 'ok' END AS health FROM events")

@@ -245,6 +245,10 @@ EXAMPLE_BLOCK_SQL = """'```json' || chr(10) || '{' || chr(10) || '  "endpoint":
 # ---------------------------------------------------------------- logs
 
 def log_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines_of(table(spark, sf, "events"))
+
+
+def lines_of(events: DataFrame) -> DataFrame:
     """Trainer and run-log lines, one per event: the run is the user, order is the event id."""
     value, epoch = F.col("value").cast("string"), F.lpad(F.pmod("event_id", F.lit(100)).cast("string"), 2, "0")
     quote = F.when(F.col("event_type") == "view", "'").otherwise("")
@@ -252,7 +256,7 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("{'loss': "), quote, value, quote, F.lit(", 'grad_norm': 1.5, 'epoch': "), quote, F.lit("0."), epoch, quote, F.lit("}")
     )
     line = F.when(F.col("event_type") == "error", F.concat(F.lit("{'train_loss': "), value, F.lit("}"))).otherwise(loss_line)
-    return table(spark, sf, "events").select(
+    return events.select(
         F.col("user_id").alias("run"),
         F.col("event_id").alias("ord"),
         "ts",
@@ -270,12 +274,11 @@ LOG_LINES_SQL = """log_lines AS (
         ELSE '{''loss'': ' || q || value || q || ', ''grad_norm'': 1.5, ''epoch'': ' || q || '0.' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') || q || '}' END AS line
     FROM (SELECT *, CASE WHEN event_type = 'view' THEN '''' ELSE '' END AS q FROM events)))"""
 
-POINTS_SQL = LOG_LINES_SQL + r""",
+_LOSS = r"""'''loss'':\s*''?([0-9.eE+-]+)''?.*?''epoch'':\s*''?([0-9.eE+-]+)''?'"""
+POINTS_SQL = LOG_LINES_SQL + f""",
 points AS (
-  SELECT run, ord, TRY_CAST(g[2] AS DOUBLE) AS epoch, TRY_CAST(g[1] AS DOUBLE) AS loss
-  FROM (SELECT *, [regexp_extract(line, p, 1), regexp_extract(line, p, 2)] AS g
-    FROM log_lines, (SELECT '''loss'':\s*''?([0-9.eE+-]+)''?.*?''epoch'':\s*''?([0-9.eE+-]+)''?' AS p))
-  WHERE TRY_CAST(g[1] AS DOUBLE) IS NOT NULL AND TRY_CAST(g[2] AS DOUBLE) IS NOT NULL)"""
+  SELECT run, ord, TRY_CAST(regexp_extract(line, {_LOSS}, 2) AS DOUBLE) AS epoch, TRY_CAST(regexp_extract(line, {_LOSS}, 1) AS DOUBLE) AS loss
+  FROM log_lines WHERE regexp_matches(line, {_LOSS}))"""
 
 
 # ---------------------------------------------------------------- run histories

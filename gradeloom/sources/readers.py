@@ -20,6 +20,10 @@ EXAMPLE_GLOB = "*/training.jsonl"
 # ``<endpoint>/training.jsonl``, the file being one file or a folder of parts; or ``endpoint=<endpoint>/``.
 ENDPOINT_OF_PATH = r"([^/=]+)/(?:training\.jsonl(?:/[^/]*)?|part-[^/]*)$"
 
+# Run documents of our own lie one per folder ``run_id=<run>``.
+RUN_FOLDER = r"/run_id=([^/]+)/[^/]*$"
+RUN_FOLDER_GLOB = "run_id=*/*.json"
+
 
 def _plus(schema: StructType, name: str, kind: str) -> StructType:
     """The schema with one more field; ``StructType.add`` would change it in place."""
@@ -82,7 +86,9 @@ def read_runs(spark: SparkSession, folder: str, on_error: str = "skip", glob: st
     reader = spark.read.option("multiLine", True).option("mode", "FAILFAST" if strict else "PERMISSIVE")
     schema = schemas.RUN if strict else _plus(schemas.RUN, "_corrupt_record", "string")
     docs = reader.schema(schema).json(f"{folder.rstrip('/')}/{glob}")
-    name = file_stem(F.col("_metadata.file_path"))
+    path = F.col("_metadata.file_path")
+    in_folder = F.regexp_extract(path, RUN_FOLDER, 1)
+    name = F.when(in_folder != "", in_folder).otherwise(file_stem(path))
     docs = docs.select("*", name.alias("run_id"), F.col("_metadata.file_modification_time").alias("mtime"))
     if not strict:
         docs = docs.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
@@ -104,13 +110,13 @@ def run_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return runs, tags, results
 
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest in its JSON form; no rows when it is missing.
+def read_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Manifest in its JSON form, or with ``multi_line=False`` one per line; no rows when missing.
 
     ``max_steps`` is null unless it is an integer; ``max_steps_ignored`` then holds its text.
     """
     wanted = F.col("meta.max_steps").try_cast("int")
-    reader = spark.read.schema(schemas.MANIFEST).option("multiLine", True).option("mode", "FAILFAST")
+    reader = spark.read.schema(schemas.MANIFEST).option("multiLine", multi_line).option("mode", "FAILFAST")
     try:
         docs = reader.json(path).withColumn("manifest", file_stem(F.col("_metadata.file_path")))
     except AnalysisException as exc:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.functions.rules import priority_rank
 from gradeloom.operators.aggregate import run_summary, tag_breakdown, tag_scores
-from gradeloom.plans.skew import materialize
+from gradeloom.operators.status import SEED_FIELDS
 
 # Runs with more list items than this are exported as rows only.
 DOCUMENT_ITEMS = 10_000
@@ -100,11 +103,16 @@ def run_documents(results: DataFrame, runs: DataFrame, max_items: int = DOCUMENT
     )
 
 
+def write_documents(documents: DataFrame, path: str) -> None:
+    """One JSON file per run, in a folder named after it."""
+    documents.repartition("run_id").write.mode("overwrite").partitionBy("run_id").json(path)
+
+
 def write_run(results: DataFrame, summary: DataFrame, path: str, runs: DataFrame | None = None) -> None:
     """Rows of every run as Parquet tables by model and run; small runs also as JSON documents."""
     write_tables(path, ["model", "run_id"], run_results=results, run_summary=summary)
     if runs is not None:
-        run_documents(results, runs).write.mode("overwrite").json(f"{path.rstrip('/')}/documents")
+        write_documents(run_documents(results, runs), f"{path.rstrip('/')}/documents")
 
 
 def write_judged(df: DataFrame, path: str) -> None:
@@ -112,19 +120,72 @@ def write_judged(df: DataFrame, path: str) -> None:
     write_tables(path, ["model", "run_id"], judged_results=df)
 
 
-def status_documents(status: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """Nested documents ``(run_id, sections)`` from status rows, for runs up to ``max_items`` rows."""
-    rows = status.join(small_runs(status, max_items), "run_id", "left_semi")
-    entry = F.struct("rank", "name", "item")
-    per_section = rows.groupBy("run_id", "section").agg(F.array_sort(F.collect_list(entry)).alias("items"))
-    return per_section.groupBy("run_id").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("section", F.transform("items", lambda i: i["item"]).alias("items"))))).alias("sections")
+def status_documents(
+    parts: dict[str, DataFrame], runs: DataFrame, generated_at: str | None = None, max_items: int = DOCUMENT_ITEMS
+) -> DataFrame:
+    """One nested status per run from :func:`gradeloom.operators.status.status_parts`.
+
+    Covers runs whose lists hold up to ``max_items`` entries; larger ones are complete in
+    the status rows. ``generated_at`` defaults to the time of the query, in UTC.
+    """
+    lists = {k: v for k, v in parts.items() if k != "summary"}
+    sizes = reduce(DataFrame.unionByName, [df.select("run_id") for df in lists.values()])
+    large = sizes.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_items).select("run_id")
+    doc = parts["summary"].join(large, "run_id", "left_anti")
+
+    def listed(name: str, order: list, fields: list) -> DataFrame:
+        kept = lists[name].join(large, "run_id", "left_anti")
+        entry = F.struct(F.struct(*order).alias("_order"), F.struct(*fields).alias("_item"))
+        return kept.groupBy("run_id").agg(
+            F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_item"]).alias(f"_{name}")
+        )
+
+    boost = listed(
+        "boost", [priority_rank(F.col("priority")).alias("p"), "avg_score", "name"],
+        ["name", "avg_score", "n_holdout_examples", "priority"],
+    )
+    skip = listed("skip", ["avg_score", "name"], ["name", "avg_score", "reason"])
+    cases = listed("boilerplate", ["ord"], ["func", "score", "length_ratio"])
+    seeds = lists["seed"].join(large, "run_id", "left_anti")
+    per_tag = seeds.groupBy("run_id", "name").agg(
+        F.array_sort(F.collect_list(F.when(F.col("rank").isNotNull(), F.struct("rank", *SEED_FIELDS)))).alias("e")
+    )
+    seed_map = per_tag.groupBy("run_id").agg(
+        F.map_from_entries(
+            F.array_sort(
+                F.collect_list(
+                    F.struct("name", F.transform("e", lambda r: F.struct(*[r[f].alias(f) for f in SEED_FIELDS])).alias("examples"))
+                )
+            )
+        ).alias("_seed")
+    )
+    tables = [boost, skip, cases, seed_map]
+    if "uncovered" in lists:
+        tables.append(listed("uncovered", ["name"], ["name"]))
+    for df in tables:
+        doc = doc.join(df, "run_id", "left")
+
+    def or_empty(column: str, empty) -> Column:
+        return F.coalesce(F.col(column), empty.cast(doc.schema[column].dataType))
+
+    nothing = F.array()
+    now = F.lit(generated_at) if generated_at else F.date_format(F.to_utc_timestamp(F.now(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    uncovered = or_empty("_uncovered", nothing) if "uncovered" in lists else F.array().cast("array<struct<name:string>>")
+    return doc.select(
+        "run_id",
+        F.struct(now.alias("generated_at"), "eval_set", "cycle", "action", F.concat("run_id", F.lit(".json")).alias("source_eval")).alias("meta"),
+        F.struct("avg_similarity", "previous_avg", "base_model_avg", "excellent", "good", "partial", "poor", "total").alias("scores"),
+        or_empty("_boost", nothing).alias("boost_conventions"),
+        or_empty("_skip", nothing).alias("skip_conventions"),
+        uncovered.alias("uncovered_conventions"),
+        F.struct("func_start_pct", "boilerplate_detected", or_empty("_boilerplate", nothing).alias("boilerplate_cases")).alias("format_health"),
+        F.coalesce(F.col("_seed"), F.create_map().cast(doc.schema["_seed"].dataType)).alias("seed_candidates"),
     )
 
 
-def write_status(status: DataFrame, path: str) -> None:
-    """Status rows of every run in section order, and documents of runs with short lists."""
-    stored = materialize(status, "status")
+def write_status(status: DataFrame, path: str, documents: DataFrame | None = None) -> None:
+    """Status rows of every run in section order; nested documents one file per run."""
     root = path.rstrip("/")
-    stored.orderBy("run_id", "section", "rank", "name").write.mode("overwrite").json(f"{root}/rows")
-    status_documents(stored).write.mode("overwrite").json(f"{root}/documents")
+    status.orderBy("run_id", "section", "rank", "name").write.mode("overwrite").json(f"{root}/rows")
+    if documents is not None:
+        write_documents(documents, f"{root}/documents")
