@@ -12,25 +12,25 @@ from gradeloom.session import scratch_path
 def drain(stream: DataFrame, label: str, mode: str = "append", key: str = "run") -> DataFrame:
     """Process all input that is there, and return the result table.
 
-    Each micro-batch replaces its own folder, so a batch run again leaves no duplicates. In
-    update mode the table holds the newest row per ``key``.
+    Append output goes through the file sink. In update mode each micro-batch replaces its
+    own folder, so a batch run again leaves no duplicates, and the table holds the newest
+    row per ``key``.
     """
     spark = stream.sparkSession
     root = scratch_path(spark, label)
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/data/batch={batch_id}")
-
-    handle = (
+    writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
-        .foreachBatch(store)
-        .start()
     )
-    handle.awaitTermination()
-    stored = spark.read.schema(StructType(stream.schema.fields).add("batch", "bigint")).parquet(f"{root}/data")
     if mode == "append":
-        return stored.drop("batch")
+        writer.format("parquet").start(f"{root}/data").awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{root}/data")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/data/batch={batch_id}")
+
+    writer.foreachBatch(store).start().awaitTermination()
+    stored = spark.read.schema(StructType(stream.schema.fields).add("batch", "long")).parquet(f"{root}/data")
     newest = Window.partitionBy(key).orderBy(F.col("batch").desc())
     return stored.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n", "batch")
