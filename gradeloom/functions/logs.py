@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # The trainer's metric line and the run log line.
 LOSS_LINE = r"'loss':\s*'?([0-9.eE+-]+)'?.*?'epoch':\s*'?([0-9.eE+-]+)'?"
+LOSS_KEY = "'loss':"
 LOG_LINE = r"(?s)\A\[(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\] \[([^\]]*)\] (.*)\z"
 
 

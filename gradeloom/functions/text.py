@@ -137,7 +137,13 @@ def format_flags(
 
     Lines are split only for texts that contain a boilerplate word at all.
     """
-    text = strip_fences(generated)
+    return flags_of(strip_fences(generated), function_prefix, boilerplate)
+
+
+def flags_of(
+    text: Column, function_prefix: str = FUNCTION_PREFIX, boilerplate: tuple[str, ...] = BOILERPLATE_PREFIXES
+) -> Column:
+    """:func:`format_flags` of text whose fences are already removed."""
 
     def opens(line: Column, prefixes: tuple[str, ...]) -> Column:
         hit = F.lit(False)

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.functions.text import ALL_BANDS, ERROR_BAND, WEAK_SCORE, band, basis_points, exact_round, format_flags, mean_of_points
+from gradeloom.functions.text import ALL_BANDS, ERROR_BAND, WEAK_SCORE, band, basis_points, exact_round, flags_of, mean_of_points, strip_fences
+from gradeloom.plans.once import compute_once
 from gradeloom.plans.skew import top_k
 
 WORST_TAGS = 5
@@ -99,7 +100,9 @@ def top_weak_tags(breakdown: DataFrame, k: int = WORST_TAGS) -> DataFrame:
 
 
 def with_format_flags(results: DataFrame) -> DataFrame:
-    return results.withColumn("flags", format_flags(F.col("generated"))).select("*", "flags.*").drop("flags")
+    """Add ``func_start`` and ``boilerplate``."""
+    bare = results.withColumn("_text", strip_fences(F.col("generated")))
+    return compute_once(bare, {"_flags": flags_of(F.col("_text"))}).select(*results.columns, "_flags.*")
 
 
 def format_health(results: DataFrame) -> DataFrame:

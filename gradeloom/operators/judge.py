@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.text import ERROR_BAND, band, basis_points, mean_of_points, py_strip, stored_score
 from gradeloom.operators.aggregate import band_columns, tag_breakdown
+from gradeloom.plans.once import compute_once
 
 # The fences tolerated around a response, and the reasons of unscored rows.
 RESPONSE_FENCES = r"\A```(?:json)?\n?|\n?```\z"
@@ -53,8 +54,16 @@ def parse_judgement(response: Column, failure: Column | None = None) -> Column:
     A response that is not an object with a numeric score counts 0.0 with a parse error; a
     failed call (its error type in ``failure``) counts 0.0 as well. Scores are not clamped.
     """
-    text = F.regexp_replace(py_strip(response), RESPONSE_FENCES, "")
-    parsed = F.try_parse_json(text)
+    text = response_text(response)
+    return judgement_of(text, F.try_parse_json(text), failure)
+
+
+def response_text(response: Column) -> Column:
+    return F.regexp_replace(py_strip(response), RESPONSE_FENCES, "")
+
+
+def judgement_of(text: Column, parsed: Column, failure: Column | None = None) -> Column:
+    """:func:`parse_judgement` of bare response text and its parsed form."""
     shown = F.try_variant_get(parsed, "$.score", "string")
     truth = F.when(shown == "true", 1.0).when(shown == "false", 0.0)
     kind = F.schema_of_variant(F.try_variant_get(parsed, "$.score", "variant"))
@@ -74,8 +83,11 @@ def parse_judgement(response: Column, failure: Column | None = None) -> Column:
 
 def judgements(responses: DataFrame) -> DataFrame:
     """Parsed responses ``(run_id, rec_id, judge_raw, judge_reason)``."""
-    parsed = parse_judgement(F.col("response"), F.col("failure"))
-    return responses.select("run_id", "rec_id", parsed.alias("j")).select("run_id", "rec_id", "j.*")
+    keys = ["run_id", "rec_id"]
+    texts = responses.select(*keys, "failure", response_text(F.col("response")).alias("_text"))
+    parsed = texts.withColumn("_json", F.try_parse_json("_text"))
+    judged = compute_once(parsed, {"j": judgement_of(F.col("_text"), F.col("_json"), F.col("failure"))})
+    return judged.select(*keys, "j.*")
 
 
 def attach_judgements(results: DataFrame, judged: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions.chat import first_by_role
 from gradeloom.functions.metrics import Metric, metric
 from gradeloom.functions.text import ERROR_BAND, band, basis_points, length_ratio, stored_score
+from gradeloom.plans.once import compute_once
 
 
 def with_defaults(df: DataFrame, order_col: str) -> DataFrame:
@@ -72,16 +73,19 @@ def score_results(answered: DataFrame, by: str | Metric = "char_ratio") -> DataF
     """
     ok = F.col("error").isNull()
     raw = metric(by)(F.when(ok, F.col("expected")), F.when(ok, F.col("generated")))
-    scored = answered.withColumn("_raw", raw).withColumn(
-        "score", F.when(ok, stored_score(F.col("_raw"))).otherwise(F.lit(0.0))
-    )
+    scored = compute_once(
+        answered.withColumn("_raw", raw),
+        {
+            "score": F.when(ok, stored_score(F.col("_raw"))).otherwise(F.lit(0.0)),
+            "band": F.when(ok, band(F.col("_raw"))).otherwise(ERROR_BAND),
+        },
+    ).drop("_raw")
     text = {c: F.when(ok, F.col(c)).otherwise(F.lit("")) for c in ("prompt", "expected", "generated")}
     return scored.withColumns(
         {
             "score_bp": basis_points(F.col("score")),
-            "band": F.when(ok, band(F.col("_raw"))).otherwise(ERROR_BAND),
             "length_ratio": F.when(ok, length_ratio(F.col("generated"), F.col("expected"))).otherwise(F.lit(0.0)),
             "source_file": F.when(ok, F.col("source_file")),
             **text,
         }
-    ).drop("_raw")
+    )

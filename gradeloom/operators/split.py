@@ -23,10 +23,11 @@ def stratified_split(
     """Add ``split`` (``train``/``holdout``): exact shares per stratum from a seeded shuffle.
 
     ``key`` must be unique. Per stratum the first ``max(1, round_half_even(n * frac))``
-    records by hash are the holdout. Sizes are counted per hash bucket; that count names,
-    per stratum, the one bucket the boundary falls into and how many records it still owes.
-    All other records are decided by comparing their bucket, and only the boundary bucket
-    (``16**-digits`` of a stratum) is ranked, so a hot stratum never meets in one task.
+    records by hash are the holdout. Two narrow passes over stratum and key find where that
+    boundary lies: sizes per hash bucket name the bucket it falls into, and ranking that one
+    bucket (``16**-digits`` of a stratum) names the last holdout record. The whole rows are
+    then read once and compared with one boundary per stratum, without being shuffled, so a
+    hot stratum never meets in one task.
     """
     # A null stratum is a stratum too; joins would lose it.
     hashed = df.withColumns(
@@ -34,29 +35,28 @@ def stratified_split(
             "_h": shuffle_hash(F.col(key), seed),
             "_s": F.coalesce(F.col(stratum).cast("string"), F.lit("\0")),
         }
-    ).withColumn("_bucket", F.substring("_h", 1, digits))
-    counts = hashed.groupBy("_s", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    narrow = hashed.select("_s", "_h", F.col(key).alias("_k"), F.substring("_h", 1, digits).alias("_bucket"))
     whole = Window.partitionBy("_s")
     running = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (
-        counts.withColumn("_through", F.sum("_n").over(running))
+        narrow.groupBy("_s", "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_through", F.sum("_n").over(running))
         .withColumn("_quota", F.greatest(F.lit(1), F.bround(F.sum("_n").over(whole) * F.lit(frac))).cast("bigint"))
         .filter((F.col("_through") >= F.col("_quota")) & (F.col("_through") - F.col("_n") < F.col("_quota")))
-        .select(
-            "_s",
-            F.col("_bucket").alias("_cut"),
-            (F.col("_quota") - F.col("_through") + F.col("_n")).alias("_owed"),
-        )
-    )
-    placed = lookup_join(hashed, cuts, ["_s"], [key], label="split-cuts")
-    decided = placed.filter(F.col("_bucket") != F.col("_cut")).withColumn(
-        "split", F.when(F.col("_bucket") < F.col("_cut"), "holdout").otherwise("train")
+        .select("_s", "_bucket", (F.col("_quota") - F.col("_through") + F.col("_n")).alias("_owed"))
     )
-    rank = F.row_number().over(Window.partitionBy("_s").orderBy("_h", key))
-    boundary = placed.filter(F.col("_bucket") == F.col("_cut")).withColumn(
-        "split", F.when(rank <= F.col("_owed"), "holdout").otherwise("train")
+    rank = F.row_number().over(Window.partitionBy("_s").orderBy("_h", "_k"))
+    bounds = (
+        lookup_join(narrow, cuts, ["_s", "_bucket"], ["_k"], label="split-cuts")
+        .withColumn("_rank", rank)
+        .filter(F.col("_rank") == F.col("_owed"))
+        .select("_s", F.struct("_h", "_k").alias("_last"))
     )
-    return decided.unionByName(boundary).select(*df.columns, "split")
+    held = F.struct("_h", F.col(key).alias("_k")) <= F.col("_last")
+    placed = lookup_join(hashed, bounds, ["_s"], [key], label="split-bounds")
+    return placed.withColumn("split", F.when(held, "holdout").otherwise("train")).select(*df.columns, "split")
 
 
 def shuffled(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:

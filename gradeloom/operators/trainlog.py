@@ -7,14 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.functions.logs import parse_loss
+from gradeloom.functions.logs import LOSS_KEY, parse_loss
 from gradeloom.functions.rules import WARNING_EPOCH, WARNING_LOSS, loss_health, step_estimate
+from gradeloom.plans.once import compute_once
 from gradeloom.plans.skew import lookup_join
 
 
 def loss_points(lines: DataFrame, line: str = "line", by: Sequence[str] = ("run", "ord")) -> DataFrame:
-    """``(run, ord, epoch, loss)`` of the lines that carry a loss."""
-    return lines.select(*by, parse_loss(F.col(line)).alias("p")).filter("p IS NOT NULL").select(*by, "p.*")
+    """``(run, ord, epoch, loss)`` of the lines that carry a loss.
+
+    Other lines are dropped on a plain substring first; the pattern runs once per line left.
+    """
+    likely = lines.filter(F.contains(F.col(line), F.lit(LOSS_KEY)))
+    parsed = compute_once(likely.select(*by, line), {"p": parse_loss(F.col(line))})
+    return parsed.filter(F.col("p").isNotNull()).select(*by, "p.*")
 
 
 def loss_summary_columns() -> list[Column]:

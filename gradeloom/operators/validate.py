@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import grade_records
 from gradeloom.functions.text import py_strip
+from gradeloom.plans.once import compute_once
 
 
 def with_ordinal(lines: DataFrame) -> DataFrame:
@@ -48,23 +49,23 @@ def validate_sharegpt(lines: DataFrame, first_n: int | None = None, value: str =
     records = lines.filter(F.length(text) > 0)
     if first_n is not None:
         records = records.filter(F.col("record_no") <= first_n)
-    parsed = F.try_parse_json(text)
-    kind = F.schema_of_variant(parsed)
+    kept = [c for c in lines.columns if c != value]
+    parsed = F.col("_json")
     chats = F.try_variant_get(parsed, "$.conversations", "variant")
     first = F.try_variant_get(parsed, "$.conversations[0]", "variant")
     has_keys = (
-        F.try_variant_get(first, "$.from", "variant").isNotNull()
-        & F.try_variant_get(first, "$.value", "variant").isNotNull()
+        F.try_variant_get(parsed, "$.conversations[0].from", "variant").isNotNull()
+        & F.try_variant_get(parsed, "$.conversations[0].value", "variant").isNotNull()
     )
     reason = (
         F.when(parsed.isNull(), "not valid JSON")
-        .when(~F.startswith(kind, F.lit("OBJECT")), "record is not an object")
+        .when(~F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), "record is not an object")
         .when(chats.isNull(), "no conversations key")
         .when(first.isNull(), "conversations is not a non-empty list")
         .when(~has_keys, "first turn lacks from or value")
     )
-    kept = [c for c in lines.columns if c != value]
-    return records.select(*kept, reason.alias("reason")).filter(F.col("reason").isNotNull())
+    checked = compute_once(records.select(*kept, F.try_parse_json(text).alias("_json")), {"reason": reason})
+    return checked.select(*kept, "reason").filter(F.col("reason").isNotNull())
 
 
 def grade_size(df: DataFrame) -> DataFrame:
