@@ -12,6 +12,7 @@ from gradeloom.plans.once import compute_once
 from gradeloom.plans.skew import top_k
 
 WORST_TAGS = 5
+FAILING_BANDS = ("POOR", "PARTIAL", ERROR_BAND)
 RUN = ("run_id",)
 
 
@@ -21,7 +22,7 @@ def scored_only(results: DataFrame) -> DataFrame:
 
 def failing_examples(results: DataFrame) -> DataFrame:
     """Rows worth a look, in original order."""
-    return results.filter(F.col("band").isin("POOR", "PARTIAL", ERROR_BAND)).orderBy("run_id", "ord")
+    return results.filter(F.col("band").isin(*FAILING_BANDS)).orderBy("run_id", "ord")
 
 
 def _average(points: str, counted: Column) -> tuple[Column, Column]:

@@ -84,7 +84,7 @@ def shared_tags(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.intersect(b)
 
 
-def base_run_asof(runs: DataFrame, base_runs: DataFrame, bucket: str = "day") -> DataFrame:
+def base_run_asof(runs: DataFrame, base_runs: DataFrame, bucket: str = "hour") -> DataFrame:
     """For each run the first base run (by ``mtime``) at or after it, else the latest one.
 
     Both sides need ``base_model, run_id, ts, mtime``. A suffix minimum over time replaces

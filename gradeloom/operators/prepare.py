@@ -89,8 +89,14 @@ def endpoint_counts(examples: DataFrame, endpoint: str = "endpoint") -> DataFram
 
 
 def select_endpoints(df: DataFrame, endpoints: list[str] | None = None, endpoint: str = "endpoint") -> DataFrame:
-    """Rows of the named endpoints in the order given, or of all endpoints in name order."""
-    if endpoints is None:
-        return df.orderBy(endpoint)
+    """Endpoint names to work on: those given, in that order, or all that have rows, by name.
+
+    Raises when there are none. Take the rows with a left semi join.
+    """
+    if df.isEmpty():
+        raise ValueError("no endpoints found")
+    names = df.select(endpoint).distinct()
+    if not endpoints:
+        return names.orderBy(endpoint)
     wanted = F.array(*[F.lit(e) for e in endpoints])
-    return df.filter(F.col(endpoint).isin(*endpoints)).orderBy(F.array_position(wanted, F.col(endpoint)))
+    return names.filter(F.col(endpoint).isin(*endpoints)).orderBy(F.array_position(wanted, F.col(endpoint)))

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import delta_verdict, diagnosis, is_strong
 from gradeloom.functions.text import ALL_BANDS, WEAK_SCORE, band, score_bar, trend, two_digits
-from gradeloom.operators.aggregate import failing_examples, run_summary, tag_breakdown, top_weak_tags, weak_tags
+from gradeloom.operators.aggregate import FAILING_BANDS, run_summary, tag_breakdown, top_weak_tags, weak_tags
 from gradeloom.operators.compare import compare_runs, compare_tags
+from gradeloom.plans.skew import materialize
 
 
 def _rows(df: DataFrame, section: str, rank: Column, key: Column, value: Column) -> DataFrame:
@@ -61,9 +62,10 @@ def next_steps(summary: DataFrame, breakdown: DataFrame, k: int = 5) -> DataFram
 
 def eval_report(results: DataFrame) -> DataFrame:
     """Overall figures, tags worst first, examples worst first, failures and advice."""
-    summary = run_summary(results)
-    tags = tag_breakdown(results)
-    failing = failing_examples(results)
+    # Both are small and read by several sections.
+    summary = materialize(run_summary(results), "summary")
+    tags = materialize(tag_breakdown(results), "tags")
+    failing = results.filter(F.col("band").isin(*FAILING_BANDS))
     out_of = {b: F.concat(F.col(b.lower()), F.lit("/"), F.col("total")) for b in ALL_BANDS}
     return _stack(
         [
@@ -97,14 +99,18 @@ def cycle_report(tuned: DataFrame, base: DataFrame, prev: DataFrame) -> DataFram
     Each argument holds the results of one run, or no rows where there is none; the sections
     of absent runs are then empty, and the diagnosis judges the tuned run on its own.
     """
-    ft, ref, old = (run_summary(r) for r in (tuned, base, prev))
-    tags, old_tags = tag_breakdown(tuned), tag_breakdown(prev)
+    ft, ref, old = (materialize(run_summary(r), "summary") for r in (tuned, base, prev))
+    tags, old_tags = materialize(tag_breakdown(tuned), "tags"), tag_breakdown(prev)
 
-    def one(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.lit("report").alias("report"), F.col("run_id").alias(f"{name}_run"), F.col("avg_score").alias(name))
+    roles = (("ft", ft), ("base", ref), ("prev", old))
+    sides = [df.select(F.lit(name).alias("role"), "run_id", "avg_score") for name, df in roles]
 
-    pair = one(ft, "ft").join(one(ref, "base"), "report", "left").join(one(old, "prev"), "report", "left")
-    pair = pair.withColumn("run_id", F.col("ft_run"))
+    def only(column: str, name: str) -> Column:
+        return F.max(F.when(F.col("role") == name, F.col(column)))
+
+    pair = reduce(DataFrame.unionByName, sides).agg(
+        only("run_id", "ft").alias("run_id"), *[only("avg_score", name).alias(name) for name, _ in roles]
+    )
     f, b, p = F.col("ft"), F.col("base"), F.col("prev")
     run_id = F.lit(None).cast("string")
 

@@ -11,7 +11,7 @@ from gradeloom.functions.names import file_stem
 from gradeloom.functions.rules import boost_priority, next_action, priority_rank, skip_reason
 from gradeloom.functions.text import WEAK_SCORE, exact_round, strip_fences
 from gradeloom.operators.aggregate import boilerplate_cases, format_health, run_summary, scored_only, tag_breakdown
-from gradeloom.plans.skew import lookup_join, salted_join, top_k
+from gradeloom.plans.skew import lookup_join, materialize, salted_join, top_k
 
 SEEDS = 3
 URGENT = ("critical", "high")
@@ -86,7 +86,11 @@ def seed_candidates(results: DataFrame, boost: DataFrame, k: int = SEEDS) -> Dat
 
 
 def status_summary(
-    results: DataFrame, runs: DataFrame, manifest_meta: DataFrame | None = None, averages: DataFrame | None = None
+    results: DataFrame,
+    runs: DataFrame,
+    manifest_meta: DataFrame | None = None,
+    averages: DataFrame | None = None,
+    breakdown: DataFrame | None = None,
 ) -> DataFrame:
     """One row per run: action, averages (three digits), band counts, format health.
 
@@ -96,7 +100,8 @@ def status_summary(
     """
     summary = run_summary(results)
     averages = summary if averages is None else averages
-    boosts = boost_tags(tag_breakdown(results)).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_boost"))
+    breakdown = tag_breakdown(results) if breakdown is None else breakdown
+    boosts = boost_tags(breakdown).groupBy("run_id").agg(F.count(F.lit(1)).alias("n_boost"))
 
     def with_average(df: DataFrame, column: str, out: str) -> DataFrame:
         known = averages.select(F.col("run_id").alias(column), exact_round(F.col("avg_score"), 3).alias(out))
@@ -141,11 +146,15 @@ def status_parts(
     tags: DataFrame | None = None,
     manifest_meta: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The parts of a status as tables: summary, boost, skip, uncovered, boilerplate and seed."""
-    breakdown = tag_breakdown(results)
+    """The parts of a status as tables: summary, boost, skip, uncovered, boilerplate and seed.
+
+    Several parts read the tag breakdown (one row per run and tag), so it is stored once;
+    pass stored results as well.
+    """
+    breakdown = materialize(tag_breakdown(results), "breakdown")
     boost = boost_tags(breakdown)
     parts = {
-        "summary": status_summary(results, runs, manifest_meta),
+        "summary": status_summary(results, runs, manifest_meta, breakdown=breakdown),
         "boost": boost,
         "skip": skip_tags(breakdown),
         "boilerplate": boilerplate_cases(results),

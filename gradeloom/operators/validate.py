@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import grade_records
 from gradeloom.functions.text import py_strip
 from gradeloom.plans.once import compute_once
+from gradeloom.plans.skew import lookup_join
 
 
 def with_ordinal(lines: DataFrame) -> DataFrame:
@@ -16,8 +17,10 @@ def with_ordinal(lines: DataFrame) -> DataFrame:
     Adds ``line_no`` (physical, from 1) and, dropping blank lines, ``record_no`` (from 1).
     Lines are numbered where they are read: ids run on within a task, so subtracting the
     first id of a file block gives the position in the block, and a table with one row per
-    block gives its offset. No line is shuffled or sorted.
+    block gives its offset. Lines are neither sorted nor, while that table fits a
+    broadcast, shuffled.
     """
+    _pin_file_splits(lines.sparkSession)
     block = ["path", "block_start"]
     upto = Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     numbered = lines.withColumn("_line", F.monotonically_increasing_id())
@@ -28,17 +31,23 @@ def with_ordinal(lines: DataFrame) -> DataFrame:
         start = F.coalesce(F.sum("_n").over(upto), F.lit(0)) - F.col("_first") + 1
         return per.select(*block, start.alias(out))
 
-    return (
-        records.join(offsets(numbered, "_line", "_lo"), block)
-        .join(offsets(records, "_rec", "_ro"), block)
-        .select(
-            *lines.columns,
-            (F.col("_line") + F.col("_lo")).cast("bigint").alias("line_no"),
-            (F.col("_rec") + F.col("_ro")).cast("bigint").alias("record_no"),
-        )
+    starts = offsets(numbered, "_line", "_lo").join(offsets(records, "_rec", "_ro"), block)
+    placed = lookup_join(records, starts, block, ["_rec"], "left", label="line-offsets")
+    lost = F.raise_error(F.concat(F.lit("file blocks changed while reading "), F.col("path"))).cast("bigint")
+    return placed.select(
+        *lines.columns,
+        F.coalesce((F.col("_line") + F.col("_lo")).cast("bigint"), lost).alias("line_no"),
+        F.coalesce((F.col("_rec") + F.col("_ro")).cast("bigint"), lost).alias("record_no"),
     )
 
 
+def _pin_file_splits(spark: SparkSession) -> None:
+    """Keep file splits from following the number of executors, which may change between scans."""
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+
+
 def validate_sharegpt(lines: DataFrame, first_n: int | None = None, value: str = "value") -> DataFrame:
     """Violations of the conversation format: ``(line_no, record_no, reason)``.
 

@@ -134,9 +134,15 @@ def _(spark, sf):
     return prepare.endpoint_counts(examples(spark, sf))
 
 
-@query("select_endpoints", E + "SELECT key, endpoint FROM examples WHERE endpoint IN ('view', 'click') ORDER BY CASE endpoint WHEN 'view' THEN 1 ELSE 2 END")
+@query("select_endpoints", E + "SELECT key, endpoint FROM examples WHERE endpoint IN ('view', 'click')")
 def _(spark, sf):
-    return prepare.select_endpoints(examples(spark, sf), ["view", "click"]).select("key", "endpoint")
+    ex = examples(spark, sf)
+    return ex.join(prepare.select_endpoints(ex, ["view", "click"]), "endpoint", "left_semi").select("key", "endpoint")
+
+
+@query("discover_endpoints", E + "SELECT DISTINCT endpoint FROM examples ORDER BY endpoint")
+def _(spark, sf):
+    return prepare.select_endpoints(examples(spark, sf))
 
 
 @query("by_name", "SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY source")

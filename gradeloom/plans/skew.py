@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from gradeloom.session import scratch_path
 
@@ -27,8 +27,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether a materialized table is small enough to copy to every executor."""
-    text = [F.octet_length(f.name) for f in df.schema if isinstance(f.dataType, StringType)]
-    width = sum((F.coalesce(t, F.lit(0)) for t in text), F.lit(16 * len(df.columns)))
+    sizes = [
+        F.octet_length(f.name if isinstance(f.dataType, StringType) else F.to_json(F.struct(f.name)))
+        for f in df.schema
+        if isinstance(f.dataType, (StringType, StructType, ArrayType, MapType))
+    ]
+    width = sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(16 * len(df.columns)))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
     return row["n"] <= BROADCAST_ROWS and row["b"] <= BROADCAST_BYTES
 
@@ -72,7 +76,7 @@ def shuffle_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def bucketed_rank(df: DataFrame, group: str, hash_col: str, key: str, out: str, digits: int = 3) -> DataFrame:
+def bucketed_rank(df: DataFrame, group: str, hash_col: str, key: str, out: str, digits: int = 4) -> DataFrame:
     """Zero-based rank by ``(hash, key)`` within a group, never sorting a whole group in one task.
 
     Rows are ranked inside ``16**digits`` hash buckets; each bucket starts at the count of the

@@ -13,6 +13,7 @@ from gradeloom import schemas
 from gradeloom.functions.logs import parse_log_line
 from gradeloom.functions.names import file_stem, parse_run_name
 from gradeloom.functions.text import py_strip
+from gradeloom.operators.validate import with_ordinal
 
 log = logging.getLogger(__name__)
 
@@ -64,12 +65,20 @@ def read_sharegpt(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SHAREGPT).option("mode", "FAILFAST").json(path)
 
 
-def read_holdout(spark: SparkSession, path: str) -> DataFrame:
-    """Holdout records. Every line must parse; a blank line raises too (the JSON reader drops it)."""
+def read_holdout(spark: SparkSession, path: str, ordinal: bool = False) -> DataFrame:
+    """Holdout records. Every line must parse; a blank line raises too (the JSON reader drops it).
+
+    With ``ordinal`` the zero-based record index of each file is added as ``ord``.
+    """
     lines = read_lines(spark, path)
     blank = F.length(py_strip(F.col("value"))) == 0
     text = F.when(blank, F.raise_error(F.concat(F.lit("blank line in "), F.col("path"))).cast("string")).otherwise(F.col("value"))
-    return _parsed(lines.withColumn("value", text), schemas.HOLDOUT, "failfast").select("record.*", "path")
+    lines = lines.withColumn("value", text)
+    added = []
+    if ordinal:
+        lines = with_ordinal(lines)
+        added = [(F.col("line_no") - 1).alias("ord")]
+    return _parsed(lines, schemas.HOLDOUT, "failfast").select("record.*", "path", *added)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

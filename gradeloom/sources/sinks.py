@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import priority_rank
+from gradeloom.functions.text import ALL_BANDS, WEAK_SCORE
 from gradeloom.operators.aggregate import run_summary, tag_breakdown, tag_scores
+from gradeloom.operators.judge import judge_summary
 from gradeloom.operators.status import SEED_FIELDS
 
 # Runs with more list items than this are exported as rows only.
@@ -25,8 +28,8 @@ def write_holdout(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "endpoint", fmt: str = "json") -> None:
-    """One folder per endpoint."""
-    df.write.mode("overwrite").partitionBy(by).format(fmt).save(path)
+    """One folder per endpoint; large endpoints get several files, small ones few."""
+    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).format(fmt).save(path)
 
 
 def sync_endpoints(df: DataFrame, path: str, endpoints: list[str] | None = None, by: str = "endpoint") -> None:
@@ -40,13 +43,15 @@ def sync_endpoints(df: DataFrame, path: str, endpoints: list[str] | None = None,
         missing = sorted(set(endpoints) - found)
         if missing:
             raise FileNotFoundError(f"no source data for: {', '.join(missing)}")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    writer = df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(by).parquet(path)
 
 
 def write_tables(path: str, partition_by: list[str], **tables: DataFrame) -> None:
     for name, df in tables.items():
         keys = [k for k in partition_by if k in df.columns]
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        even = df.hint("rebalance", *keys) if keys else df
+        writer = even.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         (writer.partitionBy(*keys) if keys else writer).parquet(f"{path.rstrip('/')}/{name}")
 
 
@@ -55,54 +60,69 @@ def small_runs(results: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame
     return results.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= max_items).select("run_id")
 
 
-def run_documents(results: DataFrame, runs: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """Nested documents ``(run_id, meta, summary, results)`` of runs up to ``max_items`` rows.
+RESULT_FIELDS = (
+    "id", "label", "source_file", "conventions_tested", "score", "band", "prompt", "expected", "generated", "error",
+    "length_ratio",
+)
+JUDGE_FIELDS = ("judge_score", "judge_band", "judge_reason")
 
-    Larger runs are complete in the row tables that :func:`write_run` writes for every run.
-    """
-    rows = results.join(small_runs(results, max_items), "run_id", "left_semi")
-    fields = [
-        "id", "label", "source_file", "conventions_tested", "score", "band", "prompt", "expected", "generated",
-        "error", "length_ratio", *[c for c in ("judge_score", "judge_band", "judge_reason") if c in rows.columns],
-    ]
-    listed = rows.groupBy("run_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", *fields))), lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias("results")
-    )
-    scores = tag_scores(rows).groupBy("run_id", "convention").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "score"))), lambda r: r["score"]).alias("scores"),
+
+def _items(entries: Column, fields: Sequence[str]) -> Column:
+    """Collected structs in order, cut down to the named fields."""
+    return F.transform(F.array_sort(entries), lambda e: F.struct(*[e[f].alias(f) for f in fields]))
+
+
+def _summary_struct(rows: DataFrame, averages: DataFrame, score_col: str, weak: bool) -> DataFrame:
+    """``(run_id, summary)``: average, band counts, tag breakdown with score lists, weak tags."""
+    scores = tag_scores(rows, score_col).groupBy("run_id", "convention").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ord", "score"))), lambda r: r["score"]).alias("scores")
     )
+    entry = F.struct("avg", "convention", "n", "scores")
     tags = (
-        tag_breakdown(rows)
+        tag_breakdown(rows, score_col)
         .join(scores, ["run_id", "convention"])
         .groupBy("run_id")
-        .agg(F.array_sort(F.collect_list(F.struct("avg", "convention", "n", "scores"))).alias("_tags"))
-        .withColumn("_tags", F.transform("_tags", lambda t: F.struct(t["convention"].alias("convention"), t["avg"].alias("avg"), t["n"].alias("n"), t["scores"].alias("scores"))))
-    )
-    bands = ("excellent", "good", "partial", "poor", "error")
-    counts = F.map_filter(
-        F.map_from_arrays(F.array(*[F.lit(b.upper()) for b in bands]), F.array(*bands)), lambda _, n: n > 0
+        .agg(_items(F.collect_list(entry), ("convention", "avg", "n", "scores")).alias("_tags"))
     )
-    no_tags = F.array().cast(tags.schema["_tags"].dataType)
-    breakdown = F.coalesce(F.col("_tags"), no_tags)
+    bands = [b.lower() for b in ALL_BANDS if b.lower() in averages.columns]
+    counts = F.map_from_arrays(F.array(*[F.lit(b.upper()) for b in bands]), F.array(*bands))
+    breakdown = F.coalesce(F.col("_tags"), F.array().cast(tags.schema["_tags"].dataType))
+    fields = [
+        "avg_score",
+        F.map_filter(counts, lambda _, n: n > 0).alias("band_counts"),
+        breakdown.alias("convention_breakdown"),
+    ]
+    if weak:
+        fields.append(F.filter(breakdown, lambda t: t["avg"] < WEAK_SCORE).alias("weak_conventions"))
+    return averages.join(tags, "run_id", "left").select("run_id", "total", F.struct(*fields).alias("summary"))
+
+
+def run_documents(results: DataFrame, runs: DataFrame, max_items: int = DOCUMENT_ITEMS, weak: bool = True) -> DataFrame:
+    """Nested documents ``(run_id, meta, summary, results)`` of runs up to ``max_items`` rows.
+
+    Larger runs are complete in the row tables that :func:`write_run` writes for every run.
+    Prompt-only runs carry no weak tags (``weak=False``).
+    """
+    rows = results.join(small_runs(results, max_items), "run_id", "left_semi")
+    fields = [*RESULT_FIELDS, *[c for c in JUDGE_FIELDS if c in rows.columns]]
+    listed = rows.groupBy("run_id").agg(_items(F.collect_list(F.struct("ord", *fields)), fields).alias("results"))
     meta = [c for c in runs.columns if c != "run_id"]
     return (
         runs.join(listed, "run_id")
-        .join(run_summary(rows), "run_id")
-        .join(tags, "run_id", "left")
-        .select(
-            "run_id",
-            F.struct(*meta, F.col("total").alias("n_records")).alias("meta"),
-            F.struct(
-                "avg_score",
-                counts.alias("band_counts"),
-                breakdown.alias("convention_breakdown"),
-                F.filter(breakdown, lambda t: t["avg"] < 0.6).alias("weak_conventions"),
-            ).alias("summary"),
-            "results",
-        )
+        .join(_summary_struct(rows, run_summary(rows), "score", weak), "run_id")
+        .select("run_id", F.struct(*meta, F.col("total").alias("n_records")).alias("meta"), "summary", "results")
     )
 
 
+def judged_documents(judged: DataFrame, runs: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
+    """:func:`run_documents` of a judged run: the judge's summary, the other one beside it."""
+    rows = judged.join(small_runs(judged, max_items), "run_id", "left_semi")
+    averages = judge_summary(rows).withColumnRenamed("judge_avg", "avg_score")
+    by_judge = _summary_struct(rows, averages, "judge_score", weak=False).select("run_id", "summary")
+    docs = run_documents(judged, runs, max_items).withColumnRenamed("summary", "similarity_summary")
+    return docs.join(by_judge, "run_id").select("run_id", "meta", "similarity_summary", "summary", "results")
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """One JSON file per run, in a folder named after it."""
     documents.repartition("run_id").write.mode("overwrite").partitionBy("run_id").json(path)
@@ -115,9 +135,11 @@ def write_run(results: DataFrame, summary: DataFrame, path: str, runs: DataFrame
         write_documents(run_documents(results, runs), f"{path.rstrip('/')}/documents")
 
 
-def write_judged(df: DataFrame, path: str) -> None:
-    """Judged result rows by run."""
+def write_judged(df: DataFrame, path: str, runs: DataFrame | None = None) -> None:
+    """Judged result rows by run; small runs also as JSON documents."""
     write_tables(path, ["model", "run_id"], judged_results=df)
+    if runs is not None:
+        write_documents(judged_documents(df, runs), f"{path.rstrip('/')}/documents")
 
 
 def status_documents(

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gradeloom.functions.rules import WARNING_EPOCH, WARNING_LOSS
 
@@ -114,21 +115,51 @@ def silence_sessions(log: DataFrame, seconds: int, delay: str = "0 seconds", run
     A stretch is given once the watermark passes its end, that is, when the run has been
     silent for longer than ``seconds``. Works in batch as well. Lines later than ``delay``
     are dropped by the watermark.
+
+    Sessions gather all rows of a run in one task, so lines are first reduced to the first
+    and last of each slot of ``seconds``, within which no pause can end a session.
     """
+    width = seconds * 1_000_000
+    kind = dict(log.dtypes)[ts]
+    lines = log.select(run, F.unix_micros(F.col(ts).cast("timestamp")).alias("us")).filter("us IS NOT NULL")
+    ends = (_slot_ends_stream if log.isStreaming else _slot_ends)(lines, run, width)
     # A pause of exactly the limit is no alert, hence the extra microsecond.
     gap = f"{seconds} seconds 1 microsecond"
-    kind = dict(log.dtypes)[ts]
     return (
-        log.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, delay)
-        .groupBy(run, F.session_window(ts, gap).alias("_s"))
+        ends.select(run, F.timestamp_micros("us").alias("at"), "n")
+        .withWatermark("at", delay)
+        .groupBy(run, F.session_window("at", gap).alias("_s"))
         .agg(
-            F.min(ts).cast(kind).alias("first_ts"), F.max(ts).cast(kind).alias("last_ts"), F.count(F.lit(1)).alias("n_lines")
+            F.min("at").cast(kind).alias("first_ts"), F.max("at").cast(kind).alias("last_ts"), F.sum("n").alias("n_lines")
         )
         .drop("_s")
     )
 
 
+def _slot_ends(lines: DataFrame, run: str, width: int) -> DataFrame:
+    """First line of each slot with the slot's line count, and its last line with count 0."""
+    slots = lines.groupBy(run, F.floor(F.col("us") / width).alias("_slot")).agg(
+        F.min("us").alias("_lo"), F.max("us").alias("_hi"), F.count(F.lit(1)).alias("_n")
+    )
+    zero = F.lit(0).cast("bigint")
+    pair = F.array(F.struct(F.col("_lo").alias("us"), F.col("_n").alias("n")), F.struct(F.col("_hi").alias("us"), zero.alias("n")))
+    return slots.select(run, F.inline(pair))
+
+
+def _slot_ends_stream(lines: DataFrame, run: str, width: int) -> DataFrame:
+    """:func:`_slot_ends` per Arrow batch, before the shuffle; batches merge in the session."""
+
+    def reduce(batches):
+        for pdf in batches:
+            slots = pdf.groupby([run, pdf["us"] // width], sort=False)["us"].agg(["min", "max", "count"])
+            runs = slots.index.get_level_values(0)
+            first = pd.DataFrame({run: runs, "us": slots["min"].to_numpy(), "n": slots["count"].to_numpy()})
+            last = pd.DataFrame({run: runs, "us": slots["max"].to_numpy(), "n": 0})
+            yield pd.concat([first, last], ignore_index=True)
+
+    return lines.mapInPandas(reduce, StructType([*lines.schema.fields, StructField("n", LongType())]))
+
+
 def wall_overrun_runs(log: DataFrame, seconds: int, run: str = "run", ts: str = "ts") -> DataFrame:
     """Event-time twin of the wall alert: runs whose lines span more than ``seconds``; update mode."""
     us = F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))

@@ -168,7 +168,8 @@ def test_read_holdout_blank_line_raises(spark, tmp_path):
     record = json.dumps({"messages": [{"role": "user", "content": "x"}]})
     (tmp_path / "ok.jsonl").write_text(record + "\n" + record + "\n")
     (tmp_path / "blank.jsonl").write_text(record + "\n\n" + record + "\n")
-    assert readers.read_holdout(spark, str(tmp_path / "ok.jsonl")).count() == 2
+    rows = readers.read_holdout(spark, str(tmp_path / "ok.jsonl"), ordinal=True).collect()
+    assert sorted(r.ord for r in rows) == [0, 1] and rows[0].messages[0].content == "x"
     with pytest.raises(FAILED):
         readers.read_holdout(spark, str(tmp_path / "blank.jsonl")).collect()
 
@@ -190,4 +191,6 @@ def test_resolve_dataset():
 def test_select_endpoints(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "endpoint string")
     assert [r.endpoint for r in prepare.select_endpoints(df, ["c", "a"]).collect()] == ["c", "a"]
-    assert [r.endpoint for r in prepare.select_endpoints(df).collect()] == ["a", "b", "c"]
+    assert [r.endpoint for r in prepare.select_endpoints(df.union(df)).collect()] == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        prepare.select_endpoints(df.filter("false"))

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from conftest import FAILED
@@ -212,6 +211,18 @@ def test_run_documents_round_trip(spark, tmp_path):
     assert sinks.run_documents(res, meta, max_items=5).count() == 0
 
 
+def test_judged_documents(spark, tmp_path):
+    res = scored(spark).withColumn("model", F.lit("m"))
+    verdicts = spark.createDataFrame([("r", 0, 0.65, "fine")], "run_id string, rec_id bigint, judge_raw double, judge_reason string")
+    meta = spark.createDataFrame([("r", "m", "j")], "run_id string, model string, judge_model string")
+    sinks.write_judged(judge.attach_judgements(res, verdicts), str(tmp_path), meta)
+    row = readers.read_runs(spark, str(tmp_path / "documents"), "fail", readers.RUN_FOLDER_GLOB).first()
+    assert row.run_kind == "judged"
+    assert (row.summary.avg_score, row.similarity_summary.avg_score) == (0.1083, 0.5)
+    assert row.summary.band_counts == {"GOOD": 1, "POOR": 5}
+    assert row.results[0].judge_reason == "fine" and row.results[0].score == 1.0
+
+
 def test_read_runs_unreadable(spark, tmp_path):
     (tmp_path / "2026-01-02_1000_m.json").write_text(json.dumps({"meta": {"model": "m"}, "summary": {"avg_score": 0.5}, "results": []}, indent=2))
     (tmp_path / "2026-01-02_1100_m.json").write_text("{broken")
