@@ -47,7 +47,9 @@ def attach_predictions(holdout: DataFrame, predictions: DataFrame, runs: list[st
     answers = predictions.select(
         *keys, "generated", F.col("error").alias("_failed"), F.lit(True).alias("_answered")
     )
-    joined = holdout.join(answers, keys, "left")
+    # Scoring comes next and is bound by CPU: the shuffle of a merge join spreads its rows,
+    # where a broadcast of few answers would leave them in as few tasks as the input has blocks.
+    joined = holdout.join(answers.hint("merge"), keys, "left")
     return error_row(joined).drop("_failed", "_answered")
 
 
