@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import plan_columns, PLAN_CONSTANTS
-from gradeloom.plans.skew import lookup_join, shuffle_hash
+from gradeloom.plans.skew import lookup_join, null_safe, shuffle_hash
 
 # Default share of the holdout and default seed.
 HOLDOUT_FRACTION, SEED = 0.10, 42
@@ -29,13 +29,7 @@ def stratified_split(
     then read once and compared with one boundary per stratum, without being shuffled, so a
     hot stratum never meets in one task.
     """
-    # A null stratum is a stratum too; joins would lose it.
-    hashed = df.withColumns(
-        {
-            "_h": shuffle_hash(F.col(key), seed),
-            "_s": F.coalesce(F.col(stratum).cast("string"), F.lit("\0")),
-        }
-    )
+    hashed = df.withColumns({"_h": shuffle_hash(F.col(key), seed), "_s": null_safe(F.col(stratum))})
     narrow = hashed.select("_s", "_h", F.col(key).alias("_k"), F.substring("_h", 1, digits).alias("_bucket"))
     whole = Window.partitionBy("_s")
     running = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -76,25 +76,33 @@ def shuffle_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def bucketed_rank(df: DataFrame, group: str, hash_col: str, key: str, out: str, digits: int = 4) -> DataFrame:
-    """Zero-based rank by ``(hash, key)`` within a group, never sorting a whole group in one task.
+def null_safe(key: Column) -> Column:
+    """A text key that is never null: a null group is a group too, and joins would lose it."""
+    return F.coalesce(key.cast("string"), F.lit("\0"))
 
-    Rows are ranked inside ``16**digits`` hash buckets; each bucket starts at the count of the
-    buckets before it, taken from a table of at most ``16**digits`` rows per group.
+
+def bucketed_rank(df: DataFrame, group: str, hash_col: str, key: str, out: str, bucket_rows: int = 50_000) -> DataFrame:
+    """Zero-based rank by ``(hash, key)`` within a group, never sorting a large group in one task.
+
+    Groups above ``bucket_rows`` are divided by leading hash digits into buckets of about
+    that size. Rows are ranked inside their bucket; each bucket starts at the count of the
+    buckets before it.
     """
-    bucketed = df.withColumn("_bucket", F.substring(hash_col, 1, digits))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = df.withColumn("_g", null_safe(F.col(group)))
+    excess = F.col("_n") / F.lit(float(bucket_rows))
+    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, excess))).cast("int")
+    sizes = keyed.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).select("_g", digits.alias("_digits"))
+    divided = lookup_join(keyed, sizes, ["_g"], [key], label="group-sizes")
+    bucketed = divided.withColumn("_bucket", F.substring(F.col(hash_col), F.lit(1), F.col("_digits"))).drop("_digits")
+    before = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        bucketed.groupBy(group, "_bucket")
+        bucketed.groupBy("_g", "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    inside = Window.partitionBy(group, "_bucket").orderBy(hash_col, key)
-    return (
-        bucketed.join(starts, [group, "_bucket"])
-        .withColumn(out, (F.col("_start") + F.row_number().over(inside) - 1).cast("bigint"))
-        .drop("_bucket", "_start")
+        .select("_g", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
+    placed = lookup_join(bucketed, starts, ["_g", "_bucket"], [key], label="bucket-starts")
+    inside = Window.partitionBy("_g", "_bucket").orderBy(hash_col, key)
+    return placed.withColumn(out, (F.col("_start") + F.row_number().over(inside) - 1).cast("bigint")).select(*df.columns, out)
 
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from conftest import FAILED
 from gradeloom.functions import chat
 from gradeloom.operators import prepare, split, validate
+from gradeloom.plans import skew
+from gradeloom.plans.skew import bucketed_rank, shuffle_hash
 from gradeloom.sources import readers, sinks
 
 
@@ -87,6 +89,24 @@ def test_holdout_ids_count_from_zero_per_endpoint(spark):
     assert ids == {f"a-{i:04d}" for i in range(10_020)} | {f"b-{i:04d}" for i in range(30)}
 
 
+def test_ranks_do_not_depend_on_bucket_size(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, "hot").alias("g"))
+    df = df.withColumn("h", shuffle_hash(F.col("k"), 1))
+    one, many = ({(r.k, r.n) for r in bucketed_rank(df, "g", "h", "k", "n", rows).collect()} for rows in (10_000, 20))
+    assert one == many and sorted(n for _, n in one) == sorted([*range(2000), *range(1000)])
+
+
+def test_lookup_join_is_the_same_salted_and_broadcast(spark, monkeypatch):
+    big = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 10).alias("g"))
+    small = spark.range(8).select(F.col("id").alias("g"), (F.col("id") * 2).alias("v"))
+    out = []
+    for limit in (10, 0):
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+        for how in ("inner", "left"):
+            out.append({(r.k, r.v) for r in skew.lookup_join(big, small, ["g"], ["k"], how).collect()})
+    assert out[0] == out[2] and out[1] == out[3] and len(out[1]) == 1000
+
+
 @pytest.mark.parametrize(
     "n,plan", [(31, (2, 1, 192, 48)), (32, (4, 1, 96, 25)), (95, (4, 1, 288, 72)), (96, (8, 2, 80, 25)), (1324, (8, 2, 830, 100))]
 )
