@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import MEANINGFUL_DELTA, delta_verdict, diagnosis, is_strong
 from gradeloom.functions.text import trend
-from gradeloom.plans.skew import salted_join, top_k
+from gradeloom.plans.skew import hot_key_join, salted_join, top_k
 
 TAG_DEAD_ZONE = 0.005
 
@@ -22,12 +22,13 @@ def compare_runs(curr: DataFrame, prev: DataFrame, min_delta: float = MEANINGFUL
 
     Of several previous rows with one id the last counts; all current rows stay. Failed rows
     take part with score 0. Deltas are differences of stored four-digit scores as doubles.
+    Pass stored results: ids of the current run are counted before the join.
     """
     before = prev.groupBy("id").agg(F.max_by("score", "ord").alias("prev_score"))
     now = curr.select("id", "label", "ord", F.col("score").alias("curr_score"))
     delta = F.col("curr_score") - F.col("prev_score")
     return (
-        salted_join(now, before, ["id"], ["ord"])
+        hot_key_join(now, before, "id", ["ord"])
         .withColumn("delta", delta)
         .withColumn("change", F.when(delta <= -min_delta, "regression").when(delta >= min_delta, "improvement"))
         .filter(F.col("change").isNotNull())

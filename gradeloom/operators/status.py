@@ -67,9 +67,9 @@ def seed_candidates(results: DataFrame, boost: DataFrame, k: int = SEEDS) -> Dat
     targets = boost.filter(F.col("priority").isin(*URGENT)).select("run_id", "name")
     narrow = scored_only(results).select("run_id", F.explode("conventions_tested").alias("name"), "rec_id", "ord", "score")
     lowest = top_k(narrow, ["run_id", "name"], [F.col("score"), F.col("ord")], k).drop("ord", "score")
-    chosen = targets.join(lowest, ["run_id", "name"])
+    chosen = materialize(targets.join(lowest, ["run_id", "name"]), "seeds")
     texts = results.select("run_id", "rec_id", "id", "label", "score", "conventions_tested", "prompt", "expected", "generated")
-    seeds = lookup_join(texts, chosen, ["run_id", "rec_id"], ["id"], label="seeds").select(
+    seeds = lookup_join(texts, chosen, ["run_id", "rec_id"], ["id"], stored=True).select(
         "run_id",
         "name",
         F.col("rank").cast("bigint").alias("rank"),
@@ -81,7 +81,7 @@ def seed_candidates(results: DataFrame, boost: DataFrame, k: int = SEEDS) -> Dat
         strip_fences(F.col("expected")).alias("expected"),
         strip_fences(F.col("generated")).alias("generated"),
     )
-    empty = targets.join(lowest.select("run_id", "name").distinct(), ["run_id", "name"], "left_anti")
+    empty = targets.join(chosen.select("run_id", "name").distinct(), ["run_id", "name"], "left_anti")
     return seeds.unionByName(empty, allowMissingColumns=True)
 
 

@@ -10,6 +10,7 @@ from gradeloom.operators import aggregate as agg
 from gradeloom.operators import compare, runs
 from gradeloom.plans import sqltext as q
 from gradeloom.plans.registry import query
+from gradeloom.plans.skew import materialize
 from gradeloom.plans.standins import (
     BASE_RUN, BREAKDOWN_SQL, NEW_RUN, OLD_RUN, RESULTS_SQL, SUMMARY_SQL, history, history_sql, results, results_of, table,
 )
@@ -26,7 +27,8 @@ CHANGES = q.ctes(RESULTS_SQL, f"""prev AS (SELECT id, arg_max(score, ord) AS pre
 
 
 def changes(spark, sf):
-    return compare.compare_runs(results_of(spark, sf, NEW_RUN), results_of(spark, sf, OLD_RUN))
+    res = materialize(results_of(spark, sf, NEW_RUN, OLD_RUN).select("run_id", "id", "label", "ord", "score"), "scores")
+    return compare.compare_runs(res.filter(F.col("run_id") == NEW_RUN), res.filter(F.col("run_id") == OLD_RUN))
 
 
 @query("compare_runs", CHANGES + "SELECT * FROM changes")

@@ -13,6 +13,7 @@ from gradeloom.session import scratch_path
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 16
+HOT_ROWS = 1_000_000
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -56,6 +57,26 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def hot_key_join(big: DataFrame, other: DataFrame, key: str, salt_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of two large sides, ``other`` having one row per key.
+
+    Keys with more than ``hot_rows`` rows are counted first. Each is divided by a salt into
+    pieces of about that size, and only its row of ``other`` is repeated, once per piece.
+    Without such keys this is a plain join.
+    """
+    pieces = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("bigint")
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = materialize(counts.select(key, pieces.alias("_pieces")), "hot-keys")
+    if hot.isEmpty():
+        return big.join(other, key)
+    if not fits_broadcast(hot):
+        return salted_join(big, other, [key], salt_by)
+    n = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
+    left = big.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), n))
+    right = other.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+    return left.drop("_pieces").join(right.drop("_pieces"), [key, "_salt"]).drop("_salt")
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
@@ -63,9 +84,13 @@ def lookup_join(
     salt_by: Sequence[str],
     how: str = "inner",
     label: str = "lookup",
+    stored: bool = False,
 ) -> DataFrame:
-    """Join a derived per-key table: broadcast if its measured size allows, else salted."""
-    table = materialize(small, label)
+    """Join a derived per-key table: broadcast if its measured size allows, else salted.
+
+    The table is stored first, unless it already is (``stored``).
+    """
+    table = small if stored else materialize(small, label)
     if fits_broadcast(table):
         return big.join(F.broadcast(table), list(on), how)
     return salted_join(big, table, on, salt_by, how)

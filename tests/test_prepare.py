@@ -107,6 +107,15 @@ def test_lookup_join_is_the_same_salted_and_broadcast(spark, monkeypatch):
     assert out[0] == out[2] and out[1] == out[3] and len(out[1]) == 1000
 
 
+def test_hot_key_join_keeps_every_row(spark):
+    big = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"))
+    other = spark.range(2900).select(F.col("id").alias("g"), (F.col("id") + 1).alias("v"))
+    plain = {tuple(r) for r in big.join(other, "g").select("k", "v").collect()}
+    for hot in (10, 100_000):
+        rows = skew.hot_key_join(big, other, "g", ["k"], hot).select("k", "v").collect()
+        assert len(rows) == len(plain) and {tuple(r) for r in rows} == plain
+
+
 @pytest.mark.parametrize(
     "n,plan", [(31, (2, 1, 192, 48)), (32, (4, 1, 96, 25)), (95, (4, 1, 288, 72)), (96, (8, 2, 80, 25)), (1324, (8, 2, 830, 100))]
 )
