@@ -18,12 +18,13 @@ Metric = Callable[[Column, Column], Column]
 def _block_ratio(autojunk: bool):
     @F.pandas_udf(DoubleType())
     def ratio(expected: pd.Series, generated: pd.Series) -> pd.Series:
-        def one(a, b):
-            if a is None or b is None:
-                return None
-            return SequenceMatcher(None, a, b, autojunk).ratio()
-
-        return pd.Series([one(a, b) for a, b in zip(expected, generated)], dtype="float64")
+        seen = {(None, None): None}  # copies within a batch are scored once
+        out = []
+        for pair in zip(expected, generated):
+            if pair not in seen:
+                seen[pair] = SequenceMatcher(None, *pair, autojunk).ratio()
+            out.append(seen[pair])
+        return pd.Series(out, dtype="float64")
 
     return ratio
 
@@ -40,6 +41,7 @@ def char_ratio(expected: Column, generated: Column, autojunk: bool = True) -> Co
     nested = F.startswith(a, b) | F.startswith(b, a)
     total = la + lb
     closed = F.when(total == 0, F.lit(1.0)).otherwise(F.lit(2.0) * F.least(la, lb) / total)
+    # Both texts or neither: ``nested`` is null where a text is.
     matched = _block_ratio(autojunk)(F.when(~nested, a), F.when(~nested, b))
     return F.when(nested, closed).otherwise(matched)
 

@@ -51,33 +51,27 @@ def early_warning(points: DataFrame, epoch: float = WARNING_EPOCH, loss: float =
     )
 
 
-def silence_gaps(log: DataFrame, seconds: int, run: str = "run", ts: str = "ts", tie: str = "ord") -> DataFrame:
+def silence_gaps(log: DataFrame, seconds: int, run: str = "run", ts: str = "ts") -> DataFrame:
     """Pauses longer than ``seconds`` between consecutive lines of a run.
 
     Lines fall into time slots of that width, and within a slot no pause can exceed it. So
-    first and last line per slot are enough: they are combined map-side, and only the slot
-    table, not the lines, is ordered per run.
+    first and last time per slot are enough: a hash aggregate combines them map-side, and
+    only the slot table, not the lines, is ordered per run.
     """
     width = seconds * 1_000_000
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    kind = dict(log.dtypes)[ts]
+    order = Window.partitionBy(run).orderBy("_slot")
     slots = (
-        log.withColumn("_us", micros)
-        .withColumn("_slot", F.floor(F.col("_us") / width))
-        .groupBy(run, "_slot")
-        .agg(F.min(F.struct("_us", ts, tie)).alias("_head"), F.max("_us").alias("_tail_us"), F.max(ts).alias("_tail"))
+        log.select(run, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+        .groupBy(run, F.floor(F.col("_us") / width).alias("_slot"))
+        .agg(F.min("_us").alias("_head"), F.max("_us").alias("_tail"))
     )
-    order = Window.partitionBy(run).orderBy("_slot")
-    return (
-        slots.withColumn("_prev_us", F.lag("_tail_us").over(order))
-        .withColumn("prev_ts", F.lag("_tail").over(order))
-        .filter(F.col("_head._us") - F.col("_prev_us") > width)
-        .select(
-            run,
-            F.col(f"_head.{tie}").alias(tie),
-            F.col(f"_head.{ts}").alias(ts),
-            "prev_ts",
-            ((F.col("_head._us") - F.col("_prev_us")) / 1_000_000.0).alias("gap_seconds"),
-        )
+    gaps = slots.withColumn("_prev", F.lag("_tail").over(order)).filter(F.col("_head") - F.col("_prev") > width)
+    return gaps.select(
+        run,
+        F.timestamp_micros("_head").cast(kind).alias(ts),
+        F.timestamp_micros("_prev").cast(kind).alias("prev_ts"),
+        ((F.col("_head") - F.col("_prev")) / 1_000_000.0).alias("gap_seconds"),
     )
 
 

@@ -129,6 +129,14 @@ def _(spark, sf):
     ).join(per_tag, "run_id").join(chars, "run_id")
 
 
+@query("read_results", q.ctes(RESULTS_SQL) + "SELECT run_id, rec_id, score, band FROM results WHERE model = 'adapter'")
+def _(spark, sf):
+    path = scratch_path(spark, "stored")
+    res = results(spark, sf).withColumn("model", F.element_at(F.split("run_id", "_"), -1))
+    sinks.write_tables(path, ["model", "run_id"], run_results=res)
+    return readers.read_results(spark, path, model="adapter").select("run_id", "rec_id", "score", "band")
+
+
 @query("write_judged", q.ctes(RESULTS_SQL, PARSED_SQL, JUDGE_SUMMARY) + "SELECT * FROM judge_summary")
 def _(spark, sf):
     path = scratch_path(spark, "judged")

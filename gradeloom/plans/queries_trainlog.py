@@ -55,15 +55,15 @@ def _(spark, sf):
     return trainlog.early_warning(points(spark, sf))
 
 
-@query("silence_gaps", f"""SELECT user_id AS run, event_id AS ord, ts, prev_ts, (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 AS gap_seconds
+@query("silence_gaps", f"""SELECT user_id AS run, ts, prev_ts, (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 AS gap_seconds
 FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_ts FROM events)
 WHERE epoch_us(ts) - epoch_us(prev_ts) > {GAP * 1000000}""")
 def _(spark, sf):
-    return trainlog.silence_gaps(log_lines(spark, sf).select("run", "ord", "ts"), GAP)
+    return trainlog.silence_gaps(log_lines(spark, sf), GAP)
 
 
 @query("wall_overruns", f"""SELECT run, ord, ts, start_ts, (epoch_us(ts) - epoch_us(start_ts)) / 1e6 AS elapsed_seconds
 FROM (SELECT user_id AS run, event_id AS ord, ts, min(ts) OVER (PARTITION BY user_id) AS start_ts FROM events)
 WHERE epoch_us(ts) - epoch_us(start_ts) > {WALL * 1000000}""")
 def _(spark, sf):
-    return trainlog.wall_overruns(log_lines(spark, sf).select("run", "ord", "ts"), WALL)
+    return trainlog.wall_overruns(log_lines(spark, sf), WALL)

@@ -54,3 +54,15 @@ MANIFEST = _struct(
     patterns=_PATTERNS,
     training=_struct(contrast_patterns=_PATTERNS, patterns=_PATTERNS),
 )
+
+# The stored table of results, as written per run.
+RUN_RESULTS = StructType(
+    [
+        StructField("run_id", STRING),
+        StructField("model", STRING),
+        StructField("rec_id", LONG),
+        StructField("ord", LONG),
+        StructField("score_bp", LONG),
+        *RESULT.fields,
+    ]
+)

@@ -39,6 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gradeloom-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

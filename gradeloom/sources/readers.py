@@ -119,6 +119,15 @@ def run_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return runs, tags, results
 
 
+def read_results(spark: SparkSession, root: str, model: str | None = None, run_id: str | None = None) -> DataFrame:
+    """Stored result rows, of one model or run if given; other folders are not read."""
+    rows = spark.read.schema(schemas.RUN_RESULTS).parquet(f"{root.rstrip('/')}/run_results")
+    for name, value in (("model", model), ("run_id", run_id)):
+        if value is not None:
+            rows = rows.filter(F.col(name) == value)
+    return rows
+
+
 def read_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Manifest in its JSON form, or with ``multi_line=False`` one per line; no rows when missing.
 
