@@ -11,7 +11,7 @@ from gradeloom.functions.names import file_stem
 from gradeloom.functions.rules import boost_priority, next_action, priority_rank, skip_reason
 from gradeloom.functions.text import WEAK_SCORE, exact_round, strip_fences
 from gradeloom.operators.aggregate import boilerplate_cases, format_health, run_summary, scored_only, tag_breakdown
-from gradeloom.plans.skew import lookup_join, materialize, salted_join, top_k
+from gradeloom.plans.skew import join_measured, materialize, materialize_measured, salted_join, top_k
 
 SEEDS = 3
 URGENT = ("critical", "high")
@@ -67,9 +67,9 @@ def seed_candidates(results: DataFrame, boost: DataFrame, k: int = SEEDS) -> Dat
     targets = boost.filter(F.col("priority").isin(*URGENT)).select("run_id", "name")
     narrow = scored_only(results).select("run_id", F.explode("conventions_tested").alias("name"), "rec_id", "ord", "score")
     lowest = top_k(narrow, ["run_id", "name"], [F.col("score"), F.col("ord")], k).drop("ord", "score")
-    chosen = materialize(targets.join(lowest, ["run_id", "name"]), "seeds")
+    chosen, fits = materialize_measured(targets.join(lowest, ["run_id", "name"]), "seeds")
     texts = results.select("run_id", "rec_id", "id", "label", "score", "conventions_tested", "prompt", "expected", "generated")
-    seeds = lookup_join(texts, chosen, ["run_id", "rec_id"], ["id"], stored=True).select(
+    seeds = join_measured(texts, chosen, fits, ["run_id", "rec_id"], ["id"]).select(
         "run_id",
         "name",
         F.col("rank").cast("bigint").alias("rank"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
@@ -26,16 +26,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether a materialized table is small enough to copy to every executor."""
+def fits_broadcast(rows: int, size: int) -> bool:
+    """Whether a table of that many rows and bytes may be copied to every executor."""
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def _row_width(schema: StructType) -> Column:
+    """Approximate bytes of a row."""
+    varying = (StringType, StructType, ArrayType, MapType)
     sizes = [
         F.octet_length(f.name if isinstance(f.dataType, StringType) else F.to_json(F.struct(f.name)))
-        for f in df.schema
-        if isinstance(f.dataType, (StringType, StructType, ArrayType, MapType))
+        for f in schema
+        if isinstance(f.dataType, varying)
     ]
-    width = sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(16 * len(df.columns)))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    return row["n"] <= BROADCAST_ROWS and row["b"] <= BROADCAST_BYTES
+    return sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(16 * len(schema)))
+
+
+def materialize_measured(df: DataFrame, label: str) -> tuple[DataFrame, bool]:
+    """:func:`materialize`, and whether the table fits a broadcast; measured while it is written."""
+    seen = Observation()
+    measured = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_width(df.schema)).alias("size"))
+    table = materialize(measured, label)
+    return table, fits_broadcast(seen.get["rows"], seen.get["size"] or 0)
 
 
 def salted_join(
@@ -66,10 +78,10 @@ def hot_key_join(big: DataFrame, other: DataFrame, key: str, salt_by: Sequence[s
     """
     pieces = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("bigint")
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = materialize(counts.select(key, pieces.alias("_pieces")), "hot-keys")
+    hot, small = materialize_measured(counts.select(key, pieces.alias("_pieces")), "hot-keys")
     if hot.isEmpty():
         return big.join(other, key)
-    if not fits_broadcast(hot):
+    if not small:
         return salted_join(big, other, [key], salt_by)
     n = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
     left = big.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), n))
@@ -84,14 +96,17 @@ def lookup_join(
     salt_by: Sequence[str],
     how: str = "inner",
     label: str = "lookup",
-    stored: bool = False,
 ) -> DataFrame:
-    """Join a derived per-key table: broadcast if its measured size allows, else salted.
+    """Join a derived per-key table: it is stored, and broadcast if its size allows, else salted."""
+    table, fits = materialize_measured(small, label)
+    return join_measured(big, table, fits, on, salt_by, how)
 
-    The table is stored first, unless it already is (``stored``).
-    """
-    table = small if stored else materialize(small, label)
-    if fits_broadcast(table):
+
+def join_measured(
+    big: DataFrame, table: DataFrame, fits: bool, on: Sequence[str], salt_by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """:func:`lookup_join` with a table of :func:`materialize_measured`."""
+    if fits:
         return big.join(F.broadcast(table), list(on), how)
     return salted_join(big, table, on, salt_by, how)
 
