@@ -46,8 +46,14 @@ def override_system(messages: Column, prompt: Column | str) -> Column:
 
 def standardize_sharegpt(conversations: Column) -> Column:
     """``from``/``value`` turns as ``role``/``content``; unknown speakers pass through."""
-    names = F.create_map(*[F.lit(x) for pair in SPEAKER_ROLES.items() for x in pair])
-    return F.transform(conversations, lambda t: turn(F.coalesce(names[t["from"]], t["from"]), t["value"]))
+
+    def role(speaker: Column) -> Column:
+        chain = F
+        for name, known in SPEAKER_ROLES.items():
+            chain = chain.when(speaker == name, known)
+        return chain.otherwise(speaker)
+
+    return F.transform(conversations, lambda t: turn(role(t["from"]), t["value"]))
 
 
 def render_chat(messages: Column, template: str | tuple[str, str, str] = "chatml") -> Column:
