@@ -46,15 +46,21 @@ def _parsed(lines: DataFrame, schema, mode: str) -> DataFrame:
     return lines.withColumn("record", record if strict else F.when(~broken, record))
 
 
-def read_examples(spark: SparkSession, root: str, mode: str = "failfast", glob: str = EXAMPLE_GLOB) -> DataFrame:
+def read_examples(
+    spark: SparkSession, root: str, mode: str = "failfast", glob: str = EXAMPLE_GLOB, ordinal: bool = False
+) -> DataFrame:
     """API examples of all endpoints below ``root``; blank lines are skipped.
 
-    ``mode='quarantine'`` keeps malformed lines, with their text in ``malformed``.
+    ``mode='quarantine'`` keeps malformed lines, with their text in ``malformed``. With
+    ``ordinal`` the line number in the file is added; with the path it tells copies apart.
     """
-    lines = read_lines(spark, f"{root.rstrip('/')}/{glob}").filter(F.length(py_strip(F.col("value"))) > 0)
+    lines = read_lines(spark, f"{root.rstrip('/')}/{glob}")
+    lines = with_ordinal(lines) if ordinal else lines.filter(F.length(py_strip(F.col("value"))) > 0)
     parsed = _parsed(lines, schemas.API_EXAMPLE, mode)
     endpoint = F.regexp_extract("path", ENDPOINT_OF_PATH, 1)
     columns = ["path", endpoint.alias("endpoint"), "record.question", "record.api_call"]
+    if ordinal:
+        columns.append("line_no")
     if mode == "failfast":
         return parsed.select(*columns)
     return parsed.select(*columns, F.when(F.col("record").isNull(), F.col("value")).alias("malformed"))

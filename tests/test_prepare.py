@@ -183,6 +183,8 @@ def test_read_examples(spark, tmp_path):
     rows = readers.read_examples(spark, str(tmp_path)).orderBy("question").collect()
     assert [(r.endpoint, r.question) for r in rows] == [("items", "q1"), ("items", "q2")]
     assert list(json.loads(rows[0].api_call)["params"]) == ["b", "a"]
+    numbered = readers.read_examples(spark, str(tmp_path), ordinal=True).orderBy("question").collect()
+    assert [(r.question, r.line_no) for r in numbered] == [("q1", 1), ("q2", 3)]
 
 
 def test_read_examples_malformed(spark, tmp_path):
