@@ -1,4 +1,4 @@
 """All queries of this subpackage."""
 
-from gradeloom.llm import queries_dedup, queries_quality, queries_search, queries_tokens  # noqa: F401
+from gradeloom.llm import queries_dedup, queries_mixing, queries_quality, queries_search, queries_secrets, queries_sharding, queries_tokens  # noqa: F401
 from gradeloom.llm.registry import ORACLES, QUERIES  # noqa: F401
