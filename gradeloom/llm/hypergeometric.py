@@ -50,8 +50,8 @@ def draw_sql(good: str, total: str, drawn: str, u: str) -> str:
     walk = f"CAST(coalesce(aggregate(sequence(1, p.w), {start}, (a, i) -> {picked}, a -> a.k), p.mode) AS BIGINT)"
     lowest, highest = "greatest(0D, p.d - (p.t - p.g))", "least(p.d, p.g)"
     mode = f"greatest({lowest}, least({highest}, floor((p.d + 1D) * (p.g + 1D) / (p.t + 2D))))"
-    spread = "sqrt(p.d * p.g / p.t * (p.t - p.g) / p.t * (p.t - p.d) / greatest(p.t - 1D, 1D))"
-    width = f"CAST(greatest(1D, least({highest} - {lowest}, ceil(10D * coalesce({spread}, 0D)) + 10D)) AS INT)"
+    spread = "sqrt(p.d * p.g / greatest(p.t, 1D) * (p.t - p.g) / greatest(p.t, 1D) * (p.t - p.d) / greatest(p.t - 1D, 1D))"
+    width = f"CAST(greatest(1D, least({highest} - {lowest}, ceil(10D * {spread}) + 10D)) AS INT)"
     given = f"named_struct('g', CAST({good} AS DOUBLE), 't', CAST({total} AS DOUBLE), 'd', CAST({drawn} AS DOUBLE), 'u', {u})"
     full = f"named_struct('g', p.g, 't', p.t, 'd', p.d, 'u', p.u, 'mode', CAST({mode} AS DOUBLE), 'w', {width})"
     return _let("p", given, _let("p", full, walk))

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from gradeloom.plans.skew import lookup_join, materialize
 from gradeloom.session import scratch_path
 
-_CODE = r"A-Za-z0-9_+/=.@:\-"
-#: At least ten code-like characters, starting where a run starts, with a digit.
-CANDIDATE = rf"(?<![{_CODE}])(?=[{_CODE}]*[0-9])[{_CODE}]{{10,}}+"
+_CODE = r"A-Za-z0-9_+/.@\-"
+#: At least ten code-like characters, starting where a run starts, with a digit, and the padding of an encoding.
+CANDIDATE = rf"(?<![{_CODE}])(?=[{_CODE}]*[0-9])[{_CODE}]{{10,}}+={{0,2}}"
 BEFORE_CHARS, AFTER_CHARS = 64, 32
 #: Words from this number of occurrences in the corpus on are in its dictionary.
 WORD_COUNT = 20
@@ -67,8 +67,8 @@ def rule_labels(found: DataFrame) -> DataFrame:
     c = F.col("candidate")
     given = F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]\s*[\"']?$")
     random = c.rlike(r"^[A-Za-z0-9+/_=\-]{16,}$") & c.rlike("[A-Za-z]") & c.rlike("[0-9]")
-    number = c.rlike(r"^[0-9.:/_=+\-]+$")
-    address = c.rlike(r"^[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(\.[A-Za-z0-9\-]+)+\.?$") | c.rlike(r"^https?:/")
+    number = c.rlike(r"^[0-9./_+\-]+$")
+    address = c.rlike(r"^[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(\.[A-Za-z0-9\-]+)+\.?$") | c.rlike("^//")
     return found.withColumn("label", F.when(given & random, 1).when(number | address, 0).cast("int"))
 
 
@@ -99,7 +99,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     rows = lookup_join(found, coverage(found, words), ["candidate"], ["doc_id", "start"], "left", "coverage")
     features = {
         "length": size, "transitions": changes, "transition_share": changes / size, "digit_share": _share("0-9"),
-        "upper_share": _share("A-Z"), "lower_share": _share("a-z"), "mark_share": _share(r"_+/=.@:\-"),
+        "upper_share": _share("A-Z"), "lower_share": _share("a-z"), "mark_share": _share(r"_+/=.@\-"),
         "distinct_share": F.size(F.array_distinct(F.split(c, ""))) / size, "coverage": F.coalesce("covered", F.lit(0)) / size,
         "slashes": F.regexp_count(c, F.lit("/")), "dots": F.regexp_count(c, F.lit("[.]")), "ats": F.regexp_count(c, F.lit("@")),
         "in_examples": F.coalesce(F.col("path").rlike(f"(?i)(^|[^a-z])({EXAMPLE_PATHS})"), F.lit(False)),
@@ -148,9 +148,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
 
 def redact(docs: DataFrame, scanned: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``MARK``; other columns and rows as they are."""
-    spans = scanned.filter("is_secret").groupBy("doc_id", "text_key").agg(F.reverse(F.array_sort(F.collect_set(F.struct("start", "length")))).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "_spans")
-    rows = docs.withColumn("_doc", F.col(doc).cast("bigint")).withColumn("_key", F.xxhash64(F.col(text).cast("string")))
+    no_id = F.lit(-1).cast("bigint")
+    secret = scanned.filter("is_secret").select(F.coalesce("doc_id", no_id).alias("_doc"), F.col("text_key").alias("_key"), "start", "length")
+    spans = secret.groupBy("_doc", "_key").agg(F.reverse(F.array_sort(F.collect_set(F.struct("start", "length")))).alias("_spans"))
+    rows = docs.withColumn("_doc", F.coalesce(F.col(doc).cast("bigint"), no_id)).withColumn("_key", F.xxhash64(F.col(text).cast("string")))
     rows = lookup_join(rows, spans, ["_doc", "_key"], ["_key"], "left", "spans")
     put = lambda t, s: F.overlay(t, F.lit(MARK), (s["start"] + 1).cast("int"), s["length"].cast("int"))
     clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.aggregate("_spans", F.col(text), put))
