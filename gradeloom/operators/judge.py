@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.functions.jsontext import whole_json
 from gradeloom.functions.text import ERROR_BAND, band, basis_points, mean_of_points, py_strip, stored_score
 from gradeloom.operators.aggregate import band_columns, tag_breakdown
 from gradeloom.plans.once import compute_once
@@ -55,7 +56,7 @@ def parse_judgement(response: Column, failure: Column | None = None) -> Column:
     failed call (its error type in ``failure``) counts 0.0 as well. Scores are not clamped.
     """
     text = response_text(response)
-    return judgement_of(text, F.try_parse_json(text), failure)
+    return judgement_of(text, whole_json(text), failure)
 
 
 def response_text(response: Column) -> Column:
@@ -85,7 +86,7 @@ def judgements(responses: DataFrame) -> DataFrame:
     """Parsed responses ``(run_id, rec_id, judge_raw, judge_reason)``."""
     keys = ["run_id", "rec_id"]
     texts = responses.select(*keys, "failure", response_text(F.col("response")).alias("_text"))
-    parsed = texts.withColumn("_json", F.try_parse_json("_text"))
+    parsed = texts.withColumn("_json", whole_json(F.col("_text")))
     judged = compute_once(parsed, {"j": judgement_of(F.col("_text"), F.col("_json"), F.col("failure"))})
     return judged.select(*keys, "j.*")
 

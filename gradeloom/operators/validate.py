@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gradeloom.functions.jsontext import whole_json
 from gradeloom.functions.rules import grade_records
 from gradeloom.functions.text import py_strip
 from gradeloom.plans.once import compute_once
@@ -73,7 +74,7 @@ def validate_sharegpt(lines: DataFrame, first_n: int | None = None, value: str =
         .when(first.isNull(), "conversations is not a non-empty list")
         .when(~has_keys, "first turn lacks from or value")
     )
-    checked = compute_once(records.select(*kept, F.try_parse_json(text).alias("_json")), {"reason": reason})
+    checked = compute_once(compute_once(records, {"_json": whole_json(text)}).select(*kept, "_json"), {"reason": reason})
     return checked.select(*kept, "reason").filter(F.col("reason").isNotNull())
 
 

@@ -29,7 +29,9 @@ SHAREGPT = StructType(
 MESSAGES = ArrayType(_struct(role=STRING, content=STRING))
 HOLDOUT = _struct(id=STRING, label=STRING, messages=MESSAGES, conventions_tested=STRINGS, source_file=STRING)
 
-PREDICTION = _struct(model=STRING, rec_id=LONG, id=STRING, generated=STRING, error=STRING)
+PREDICTION = _struct(run_id=STRING, model=STRING, rec_id=LONG, id=STRING, generated=STRING, error=STRING)
+
+JUDGE_RESPONSE = _struct(run_id=STRING, rec_id=LONG, response=STRING, failure=STRING)
 
 RESULT = _struct(
     id=STRING, label=STRING, source_file=STRING, conventions_tested=STRINGS, score=DOUBLE, band=STRING,

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gradeloom import schemas
+from gradeloom.functions.jsontext import has_keys, whole_json
 from gradeloom.functions.logs import parse_log_line
 from gradeloom.functions.names import file_stem, parse_run_name
 from gradeloom.functions.text import py_strip
 from gradeloom.operators.validate import with_ordinal
+from gradeloom.plans.once import compute_once
 
 log = logging.getLogger(__name__)
 
 EXAMPLE_GLOB = "*/training.jsonl"
+SHOWN_CHARS = 80
+SHOWN_NAMES = 20
 # ``<endpoint>/training.jsonl``, the file being one file or a folder of parts; or ``endpoint=<endpoint>/``.
 ENDPOINT_OF_PATH = r"([^/=]+)/(?:training\.jsonl(?:/[^/]*)?|part-[^/]*)$"
 
@@ -38,12 +42,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _parsed(lines: DataFrame, schema, mode: str) -> DataFrame:
-    """``record`` from each line; malformed lines raise, or stay with a null record."""
-    strict = mode == "failfast"
-    record = F.from_json("value", schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
-    broken = F.try_parse_json("value").isNull()
-    return lines.withColumn("record", record if strict else F.when(~broken, record))
+def _parsed(lines: DataFrame, schema, mode: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """``record`` from each line; malformed lines raise, or stay with a null record.
+
+    A line is malformed if it is not one JSON object with the required keys and nothing else.
+    """
+    checked = compute_once(lines, {"_good": has_keys(whole_json(F.col("value")), *required)})
+    record = F.from_json("value", schema, {"mode": "PERMISSIVE"})
+    if mode == "failfast":
+        at = F.concat(F.lit("malformed record in "), F.col("path"), F.lit(": "), F.left("value", F.lit(SHOWN_CHARS)))
+        record = F.when(F.col("_good"), record).otherwise(F.raise_error(at).cast(schema))
+    else:
+        record = F.when(F.col("_good"), record)
+    return checked.withColumn("record", record).drop("_good")
 
 
 def read_examples(
@@ -56,7 +67,7 @@ def read_examples(
     """
     lines = read_lines(spark, f"{root.rstrip('/')}/{glob}")
     lines = with_ordinal(lines) if ordinal else lines.filter(F.length(py_strip(F.col("value"))) > 0)
-    parsed = _parsed(lines, schemas.API_EXAMPLE, mode)
+    parsed = _parsed(lines, schemas.API_EXAMPLE, mode, ("question", "api_call"))
     endpoint = F.regexp_extract("path", ENDPOINT_OF_PATH, 1)
     columns = ["path", endpoint.alias("endpoint"), "record.question", "record.api_call"]
     if ordinal:
@@ -67,8 +78,14 @@ def read_examples(
 
 
 def read_sharegpt(spark: SparkSession, path: str) -> DataFrame:
-    """Training conversations."""
-    return spark.read.schema(schemas.SHAREGPT).option("mode", "FAILFAST").json(path)
+    """Training conversations; blank lines are skipped, malformed ones raise."""
+    lines = _records(spark, path)
+    return _parsed(lines, schemas.SHAREGPT, "failfast", ("conversations",)).select("record.conversations")
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    lines = read_lines(spark, path)
+    return lines.filter(F.length(py_strip(F.col("value"))) > 0)
 
 
 def read_holdout(spark: SparkSession, path: str, ordinal: bool = False) -> DataFrame:
@@ -84,11 +101,17 @@ def read_holdout(spark: SparkSession, path: str, ordinal: bool = False) -> DataF
     if ordinal:
         lines = with_ordinal(lines)
         added = [(F.col("line_no") - 1).alias("ord")]
-    return _parsed(lines, schemas.HOLDOUT, "failfast").select("record.*", "path", *added)
+    return _parsed(lines, schemas.HOLDOUT, "failfast", ("messages",)).select("record.*", "path", *added)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PREDICTION).option("mode", "FAILFAST").json(path)
+    """Generated answers ``(run_id, model, rec_id, id, generated, error)``; malformed lines raise."""
+    return _parsed(_records(spark, path), schemas.PREDICTION, "failfast", ("rec_id",)).select("record.*")
+
+
+def read_judge_responses(spark: SparkSession, path: str) -> DataFrame:
+    """A judge's raw responses ``(run_id, rec_id, response, failure)``; malformed lines raise, odd responses do not."""
+    return _parsed(_records(spark, path), schemas.JUDGE_RESPONSE, "failfast", ("run_id", "rec_id")).select("record.*")
 
 
 def read_runs(spark: SparkSession, folder: str, on_error: str = "skip", glob: str = "*.json") -> DataFrame:
@@ -106,6 +129,9 @@ def read_runs(spark: SparkSession, folder: str, on_error: str = "skip", glob: st
     name = F.when(in_folder != "", in_folder).otherwise(file_stem(path))
     docs = docs.select("*", name.alias("run_id"), F.col("_metadata.file_modification_time").alias("mtime"))
     if not strict:
+        broken = [r.run_id for r in docs.filter(F.col("_corrupt_record").isNotNull() & F.col("meta").isNull()).select("run_id").limit(SHOWN_NAMES + 1).collect()]
+        if broken:
+            log.warning("unreadable run documents left out: %s%s", ", ".join(broken[:SHOWN_NAMES]), " ..." * (len(broken) > SHOWN_NAMES))
         docs = docs.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     return docs.withColumn("name_parts", parse_run_name(F.col("run_id"))).withColumn(
         "run_kind", F.when(F.col("meta.system_prompt_source").isNotNull(), "prompt_baseline")
@@ -125,6 +151,16 @@ def run_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return runs, tags, results
 
 
+def read_run_tables(spark: SparkSession, root: str, prefix: str = "") -> dict[str, DataFrame]:
+    """The tables ``runs``, ``run_tags``, ``run_tag_scores`` and ``run_results`` that the run sink wrote.
+
+    ``prefix='judged_'`` reads those of judged runs. Columns of ``runs`` are those it was written with. Documents made
+    elsewhere are read with :func:`read_runs` and taken apart with :func:`run_rows`.
+    """
+    names = {"runs": "runs", "run_tags": "run_tags", "run_tag_scores": "run_tag_scores", "run_results": "results" if prefix else "run_results"}
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{prefix}{folder}") for name, folder in names.items()}
+
+
 def read_results(spark: SparkSession, root: str, model: str | None = None, run_id: str | None = None) -> DataFrame:
     """Stored result rows, of one model or run if given; other folders are not read."""
     rows = spark.read.schema(schemas.RUN_RESULTS).parquet(f"{root.rstrip('/')}/run_results")
