@@ -172,8 +172,8 @@ def build_status(parts: dict[str, DataFrame]) -> DataFrame:
     """The whole status as rows ``(run_id, section, rank, name, item)``; ``item`` is JSON.
 
     Lists stay rows because some have no bound (every boilerplate case is one item);
-    ``rank`` and ``name`` order a section. For nested documents of runs whose lists are
-    small see :func:`gradeloom.sources.sinks.status_documents`.
+    ``rank`` and ``name`` order a section. For nested documents of named
+    runs see :func:`gradeloom.sources.sinks.status_documents`.
     """
     zero = F.lit(0.0)
     rank = {

@@ -89,18 +89,23 @@ def _(spark, sf):
     return spark.read.schema(ex.schema).parquet(path).select("endpoint", "key", "question")
 
 
-RUN_BACK = f"""SELECT run_id, count(*) AS n_results, CAST(sum(CAST(round(score * 1e4) AS BIGINT)) AS BIGINT) AS score_bp, count(DISTINCT label) AS labels FROM results GROUP BY run_id"""
-
-
-@query("write_run", q.ctes(RESULTS_SQL) + RUN_BACK)
+@query("write_run", q.ctes(RESULTS_SQL, BREAKDOWN_SQL, SUMMARY_SQL) + """
+SELECT r.run_id, r.rec_id, r.id, r.label, r.score, r.band, r.error, md5(r.generated) AS generated, s.avg_score, s.total, s.run_id || '.yaml' AS manifest FROM results r JOIN summary s ON r.run_id = s.run_id
+UNION ALL SELECT run_id, NULL, convention, NULL, avg, NULL, NULL, NULL, NULL, n, NULL FROM breakdown""")
 def _(spark, sf):
     path = scratch_path(spark, "runs")
     res = materialize(_with_model(results(spark, sf)), "results")
-    sinks.write_run(res, run_summary(res), path)
-    back = spark.read.schema(res.schema).parquet(f"{path}/run_results")
-    return back.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("n_results"), F.sum("score_bp").alias("score_bp"), F.count_distinct("label").alias("labels")
-    )
+    meta = res.select("run_id", "model").distinct().withColumn("manifest", F.concat("run_id", F.lit(".yaml")))
+    sinks.write_run(res, run_summary(res), path, meta)
+    back = readers.read_run_tables(spark, path)
+    rows = back["run_results"].join(back["runs"].select("run_id", "avg_score", "total", "manifest"), "run_id")
+    nothing = F.lit(None)
+    tags = back["run_tags"].select(
+        "run_id", nothing.cast("bigint").alias("rec_id"), F.col("convention").alias("id"), nothing.cast("string").alias("label"), F.col("avg").alias("score"),
+        *[nothing.cast("string").alias(c) for c in ("band", "error", "generated")], nothing.cast("double").alias("avg_score"), F.col("n").alias("total"), nothing.cast("string").alias("manifest"),
+    )
+    rows = rows.select("run_id", "rec_id", "id", "label", "score", "band", "error", F.md5("generated").alias("generated"), "avg_score", "total", "manifest")
+    return rows.unionByName(tags)
 
 
 def _with_model(res):
@@ -112,12 +117,13 @@ SELECT s.run_id, split_part(s.run_id, '_', 3) AS model, s.avg_score, s.excellent
   (SELECT CAST(sum(n) AS BIGINT) FROM breakdown b WHERE b.run_id = s.run_id) AS tag_scores, (SELECT count(*) FROM breakdown b WHERE b.run_id = s.run_id AND avg < 6e-1) AS n_weak,
   (SELECT CAST(sum(length(generated)) AS BIGINT) FROM results r WHERE r.run_id = s.run_id) AS answer_chars FROM summary s""")
 def _(spark, sf):
-    """Nested run documents, written one file per run and read back into rows."""
+    """Nested documents of all runs by name, written one file per run and read back into rows."""
     path = scratch_path(spark, "documents")
     res = materialize(_with_model(results(spark, sf)), "results")
     runs = res.select("run_id", "model").distinct().withColumn("base_model", F.lit("base"))
-    sinks.write_run(res, run_summary(res), path, runs)
-    docs = readers.read_runs(spark, f"{path}/documents", on_error="fail", glob=readers.RUN_FOLDER_GLOB)
+    names = [r.run_id for r in runs.select("run_id").collect()]  # a handful of stand-in runs
+    sinks.write_documents(sinks.run_documents(res, runs, names), path)
+    docs = readers.read_runs(spark, path, on_error="fail", glob=readers.RUN_FOLDER_GLOB)
     run_table, tags, rows = readers.run_rows(docs)
     per_tag = tags.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("n_tags"), F.sum(F.size("scores")).alias("tag_scores"), F.count_if(F.col("avg") < 0.6).alias("n_weak")
@@ -142,7 +148,8 @@ def _(spark, sf):
     path = scratch_path(spark, "judged")
     rows = _with_model(judged(spark, sf))
     sinks.write_judged(rows, path)
-    return judge_summary(spark.read.schema(rows.schema).parquet(f"{path}/judged_results"))
+    back = readers.read_run_tables(spark, path, "judged_")
+    return judge_summary(back["run_results"])
 
 
 @query("write_status", B + ",\n" + ",\n".join([BOOST, CODED]) + """
@@ -157,9 +164,10 @@ def _(spark, sf):
     path = scratch_path(spark, "status")
     res, runs, tags, cycle = status_inputs(spark, sf)
     parts = status.status_parts(res, runs, tags, cycle)
-    docs = sinks.status_documents(parts, runs)
-    sinks.write_status(status.build_status(parts), path, docs)
-    back = spark.read.schema(docs.schema).json(f"{path}/documents")
+    names = [r.run_id for r in runs.select("run_id").collect()]  # a handful of stand-in runs
+    docs = sinks.status_documents(parts, names)
+    sinks.write_documents(docs, path)
+    back = spark.read.schema(docs.schema).json(path)
     return back.select(
         "run_id",
         F.size("boost_conventions").cast("bigint").alias("n_boost"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +11,7 @@ from gradeloom.functions.rules import priority_rank
 from gradeloom.functions.text import ALL_BANDS, WEAK_SCORE
 from gradeloom.operators.aggregate import run_summary, tag_breakdown, tag_scores
 from gradeloom.operators.judge import judge_summary
-from gradeloom.operators.status import SEED_FIELDS
-
-# Runs with more list items than this are exported as rows only.
-DOCUMENT_ITEMS = 10_000
+from gradeloom.operators.status import SEED_FIELDS, build_status
 
 
 def write_sharegpt(df: DataFrame, path: str) -> None:
@@ -55,11 +51,6 @@ def write_tables(path: str, partition_by: list[str], **tables: DataFrame) -> Non
         (writer.partitionBy(*keys) if keys else writer).parquet(f"{path.rstrip('/')}/{name}")
 
 
-def small_runs(results: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """Ids of the runs few enough rows make up to be nested into one document each."""
-    return results.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= max_items).select("run_id")
-
-
 RESULT_FIELDS = (
     "id", "label", "source_file", "conventions_tested", "score", "band", "prompt", "expected", "generated", "error",
     "length_ratio",
@@ -97,13 +88,13 @@ def _summary_struct(rows: DataFrame, averages: DataFrame, score_col: str, weak:
     return averages.join(tags, "run_id", "left").select("run_id", "total", F.struct(*fields).alias("summary"))
 
 
-def run_documents(results: DataFrame, runs: DataFrame, max_items: int = DOCUMENT_ITEMS, weak: bool = True) -> DataFrame:
-    """Nested documents ``(run_id, meta, summary, results)`` of runs up to ``max_items`` rows.
+def run_documents(results: DataFrame, runs: DataFrame, names: Sequence[str], weak: bool = True) -> DataFrame:
+    """Nested documents ``(run_id, meta, summary, results)`` of the named runs.
 
-    Larger runs are complete in the row tables that :func:`write_run` writes for every run.
-    Prompt-only runs carry no weak tags (``weak=False``).
+    A document holds all of its run's rows in one value, so it is made only for runs that are asked for by name; the row
+    tables of :func:`write_run` hold every run of any size. Prompt-only runs carry no weak tags (``weak=False``).
     """
-    rows = results.join(small_runs(results, max_items), "run_id", "left_semi")
+    rows, runs = (df.filter(F.col("run_id").isin(*names)) for df in (results, runs))
     fields = [*RESULT_FIELDS, *[c for c in JUDGE_FIELDS if c in rows.columns]]
     listed = rows.groupBy("run_id").agg(_items(F.collect_list(F.struct("ord", *fields)), fields).alias("results"))
     meta = [c for c in runs.columns if c != "run_id"]
@@ -114,12 +105,12 @@ def run_documents(results: DataFrame, runs: DataFrame, max_items: int = DOCUMENT
     )
 
 
-def judged_documents(judged: DataFrame, runs: DataFrame, max_items: int = DOCUMENT_ITEMS) -> DataFrame:
-    """:func:`run_documents` of a judged run: the judge's summary, the other one beside it."""
-    rows = judged.join(small_runs(judged, max_items), "run_id", "left_semi")
+def judged_documents(judged: DataFrame, runs: DataFrame, names: Sequence[str]) -> DataFrame:
+    """:func:`run_documents` of judged runs: the judge's summary, the other one beside it."""
+    rows = judged.filter(F.col("run_id").isin(*names))
     averages = judge_summary(rows).withColumnRenamed("judge_avg", "avg_score")
     by_judge = _summary_struct(rows, averages, "judge_score", weak=False).select("run_id", "summary")
-    docs = run_documents(judged, runs, max_items).withColumnRenamed("summary", "similarity_summary")
+    docs = run_documents(judged, runs, names).withColumnRenamed("summary", "similarity_summary")
     return docs.join(by_judge, "run_id").select("run_id", "meta", "similarity_summary", "summary", "results")
 
 
@@ -128,37 +119,53 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.repartition("run_id").write.mode("overwrite").partitionBy("run_id").json(path)
 
 
+def _run_tables(results: DataFrame, summary: DataFrame, runs: DataFrame | None, score_col: str) -> dict[str, DataFrame]:
+    """``runs`` (all metadata, averages, band counts), ``run_tags`` and ``run_tag_scores`` of result rows."""
+    known = summary if runs is None else runs.join(summary, "run_id", "left")
+    return {
+        "runs": known, "run_tags": tag_breakdown(results, score_col),
+        "run_tag_scores": tag_scores(results, score_col).select("run_id", "convention", "ord", "score"),
+    }
+
+
 def write_run(results: DataFrame, summary: DataFrame, path: str, runs: DataFrame | None = None) -> None:
-    """Rows of every run as Parquet tables by model and run; small runs also as JSON documents."""
-    write_tables(path, ["model", "run_id"], run_results=results, run_summary=summary)
-    if runs is not None:
-        write_documents(run_documents(results, runs), f"{path.rstrip('/')}/documents")
+    """Every run of any size as Parquet tables: ``run_results``, ``runs``, ``run_tags``, ``run_tag_scores``.
+
+    ``runs (run_id, ...)`` holds what else is known of each run; all its columns are stored.
+    """
+    write_tables(path, ["model", "run_id"], run_results=results, **_run_tables(results, summary, runs, "score"))
 
 
 def write_judged(df: DataFrame, path: str, runs: DataFrame | None = None) -> None:
-    """Judged result rows by run; small runs also as JSON documents."""
-    write_tables(path, ["model", "run_id"], judged_results=df)
-    if runs is not None:
-        write_documents(judged_documents(df, runs), f"{path.rstrip('/')}/documents")
+    """Judged runs as Parquet tables: ``judged_results``, and the judge's ``judged_runs``, ``judged_run_tags``, ``judged_run_tag_scores``."""
+    tables = _run_tables(df, judge_summary(df), runs, "judge_score")
+    write_tables(path, ["model", "run_id"], judged_results=df, **{f"judged_{name}": t for name, t in tables.items()})
+
+
+def _generated(at: str | None) -> Column:
+    """When a status was made: as given, or now, in UTC."""
+    now = F.date_format(F.to_utc_timestamp(F.now(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.lit(at) if at else now
+
+
+def status_meta(parts: dict[str, DataFrame], generated_at: str | None = None) -> DataFrame:
+    """One row per run: when its status was made, on which set and cycle, from which run, and the action."""
+    source = F.concat("run_id", F.lit(".json")).alias("source_eval")
+    return parts["summary"].select("run_id", _generated(generated_at).alias("generated_at"), "eval_set", "cycle", "action", source)
 
 
-def status_documents(
-    parts: dict[str, DataFrame], runs: DataFrame, generated_at: str | None = None, max_items: int = DOCUMENT_ITEMS
-) -> DataFrame:
-    """One nested status per run from :func:`gradeloom.operators.status.status_parts`.
+def status_documents(parts: dict[str, DataFrame], names: Sequence[str], generated_at: str | None = None) -> DataFrame:
+    """One nested status for each of the named runs, from :func:`gradeloom.operators.status.status_parts`.
 
-    Covers runs whose lists hold up to ``max_items`` entries; larger ones are complete in
-    the status rows. ``generated_at`` defaults to the time of the query, in UTC.
+    Its lists are single values, so it is made only for runs asked for by name; the rows of :func:`write_status` hold every
+    run of any size. ``generated_at`` defaults to the time of the query, in UTC.
     """
-    lists = {k: v for k, v in parts.items() if k != "summary"}
-    sizes = reduce(DataFrame.unionByName, [df.select("run_id") for df in lists.values()])
-    large = sizes.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_items).select("run_id")
-    doc = parts["summary"].join(large, "run_id", "left_anti")
+    lists = {k: v.filter(F.col("run_id").isin(*names)) for k, v in parts.items() if k != "summary"}
+    doc = parts["summary"].filter(F.col("run_id").isin(*names))
 
     def listed(name: str, order: list, fields: list) -> DataFrame:
-        kept = lists[name].join(large, "run_id", "left_anti")
         entry = F.struct(F.struct(*order).alias("_order"), F.struct(*fields).alias("_item"))
-        return kept.groupBy("run_id").agg(
+        return lists[name].groupBy("run_id").agg(
             F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["_item"]).alias(f"_{name}")
         )
 
@@ -168,8 +175,7 @@ def status_documents(
     )
     skip = listed("skip", ["avg_score", "name"], ["name", "avg_score", "reason"])
     cases = listed("boilerplate", ["ord"], ["func", "score", "length_ratio"])
-    seeds = lists["seed"].join(large, "run_id", "left_anti")
-    per_tag = seeds.groupBy("run_id", "name").agg(
+    per_tag = lists["seed"].groupBy("run_id", "name").agg(
         F.array_sort(F.collect_list(F.when(F.col("rank").isNotNull(), F.struct("rank", *SEED_FIELDS)))).alias("e")
     )
     seed_map = per_tag.groupBy("run_id").agg(
@@ -191,11 +197,10 @@ def status_documents(
         return F.coalesce(F.col(column), empty.cast(doc.schema[column].dataType))
 
     nothing = F.array()
-    now = F.lit(generated_at) if generated_at else F.date_format(F.to_utc_timestamp(F.now(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     uncovered = or_empty("_uncovered", nothing) if "uncovered" in lists else F.array().cast("array<struct<name:string>>")
     return doc.select(
         "run_id",
-        F.struct(now.alias("generated_at"), "eval_set", "cycle", "action", F.concat("run_id", F.lit(".json")).alias("source_eval")).alias("meta"),
+        F.struct(_generated(generated_at).alias("generated_at"), "eval_set", "cycle", "action", F.concat("run_id", F.lit(".json")).alias("source_eval")).alias("meta"),
         F.struct("avg_similarity", "previous_avg", "base_model_avg", "excellent", "good", "partial", "poor", "total").alias("scores"),
         or_empty("_boost", nothing).alias("boost_conventions"),
         or_empty("_skip", nothing).alias("skip_conventions"),
@@ -205,9 +210,9 @@ def status_documents(
     )
 
 
-def write_status(status: DataFrame, path: str, documents: DataFrame | None = None) -> None:
-    """Status rows of every run in section order; nested documents one file per run."""
+def write_status(parts: dict[str, DataFrame], path: str, generated_at: str | None = None) -> None:
+    """The status of every run of any size: ``rows`` by section and place, and ``meta``, one row per run."""
     root = path.rstrip("/")
-    status.orderBy("run_id", "section", "rank", "name").write.mode("overwrite").json(f"{root}/rows")
-    if documents is not None:
-        write_documents(documents, f"{root}/documents")
+    rows = build_status(parts)
+    rows.repartitionByRange("run_id", "section", "rank", "name").sortWithinPartitions("run_id", "section", "rank", "name").write.mode("overwrite").json(f"{root}/rows")
+    status_meta(parts, generated_at).write.mode("overwrite").json(f"{root}/meta")

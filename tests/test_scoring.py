@@ -178,8 +178,8 @@ def status_inputs(spark):
 
 def test_status_document(spark, tmp_path):
     parts = status.status_parts(*status_inputs(spark))
-    docs = sinks.status_documents(parts, None, "2026-01-02T10:00:00Z")
-    sinks.write_status(status.build_status(parts), str(tmp_path), docs)
+    sinks.write_status(parts, str(tmp_path), "2026-01-02T10:00:00Z")
+    sinks.write_documents(sinks.status_documents(parts, ["r"], "2026-01-02T10:00:00Z"), str(tmp_path / "documents"))
     (path,) = (tmp_path / "documents").glob("run_id=r/*.json")
     doc = json.loads(path.read_text())
     assert doc["meta"] == {"generated_at": "2026-01-02T10:00:00Z", "eval_set": "holdout", "cycle": 7, "action": "GENERATE_DATA", "source_eval": "r.json"}
@@ -191,31 +191,44 @@ def test_status_document(spark, tmp_path):
     assert doc["seed_candidates"] == {"b": []}
     sections = {json.loads(x)["section"] for f in (tmp_path / "rows").glob("*.json") for x in f.read_text().splitlines()}
     assert sections == {"summary", "boost", "seed", "uncovered"}
+    assert [r.asDict() for r in spark.read.json(str(tmp_path / "meta")).collect()] == [{"run_id": "r", **doc["meta"]}]
 
 
-def test_large_status_has_rows_only(spark):
-    parts = status.status_parts(*status_inputs(spark))
-    assert sinks.status_documents(parts, None, max_items=1).count() == 0
+def test_large_runs_come_back_whole(spark, tmp_path):
+    n = 20_000
+    one = scored(spark).filter("ord = 0").drop("ord", "rec_id").withColumn("model", F.lit("m"))
+    res = one.crossJoin(spark.range(n).select(F.col("id").alias("rec_id"), F.col("id").alias("ord"))).select(*scored(spark).columns, "model")
+    meta = spark.createDataFrame([("r", "m", "http://host", "/d/h.jsonl", "lora")], "run_id string, model string, base_url string, holdout_file string, lora_path string")
+    sinks.write_run(res, agg.run_summary(res), str(tmp_path), meta)
+    back = readers.read_run_tables(spark, str(tmp_path))
+    assert back["run_results"].count() == n == back["run_tag_scores"].filter("convention = 'a'").count()
+    row = back["runs"].first()
+    assert (row.base_url, row.holdout_file, row.lora_path, row.total) == ("http://host", "/d/h.jsonl", "lora", n)
+    assert {(r.convention, r.n) for r in back["run_tags"].collect()} >= {("a", n)}
 
 
 def test_run_documents_round_trip(spark, tmp_path):
     res = scored(spark).withColumn("model", F.lit("m"))
     meta = spark.createDataFrame([("r", "m", "b", "/d/h.jsonl")], "run_id string, model string, base_model string, holdout_file string")
-    sinks.write_run(res, agg.run_summary(res), str(tmp_path), meta)
+    sinks.write_documents(sinks.run_documents(res, meta, ["r"]), str(tmp_path / "documents"))
     docs = readers.read_runs(spark, str(tmp_path / "documents"), "fail", readers.RUN_FOLDER_GLOB)
     row = docs.first()
     assert row.run_id == "r" and row.meta.model == "m" and row.meta.n_records == 6
     assert row.summary.band_counts == {"EXCELLENT": 1, "POOR": 1, "ERROR": 4}
     assert [(t.convention, t.scores) for t in row.summary.convention_breakdown] == [("b", [0.0] * 3), ("a", [1.0, 0.0, 0.0])]
     assert [r.error for r in row.results] == [None, None, "no assistant turn", "no user turn", "timeout", "no prediction"]
-    assert sinks.run_documents(res, meta, max_items=5).count() == 0
+    assert sinks.run_documents(res, meta, ["other"]).count() == 0
 
 
 def test_judged_documents(spark, tmp_path):
     res = scored(spark).withColumn("model", F.lit("m"))
     verdicts = spark.createDataFrame([("r", 0, 0.65, "fine")], "run_id string, rec_id bigint, judge_raw double, judge_reason string")
     meta = spark.createDataFrame([("r", "m", "j")], "run_id string, model string, judge_model string")
-    sinks.write_judged(judge.attach_judgements(res, verdicts), str(tmp_path), meta)
+    judged = judge.attach_judgements(res, verdicts)
+    sinks.write_judged(judged, str(tmp_path / "tables"), meta)
+    back = readers.read_run_tables(spark, str(tmp_path / "tables"), "judged_")
+    assert back["runs"].first().judge_model == "j" and back["run_results"].count() == 6
+    sinks.write_documents(sinks.judged_documents(judged, meta, ["r"]), str(tmp_path / "documents"))
     row = readers.read_runs(spark, str(tmp_path / "documents"), "fail", readers.RUN_FOLDER_GLOB).first()
     assert row.run_kind == "judged"
     assert (row.summary.avg_score, row.similarity_summary.avg_score) == (0.1083, 0.5)
