@@ -120,6 +120,10 @@ def two_digits(col: Column) -> Column:
     return fixed_digits(col, 2)
 
 
+def three_digits(col: Column) -> Column:
+    return fixed_digits(col, 3)
+
+
 def trend(delta: Column, dead_zone: float = 0.0) -> Column:
     """Arrow for a change; with a dead zone, small changes get ``→``."""
     moved = F.when(delta > 0, "▲").when(delta < 0, "▼").otherwise("─")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,15 +19,18 @@ def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     return top_k(df, [key], [F.col(order).desc()], 1, "_rank").drop("_rank")
 
 
-def compare_runs(curr: DataFrame, prev: DataFrame, min_delta: float = MEANINGFUL_DELTA) -> DataFrame:
+def compare_runs(
+    curr: DataFrame, prev: DataFrame, min_delta: float = MEANINGFUL_DELTA, keep: Sequence[str] = ()
+) -> DataFrame:
     """Examples present in both runs whose score moved by at least ``min_delta``.
 
     Of several previous rows with one id the last counts; all current rows stay. Failed rows
     take part with score 0. Deltas are differences of stored four-digit scores as doubles.
-    Pass stored results: ids of the current run are counted before the join.
+    Pass stored results: ids of the current run are counted before the join. ``keep`` names further columns of the
+    current run.
     """
     before = prev.groupBy("id").agg(F.max_by("score", "ord").alias("prev_score"))
-    now = curr.select("id", "label", "ord", F.col("score").alias("curr_score"))
+    now = curr.select(*keep, "id", "label", "ord", F.col("score").alias("curr_score"))
     delta = F.col("curr_score") - F.col("prev_score")
     return (
         hot_key_join(now, before, "id", ["ord"])
@@ -42,9 +47,9 @@ def order_changes(changes: DataFrame) -> DataFrame:
     )
 
 
-def compare_tags(curr: DataFrame, prev: DataFrame) -> DataFrame:
-    """Change per tag tested in both runs."""
-    joined = curr.select("convention", F.col("avg").alias("curr_avg")).join(
+def compare_tags(curr: DataFrame, prev: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Change per tag tested in both runs; ``keep`` names further columns of the current one."""
+    joined = curr.select(*keep, "convention", F.col("avg").alias("curr_avg")).join(
         prev.select("convention", F.col("avg").alias("prev_avg")), "convention"
     )
     delta = F.col("curr_avg") - F.col("prev_avg")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import delta_verdict, diagnosis, is_strong
-from gradeloom.functions.text import ALL_BANDS, WEAK_SCORE, band, score_bar, trend, two_digits
+from gradeloom.functions.text import ALL_BANDS, ERROR_BAND, WEAK_SCORE, band, score_bar, three_digits, trend, two_digits
 from gradeloom.operators.aggregate import FAILING_BANDS, run_summary, tag_breakdown, top_weak_tags, weak_tags
 from gradeloom.operators.compare import compare_runs, compare_tags
 from gradeloom.plans.skew import materialize
@@ -81,7 +81,10 @@ def eval_report(results: DataFrame) -> DataFrame:
             ),
             _rows(
                 failing, "failing", F.col("ord"), F.col("id"),
-                F.coalesce(F.col("error"), F.concat_ws("\n", F.col("prompt"), F.col("expected"), F.col("generated"))),
+                F.concat_ws(
+                    "\n", F.array_join("conventions_tested", ", "), F.col("source_file"),
+                    F.coalesce(F.col("error"), F.concat_ws("\n", F.col("prompt"), F.col("expected"), F.col("generated"))),
+                ),
             ),
             next_steps(summary, tags),
         ]
@@ -90,7 +93,13 @@ def eval_report(results: DataFrame) -> DataFrame:
 
 def prompt_baseline_report(results: DataFrame) -> DataFrame:
     """The shorter report of a prompt-only run: overall figures and tags."""
-    return eval_report(results).filter(F.col("section").isin("overall", "tags") & (F.col("key") != "ERROR"))
+    summary = materialize(run_summary(results), "summary")
+    out_of = {b: F.concat(F.col(b.lower()), F.lit("/"), F.col("total")) for b in ALL_BANDS if b != ERROR_BAND}
+    tags = tag_breakdown(results)
+    shown = F.concat_ws(" | ", three_digits(F.col("avg")), F.col("n"))
+    return _unpivot(summary, "overall", {"average": three_digits(F.col("avg_score")), **out_of}).unionByName(
+        _rows(tags, "tags", F.col("avg"), F.col("convention"), shown)
+    )
 
 
 def cycle_report(tuned: DataFrame, base: DataFrame, prev: DataFrame) -> DataFrame:
@@ -112,13 +121,15 @@ def cycle_report(tuned: DataFrame, base: DataFrame, prev: DataFrame) -> DataFram
         only("run_id", "ft").alias("run_id"), *[only("avg_score", name).alias(name) for name, _ in roles]
     )
     f, b, p = F.col("ft"), F.col("base"), F.col("prev")
-    run_id = F.lit(None).cast("string")
 
     def bands(df: DataFrame, section: str) -> DataFrame:
         return _unpivot(df, section, {x: F.col(x.lower()) for x in ALL_BANDS})
 
-    tag_moves = compare_tags(tags, old_tags).withColumn("run_id", run_id)
-    moves = compare_runs(tuned, prev).withColumn("run_id", run_id)
+    tag_moves = compare_tags(tags, old_tags, keep=["run_id", "n"])
+    moves = compare_runs(tuned, prev, keep=["run_id"])
+    # Said only where there was a previous run to compare with.
+    unmoved = pair.filter(F.col("prev").isNotNull()).join(moves.select("run_id").distinct(), "run_id", "left_anti")
+    still = _rows(unmoved, "example changes", F.lit(0), F.lit("none"), F.lit("no meaningful change"))
     return _stack(
         [
             _unpivot(
@@ -141,12 +152,17 @@ def cycle_report(tuned: DataFrame, base: DataFrame, prev: DataFrame) -> DataFram
             _rows(top_weak_tags(tags), "targets", F.col("rank"), F.col("convention"), two_digits(F.col("avg"))),
             _rows(
                 tag_moves, "tag changes", -F.abs("delta"), F.col("convention"),
-                F.concat(F.col("arrow"), two_digits(F.abs("delta"))),
+                F.concat(
+                    F.col("arrow"), two_digits(F.abs("delta")), F.lit(" | "), two_digits(F.col("prev_avg")), F.lit(" → "),
+                    two_digits(F.col("curr_avg")), F.lit(" | "), F.col("n"), F.when(F.col("curr_avg") < WEAK_SCORE, " | weak").otherwise(""),
+                ),
             ),
             _rows(
                 moves, "example changes",
                 F.when(F.col("change") == "improvement", -F.col("delta")).otherwise(F.lit(2.0) + F.col("delta")),
-                F.col("id"), F.concat_ws(" ", F.col("change"), two_digits(F.col("delta"))),
+                F.col("id"),
+                F.concat_ws(" | ", F.concat_ws(" ", "change", two_digits(F.col("delta"))), "label", two_digits(F.col("prev_score")), two_digits(F.col("curr_score"))),
             ),
+            still,
         ]
     )

@@ -182,7 +182,7 @@ report AS (
   UNION ALL SELECT run_id, 'tags', avg, convention, {q.two_digits('avg')} || ' | ' || n || ' | ' || {q.band('avg')} FROM breakdown
   UNION ALL SELECT run_id, 'weak', avg, convention, {q.two_digits('avg')} FROM weak
   UNION ALL SELECT run_id, 'examples', score, id, label || ' | ' || {q.two_digits('score')} || ' | ' || band || ' | ' || {q.two_digits('length_ratio')} FROM results
-  UNION ALL SELECT run_id, 'failing', CAST(ord AS DOUBLE), id, coalesce(error, prompt || chr(10) || expected || chr(10) || generated) FROM results WHERE band IN ('POOR', 'PARTIAL', 'ERROR')
+  UNION ALL SELECT run_id, 'failing', CAST(ord AS DOUBLE), id, concat_ws(chr(10), array_to_string(tags, ', '), CASE WHEN error IS NULL THEN '' END, coalesce(error, prompt || chr(10) || expected || chr(10) || generated)) FROM results WHERE band IN ('POOR', 'PARTIAL', 'ERROR')
   UNION ALL SELECT run_id, 'next', CAST(rank AS DOUBLE), convention, {q.two_digits('avg')} FROM weak WHERE rank <= 5
   UNION ALL SELECT run_id, 'next', 0e0, 'advice', CASE WHEN avg_score >= 8e-1 THEN 'evaluate on real tasks; consider more capacity'
     WHEN avg_score >= 6e-1 THEN 'check partial answers; target the lowest examples' ELSE 'fill data gaps before training longer; compare with the base model' END
@@ -202,7 +202,9 @@ def _(spark, sf):
     return report.next_steps(agg.run_summary(res), agg.tag_breakdown(res))
 
 
-@query("prompt_baseline_report", REPORT_SQL + "SELECT * FROM report WHERE section IN ('overall', 'tags') AND key <> 'ERROR'")
+@query("prompt_baseline_report", REPORT_SQL + f"""SELECT run_id, 'overall' AS section, CAST(i AS DOUBLE) AS rank, ['average', 'EXCELLENT', 'GOOD', 'PARTIAL', 'POOR'][i + 1] AS key,
+    CASE WHEN i = 0 THEN {q.three_digits('avg_score')} ELSE [0, excellent, good, partial, poor][i + 1] || '/' || total END AS value FROM summary, range(5) t(i)
+  UNION ALL SELECT run_id, 'tags', avg, convention, {q.three_digits('avg')} || ' | ' || n FROM breakdown""")
 def _(spark, sf):
     return report.prompt_baseline_report(materialize(results(spark, sf), "results"))
 
@@ -215,7 +217,7 @@ CYCLE_SQL = REPORT_SQL + f""",
 pair AS (SELECT f.run_id, f.avg_score AS f, b.avg_score AS b, p.avg_score AS p FROM summary f, summary b, summary p
   WHERE f.run_id = '{NEW_RUN}' AND b.run_id = '{BASE_RUN}' AND p.run_id = '{OLD_RUN}'),
 prev AS (SELECT id, arg_max(score, ord) AS prev_score FROM results WHERE run_id = '{OLD_RUN}' GROUP BY id),
-moves AS (SELECT id, score - prev_score AS d FROM results JOIN prev USING (id) WHERE run_id = '{NEW_RUN}')
+moves AS (SELECT id, label, score, prev_score, score - prev_score AS d FROM results JOIN prev USING (id) WHERE run_id = '{NEW_RUN}')
 SELECT run_id, 'summary' AS section, CAST(i AS DOUBLE) AS rank, ['tuned', 'base', 'delta', 'verdict', 'previous', 'trend', 'diagnosis', 'strong'][i + 1] AS key,
   [{bar('f')}, {bar('b')}, {q.two_digits('f - b')}, CASE WHEN f - b > 5e-2 THEN 'helping' WHEN f - b < -5e-2 THEN 'hurting' ELSE 'minimal effect' END,
    {q.two_digits('p')}, CASE WHEN f - p > 0 THEN '▲' WHEN f - p < 0 THEN '▼' ELSE '─' END || {q.two_digits('abs(f - p)')},
@@ -225,10 +227,13 @@ UNION ALL SELECT run_id, CASE run_id WHEN '{NEW_RUN}' THEN 'tuned bands' ELSE 'b
   CAST([excellent, good, partial, poor, error][i + 1] AS VARCHAR) FROM summary, range(5) t(i) WHERE run_id IN ('{NEW_RUN}', '{BASE_RUN}')
 UNION ALL SELECT run_id, 'tags', avg, convention, {q.two_digits('avg')} FROM breakdown WHERE run_id = '{NEW_RUN}'
 UNION ALL SELECT run_id, 'targets', CAST(rank AS DOUBLE), convention, {q.two_digits('avg')} FROM weak WHERE run_id = '{NEW_RUN}' AND rank <= 5
-UNION ALL SELECT NULL, 'tag changes', -abs(c.avg - p.avg), c.convention, CASE WHEN abs(c.avg - p.avg) < 5e-3 THEN '→' WHEN c.avg > p.avg THEN '▲' ELSE '▼' END || {q.two_digits('abs(c.avg - p.avg)')}
+UNION ALL SELECT c.run_id, 'tag changes', -abs(c.avg - p.avg), c.convention, CASE WHEN abs(c.avg - p.avg) < 5e-3 THEN '→' WHEN c.avg > p.avg THEN '▲' ELSE '▼' END || {q.two_digits('abs(c.avg - p.avg)')}
+    || ' | ' || {q.two_digits('p.avg')} || ' → ' || {q.two_digits('c.avg')} || ' | ' || c.n || CASE WHEN c.avg < 6e-1 THEN ' | weak' ELSE '' END
   FROM breakdown c JOIN breakdown p ON c.convention = p.convention AND c.run_id = '{NEW_RUN}' AND p.run_id = '{OLD_RUN}'
-UNION ALL SELECT NULL, 'example changes', CASE WHEN d > 0 THEN -d ELSE 2e0 + d END, id, CASE WHEN d > 0 THEN 'improvement ' ELSE 'regression ' END || {q.two_digits('d')}
-  FROM moves WHERE d <= -5e-2 OR d >= 5e-2"""
+UNION ALL SELECT '{NEW_RUN}', 'example changes', CASE WHEN d > 0 THEN -d ELSE 2e0 + d END, id, CASE WHEN d > 0 THEN 'improvement ' ELSE 'regression ' END || {q.two_digits('d')}
+    || ' | ' || label || ' | ' || {q.two_digits('prev_score')} || ' | ' || {q.two_digits('score')}
+  FROM moves WHERE d <= -5e-2 OR d >= 5e-2
+UNION ALL SELECT '{NEW_RUN}', 'example changes', 0e0, 'none', 'no meaningful change' FROM pair WHERE NOT EXISTS (SELECT 1 FROM moves WHERE d <= -5e-2 OR d >= 5e-2)"""
 
 
 @query("cycle_report", CYCLE_SQL)

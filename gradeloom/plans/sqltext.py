@@ -45,5 +45,9 @@ def two_digits(x: str) -> str:
     return f"printf('%.2f', {x})"
 
 
+def three_digits(x: str) -> str:
+    return f"printf('%.3f', {x})"
+
+
 def ctes(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
