@@ -13,6 +13,8 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # State of long streams belongs on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.driver.memory": "8g",
     # Scoring is bound by CPU, not by bytes: let small inputs keep all local cores busy.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",

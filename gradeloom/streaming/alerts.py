@@ -12,14 +12,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from gradeloom.functions.rules import WARNING_EPOCH, WARNING_LOSS
 
-WARNING_SCHEMA = "run bigint, ord bigint, epoch double, loss double"
-ALERT_SCHEMA = "run bigint, kind string, seconds double"
+ALERT_FIELDS = "kind string, seconds double"
 
 
 def line_processor(
     lines: DataFrame,
     process: Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]],
-    output: str,
+    output: StructType | str,
     state: str,
     timeout: str = GroupStateTimeout.NoTimeout,
     by: str = "run",
@@ -57,7 +56,7 @@ def early_warning_stream(points: DataFrame, epoch: float = WARNING_EPOCH, loss:
             state.update((True,))
             yield best[["run", "ord", "epoch", "loss"]]
 
-    return line_processor(first_per_batch(late), warn, WARNING_SCHEMA, "warned boolean")
+    return line_processor(first_per_batch(late), warn, late.schema, "warned boolean")
 
 
 def timer_alerts(lines: DataFrame, silence: float = 0, wall: float = 0) -> DataFrame:
@@ -94,7 +93,7 @@ def timer_alerts(lines: DataFrame, silence: float = 0, wall: float = 0) -> DataF
 
     seen = first_per_batch(lines.select("run", "ord"))
     return line_processor(
-        seen, watch, ALERT_SCHEMA, "start bigint, last bigint, silent boolean, over boolean",
+        seen, watch, f"run {seen.schema['run'].dataType.simpleString()}, {ALERT_FIELDS}", "start bigint, last bigint, silent boolean, over boolean",
         GroupStateTimeout.ProcessingTimeTimeout,
     )
 

@@ -10,6 +10,7 @@ import check_oracle
 import duckdb
 
 import __spark_entry__ as entry_point
+from gradeloom.plans import catalog
 
 QUICK = (
     "weak_tags", "score_results", "stratified_split", "to_sharegpt", "base_run_asof", "previous_run", "silence_gaps",
@@ -27,7 +28,9 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == ROWS_ONLY
+    # Those of the optional subpackage are checked by its own tests.
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == ROWS_ONLY
+    assert set(catalog.QUERIES) <= set(entry_point.queries()) and set(catalog.ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
