@@ -88,11 +88,13 @@ def communication_matrix(sizes: DataFrame, blocks: int, cells: DataFrame, seed:
     """
     every = sizes.sparkSession.range(blocks).select(F.col("id").cast("int").alias("block"))
     filled = every.join(sizes, "block", "left").select("block", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
-    row = filled.agg(F.sort_array(F.collect_list(F.struct("block", "n"))).alias("s"))
-    caps = cells.agg(F.sort_array(F.collect_list(F.struct("cell", "m"))).alias("c"))
-    # Two tables of one row each.
-    root = row.withColumn("one", F.lit(1)).join(caps.withColumn("one", F.lit(1)), "one")
-    nodes = root.select(F.lit(0).cast("bigint").alias("node"), F.col("s.n").alias("sizes"), F.col("c.m").alias("caps"))
+    # Both lists in one row, by one aggregate.
+    sides = filled.select(F.lit("s").alias("side"), F.col("block").alias("at"), "n").unionByName(
+        cells.select(F.lit("c").alias("side"), F.col("cell").cast("int").alias("at"), F.col("m").cast("bigint").alias("n"))
+    )
+    listed = [F.sort_array(F.collect_list(F.when(F.col("side") == x, F.struct("at", "n")))).alias(x) for x in ("s", "c")]
+    root = sides.agg(*listed)
+    nodes = root.select(F.lit(0).cast("bigint").alias("node"), F.col("s.n").alias("sizes"), F.col("c.n").alias("caps"))
     for level in range(blocks.bit_length() - 1):
         nodes = _halves(nodes, level, seed)
         if level % 6 == 5:
