@@ -19,10 +19,15 @@ def nth_latest_run(runs: DataFrame, n: int = 1, kind: str | None = EVAL_KIND) ->
     return top_k(runs, ["model"], newest, n, "_rank").filter(F.col("_rank") == n).drop("_rank")
 
 
+def checkpoint_rows(names: DataFrame, name: str = "name", adapter: str = "adapter") -> DataFrame:
+    """Checkpoint folders with a positive step, in no order: for further operators."""
+    parsed = names.withColumn("_p", parse_checkpoint(F.col(name), F.col(adapter)))
+    return parsed.select(*names.columns, "_p.*").filter(F.col("step").isNotNull())
+
+
 def checkpoint_candidates(names: DataFrame, name: str = "name", adapter: str = "adapter") -> DataFrame:
     """Checkpoint folders with a positive step, in step order."""
-    parsed = names.withColumn("_p", parse_checkpoint(F.col(name), F.col(adapter)))
-    return parsed.select(*names.columns, "_p.*").filter(F.col("step").isNotNull()).orderBy("step")
+    return checkpoint_rows(names, name, adapter).orderBy("step")
 
 
 def candidates(final: DataFrame, checkpoints: DataFrame) -> DataFrame:

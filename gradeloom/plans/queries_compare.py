@@ -140,7 +140,7 @@ def _(spark, sf):
 
 
 def all_candidates(spark, sf):
-    ckpts = runs.checkpoint_candidates(checkpoints(spark, sf)).select("adapter", "candidate", "step", "avg_score")
+    ckpts = runs.checkpoint_rows(checkpoints(spark, sf)).select("adapter", "candidate", "step", "avg_score")
     final = (
         table(spark, sf, "events")
         .groupBy(F.concat(F.lit("m"), "user_id").alias("adapter"))

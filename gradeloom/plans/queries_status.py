@@ -38,6 +38,11 @@ def _(spark, sf):
     return status.skip_tags(breakdown(spark, sf))
 
 
+def scores_only(spark, sf):
+    """Stored results without their texts, for what never shows them."""
+    return materialize(results(spark, sf).drop("prompt", "expected", "generated"), "scores")
+
+
 def targets(tags):
     """Weak tags and, per run, one tag nothing carries."""
     weak = status.boost_tags(tags).select("run_id", "name", "priority")
@@ -53,7 +58,7 @@ targets AS (SELECT run_id, name, priority FROM boost UNION ALL SELECT DISTINCT r
 hits AS (SELECT run_id, unnest(tags) AS name, rec_id, ord, score FROM results WHERE band <> 'ERROR')
 SELECT t.run_id, t.name, h.rec_id, h.ord, h.score FROM targets t LEFT JOIN hits h ON h.run_id = t.run_id AND h.name = t.name""")
 def _(spark, sf):
-    res = materialize(results(spark, sf), "results")
+    res = scores_only(spark, sf)
     return status.examples_for_tags(res, targets(agg.tag_breakdown(res)))
 
 
@@ -198,7 +203,7 @@ def _(spark, sf):
 
 @query("next_steps", REPORT_SQL + "SELECT * FROM report WHERE section = 'next'")
 def _(spark, sf):
-    res = materialize(results(spark, sf), "results")
+    res = scores_only(spark, sf)
     return report.next_steps(agg.run_summary(res), agg.tag_breakdown(res))
 
 
@@ -206,7 +211,7 @@ def _(spark, sf):
     CASE WHEN i = 0 THEN {q.three_digits('avg_score')} ELSE [0, excellent, good, partial, poor][i + 1] || '/' || total END AS value FROM summary, range(5) t(i)
   UNION ALL SELECT run_id, 'tags', avg, convention, {q.three_digits('avg')} || ' | ' || n FROM breakdown""")
 def _(spark, sf):
-    return report.prompt_baseline_report(materialize(results(spark, sf), "results"))
+    return report.prompt_baseline_report(scores_only(spark, sf))
 
 
 def bar(x: str) -> str:
@@ -238,6 +243,6 @@ UNION ALL SELECT '{NEW_RUN}', 'example changes', 0e0, 'none', 'no meaningful cha
 
 @query("cycle_report", CYCLE_SQL)
 def _(spark, sf):
-    res = materialize(results(spark, sf), "results")
+    res = scores_only(spark, sf)
     tuned, base, prev = (res.filter(F.col("run_id") == r) for r in (NEW_RUN, BASE_RUN, OLD_RUN))
     return report.cycle_report(tuned, base, prev)

@@ -71,3 +71,12 @@ def test_scans_read_only_what_they_need(spark):
 def test_no_cross_joins(spark, name):
     text = plan(entry_point.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_no_sort_below_an_aggregate(spark):
+    assert "rangepartitioning" not in plan(entry_point.queries()["best_checkpoint"](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["next_steps", "prompt_baseline_report", "cycle_report", "examples_for_tags"])
+def test_stored_scores_carry_no_texts(spark, name):
+    assert "generated" not in plan(entry_point.queries()[name](spark, SF))
