@@ -15,7 +15,7 @@ Everything random is hashed from a seed. Only tables of one row per source are s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm.hypergeometric import uniform_sql
@@ -24,6 +24,7 @@ from gradeloom.plans.skew import join_measured, materialize, materialize_measure
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4_096
 LANE_ROWS = 2_048
+SLOTS_PER_TASK = 1_000_000
 #: Sources take these weights in turn, and give each document this many times at most.
 WEIGHTS, MOST_TIMES = (5, 2, 1), 3
 ROUNDS = 32
@@ -137,7 +138,11 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     draws = draws.withColumn("point", F.col("left") * F.expr(uniform_sql(f"{SEED + 4}", "shard", "i"))).withColumn("cell", F.floor("point"))
     stretches = rows.filter("left > 0 AND high > low").select("first", "sid", "low", "high", F.explode(F.sequence(F.floor("low"), F.floor("high"))).alias("cell"))
     drawn = draws.join(stretches, ["first", "cell"]).filter("point >= low AND point < high").select("shard", "sid", F.lit(1).cast("bigint").alias("n"))
-    counts = materialize(given.unionByName(drawn).groupBy("shard", "sid").agg(F.sum("n").alias("n")), "counts")
+    seen = Observation()
+    counts = given.unionByName(drawn).groupBy("shard", "sid").agg(F.sum("n").alias("n"))
+    counts = materialize(counts.observe(seen, F.sum("n").alias("slots")), "counts")
+    # Few narrow rows become many slots: they are dealt out by what they become.
+    parts = max(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), (seen.get["slots"] or 0) // SLOTS_PER_TASK)
 
     # Beyond a source's limit: the surplus, numbered, goes to sources with room.
     sums = counts.groupBy("sid").agg(F.sum("n").alias("slots"))
@@ -157,7 +162,7 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
 
     through = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     rows = counts.withColumn("from", F.sum("n").over(through) - F.col("n"))
-    rows = rows.select("shard", "sid", F.explode(F.expr("sequence(from, from + n - 1)")).alias("t"))
+    rows = rows.repartition(parts, "shard", "sid").select("shard", "sid", F.explode(F.expr("sequence(from, from + n - 1)")).alias("t"))
     limits = room.select("sid", "limit", "over_before")
     rows = join_measured(rows, limits, few, ["sid"], ["t"])
     moved = rows.filter("t >= limit").withColumn("o", F.col("over_before") + F.col("t") - F.col("limit")).join(extras, "o")
