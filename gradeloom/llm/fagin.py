@@ -48,10 +48,14 @@ def threshold_search(lists: np.ndarray, rows: np.ndarray, ids: np.ndarray, query
         new = np.flatnonzero(new & ~seen)
         seen[new] = True
         at = np.concatenate([at, new])
-        score = np.concatenate([score, rows[new] @ query])
+        score = np.concatenate([score, (rows @ query)[new] if len(new) * 8 > n else rows[new] @ query])
         if len(at) > k:
-            keep = np.lexsort((ids[at], -score))[:k]
+            good = np.flatnonzero(score >= np.partition(score, -k)[-k])  # with ties for the last place
+            keep = good[np.lexsort((ids[at[good]], -score[good]))[:k]]
             at, score = at[keep], score[keep]
+        if seen.all():
+            depth = stop
+            break
         depth, step = stop, step * DEEPER
         last = np.where(rising, lists[dims, n - depth], lists[dims, depth - 1])
         if len(at) == k and score.min() > weight @ rows[last, dims]:
