@@ -1,16 +1,16 @@
 """Near-duplicate documents by b-bit MinHash, with every link confirmed on full shingle sets.
 
-1. Each document gets ``BANDS * ROWS`` minima. Full minima are hashed by bands; of each minimum only the low ``BITS`` bits
+1. Each document gets ``KEPT`` minima. The first ``BANDS * ROWS`` are hashed by bands; of each minimum only the low ``BITS`` bits
    are kept, packed into 64-bit words. Documents with equal shingle sets are one class, stood for by its smallest id.
 2. Classes that share a band are candidates. The share of equal low bits, counted with ``bit_count`` on the packed words
    and corrected for chance agreement (2**-BITS), estimates the similarity; candidates whose estimate is ``SLACK``
    standard errors below the threshold are let go.
 3. What is left is confirmed by exact intersection of shingle sets.
 
-Groups of thousands of near copies are not expanded into pairs. First every class is compared with one hub of each of its
-bands. Bands whose classes are then all in one component need nothing more; in the others a further hub is tried, twice;
-what is still divided is compared pair by pair across components inside the join, which emits only pairs whose
-estimate passes. So no link between components is lost, whatever the size of a band.
+Groups of thousands of near copies are not expanded into pairs. First every class is compared with a hub of each of its
+bands. Bands whose classes are then all in one component need nothing more; where many pairs across components are
+left, other hubs are tried; what is still divided is compared pair by pair across components inside the join, which
+emits only pairs whose estimate passes. So no link between components is lost, whatever the size of a band.
 """
 
 from __future__ import annotations
@@ -20,19 +20,22 @@ from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gradeloom.llm import batches, shingles, slices
 from gradeloom.llm.components import connected_components
-from gradeloom.plans.skew import hot_key_join, materialize, materialize_measured
+from gradeloom.plans.skew import materialize, materialize_measured
 
 BANDS, ROWS, BITS = 32, 4, 2
+#: Minima whose low bits are kept; the first BANDS * ROWS of them make the bands.
+KEPT = 256
 SLACK = 5.0
 BATCH_BYTES = 1 << 20
-#: Rows of one key from which a join divides it.
-HOT_ROWS = 2_000
-HUB_ROUNDS = 3
+#: Hubs a group of bands has in one turn, and the turns there are at most before all pairs across components are looked at;
+#: that comes sooner when there are no more of them than so many for each row.
+HUBS, HUB_TURNS, CROSS_PER_ROW = 3, 3, 1_024
+ROWS_PER_FILE = 50_000
 SEED = 8191
 
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, low_bits array<bigint>, bands array<bigint>"
@@ -52,7 +55,7 @@ def _lists(values: np.ndarray) -> pa.Array:
 def signatures(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     """Set sizes, two set digests, packed low bits and band keys; documents without shingles have zeros."""
     hashes, sizes = shingles.shingle_sets(texts, width)
-    n, k = len(texts), BANDS * ROWS
+    n, k = len(texts), KEPT
     digests = np.zeros((2, n), dtype=np.uint64)
     packed = np.zeros((n, k * BITS // 64), dtype=np.uint64)
     bands = np.zeros((n, BANDS), dtype=np.uint64)
@@ -109,7 +112,7 @@ def shingle_rows(docs: DataFrame, width: int, text: str = "text", doc: str = "do
 def estimate(x: str, y: str) -> Column:
     """Similarity from the equal low bits of two packed columns, corrected for chance agreement."""
     chance = 2.0**-BITS
-    k = BANDS * ROWS
+    k = KEPT
     lanes = F.lit(sum(1 << (BITS * i) for i in range(64 // BITS))).cast("bigint")
     unequal: Column = F.lit(0)
     for word in range(k * BITS // 64):
@@ -124,25 +127,68 @@ def estimate(x: str, y: str) -> Column:
 
 def lowest_estimate(percent: int) -> float:
     """Estimates from here on may belong to a similarity of ``percent`` or more."""
-    chance, k = 2.0**-BITS, BANDS * ROWS
+    chance, k = 2.0**-BITS, KEPT
     agree = chance + (1 - chance) * percent / 100
     return percent / 100 - SLACK * sqrt(agree * (1 - agree) / k) / (1 - chance)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int, text: str, doc: str) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingle sets are ``percent`` similar or more.
+def similar(percent: int) -> Column:
+    """Whether the sets ``set_a`` and ``set_b`` are ``percent`` similar or more."""
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    return (100 + percent) * shared >= percent * (F.size("set_a") + F.size("set_b"))
 
-    Sets are made again from the texts of the documents in question, so they are stored for no other.
-    """
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+def sets_of(asked: DataFrame, docs: DataFrame, width: int, text: str, doc: str, repeats: bool) -> DataFrame:
+    """The shingle sets of the asked documents, made again from their texts, so that they are stored for no other."""
     asked, small = materialize_measured(asked, "asked")
-    sets = _narrow(docs, doc, text).join(F.broadcast(asked) if small else asked, "doc_id", "left_semi")
-    sets = materialize(shingle_rows(sets, width, "text", "doc_id").dropDuplicates(["doc_id"]), "sets")
-    one = hot_key_join(pairs, sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b", ["a"], HOT_ROWS)
-    two = hot_key_join(one, sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a", ["b"], HOT_ROWS)
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    counted = two.select("a", "b", shared.alias("shared"), (F.size("set_a") + F.size("set_b")).alias("both"))
-    return counted.filter(100 * F.col("shared") >= percent * (F.col("both") - F.col("shared"))).select("a", "b")
+    sets = shingle_rows(_narrow(docs, doc, text).join(F.broadcast(asked) if small else asked, "doc_id", "left_semi"), width, "text", "doc_id")
+    return materialize(sets.dropDuplicates(["doc_id"]) if repeats else sets, "sets")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that are similar. Where a hub has very many pairs, adaptive execution divides the joins."""
+    one = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
+    two = one.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    return two.filter(similar(percent)).select("a", "b")
+
+
+def hub_pairs(rows: DataFrame, turn: int, least: float) -> DataFrame:
+    """``a, b``: each row of ``rows (band, doc_id, component, low_bits)`` and the hub of its band, unless their components are one.
+
+    A band's hub is the document with the lowest hash under one of ``HUBS`` seeds: bands with the same documents have few hubs.
+    """
+    order = F.xxhash64("doc_id", F.lit(turn), F.pmod("band", F.lit(HUBS)))
+    hubs = rows.groupBy("band").agg(F.min(F.struct(order.alias("o"), "doc_id", "component", "low_bits")).alias("hub"))
+    met = rows.join(hubs, "band").filter("component <> hub.component").withColumn("hub_bits", F.col("hub.low_bits"))
+    met = met.filter(estimate("low_bits", "hub_bits") >= least)
+    return met.select(F.greatest("doc_id", "hub.doc_id").alias("a"), F.least("doc_id", "hub.doc_id").alias("b")).distinct()
+
+
+def cross_links(rows: DataFrame, shape: DataFrame, sets: DataFrame, least: float, percent: int) -> DataFrame:
+    """``a, b``: all similar pairs of one band and different components, each from the first band they share.
+
+    Estimate and sets are compared inside the join, so that pairs that are not similar are never rows.
+    """
+    rows = rows.join(shape.select("doc_id", "bands"), "doc_id").join(sets, "doc_id")
+    x = rows.select("band", "at", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("low_bits").alias("bits_b"), F.col("bands").alias("bands_b"), F.col("shingles").alias("set_b"))
+    y = rows.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("low_bits").alias("bits_a"), F.col("bands").alias("bands_a"), F.col("shingles").alias("set_a"))
+    earlier = F.zip_with(F.slice("bands_a", F.lit(1), F.col("at")), F.slice("bands_b", F.lit(1), F.col("at")), lambda p, q: p == q)
+    across = (x["band"] == y["band"]) & (F.col("cb") < F.col("ca")) & (estimate("bits_a", "bits_b") >= least)
+    across = across & ~F.exists(earlier, lambda same: same) & similar(percent)
+    return x.join(y, across).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
+def open_bands(buckets: DataFrame, groups: DataFrame) -> tuple[DataFrame, int, int]:
+    """The rows of bands that hold several components, their number, and how many pairs across components they make."""
+    known = groups.select(F.col("node").alias("doc_id"), "component")
+    placed = buckets.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    cross = (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2
+    divided = parts.groupBy("band").agg(F.count(F.lit(1)).alias("parts"), cross.alias("cross"), F.sum("n").alias("rows")).filter("parts > 1")
+    seen = Observation()
+    divided = materialize(divided.observe(seen, F.sum("cross").alias("cross"), F.sum("rows").alias("rows")).select("band"), "open")
+    rows, pairs = int(seen.get["rows"] or 0), int(seen.get["cross"] or 0)
+    return placed.join(divided, "band", "left_semi"), rows, pairs
 
 
 def near_duplicates(
@@ -159,58 +205,49 @@ def near_duplicates(
     """
     signed = materialize(sign(docs, width, text, doc), "signatures")
     full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = ["set_a", "set_b", "n_shingles"]
-    classes = full.groupBy(*sets).agg(F.min("doc_id").alias("doc_id"))
-    # A class's smallest id has its signature; equal rows of one document are one.
-    shape = full.select("doc_id", *sets, "low_bits", "bands").join(classes, ["doc_id", *sets], "left_semi")
-    shape = shape.dropDuplicates(["doc_id", *sets])
-    rows = shape.select("doc_id", "low_bits", F.explode("bands").alias("band"))
+    repeats = not full.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    content = ["set_a", "set_b", "n_shingles"]
+    classes = full.groupBy(*content).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = materialize(classes, "classes")
+    # A class's smallest id has its signature.
+    shape = full.select("doc_id", *content, "low_bits", "bands").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *content], "left_semi")
+    if repeats:
+        shape = shape.dropDuplicates(["doc_id"])
+    rows = shape.select("doc_id", "low_bits", F.posexplode("bands").alias("at", "band"))
     several = rows.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-    buckets = materialize(rows.join(several.select("band"), "band", "left_semi"), "bands")
-
-    links = materialize(
-        full.join(classes.withColumnRenamed("doc_id", "rep"), sets).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a > b"),
-        "copies",
-    )
+    seen = Observation()
+    buckets = rows.join(several.select("band"), "band", "left_semi").observe(seen, F.count(F.lit(1)).alias("rows"))
+    buckets = materialize(buckets, "bands")
+    # Links and pairs are no more than the rows of bands; few of them need few files.
+    files = 1 + seen.get["rows"] // ROWS_PER_FILE
     least = lowest_estimate(percent)
-    tried: DataFrame | None = None
-    groups: DataFrame | None = None
-    for turn in range(HUB_ROUNDS + 1):
-        placed = buckets
-        if groups is not None:
-            known = groups.select(F.col("node").alias("doc_id"), "component")
-            placed = buckets.join(known, "doc_id", "left")
-        else:
-            placed = placed.withColumn("component", F.lit(None).cast("bigint"))
-        placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
-        divided = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        open_rows, _ = materialize_measured(placed.join(divided.select("band"), "band", "left_semi"), "open-bands")
-        if open_rows.isEmpty():
-            break
-        if turn < HUB_ROUNDS:
-            # The first hub is the smallest id, the same for most bands of a group; the later ones differ by band.
-            order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", "band", F.lit(turn))
-            hubs = open_rows.groupBy("band").agg(F.min(F.struct(order.alias("o"), "doc_id", "component")).alias("hub"))
-            hubs = hubs.select("band", F.col("hub.doc_id").alias("hub"), F.col("hub.component").alias("hub_component"))
-            met = open_rows.join(hubs, "band").filter("component <> hub_component")
-            pairs = met.select(F.greatest("doc_id", "hub").alias("a"), F.least("doc_id", "hub").alias("b")).distinct()
-            bits = shape.select("doc_id", "low_bits").dropDuplicates(["doc_id"])
-            for end in ("a", "b"):
-                pairs = pairs.join(bits.select(F.col("doc_id").alias(end), F.col("low_bits").alias(f"bits_{end}")), end)
-            pairs = pairs.filter(estimate("bits_a", "bits_b") >= least).select("a", "b")
-        else:
-            x = open_rows.select("band", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("low_bits").alias("bits_b"))
-            y = open_rows.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("low_bits").alias("bits_a"))
-            across = (x["band"] == y["band"]) & (F.col("cb") < F.col("ca")) & (estimate("bits_a", "bits_b") >= least)
-            pairs = x.join(y, across).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    both = F.explode(F.array("a", "b")).alias("doc_id")
+
+    open_rows = buckets.withColumn("component", F.col("doc_id"))
+    links = tried = groups = None
+    for turn in range(HUB_TURNS):
+        pairs = hub_pairs(open_rows, turn, least)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "candidates")
+        pairs = materialize(pairs.coalesce(files), "candidates")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = materialize(confirm(pairs, docs, width, percent, text, doc), "links")
-        links = links.unionByName(found)
-        groups = connected_components(found if groups is None else found.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-    nodes = connected_components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "component_id")
-    out = signed.select("doc_id", "n_shingles").join(nodes, "doc_id", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        sets = sets_of(pairs.select(both).distinct().coalesce(files), docs, width, text, doc, repeats)
+        found = materialize(confirm(pairs, sets, percent), "links")
+        links = found if links is None else links.unionByName(found)
+        groups = connected_components(links, files)
+        open_rows, n, left = open_bands(buckets, groups)
+        if left <= CROSS_PER_ROW * n:
+            break
+    if left:
+        open_rows = materialize(open_rows, "open-rows")
+        sets = sets_of(open_rows.select("doc_id").distinct().coalesce(files), docs, width, text, doc, repeats)
+        found = materialize(cross_links(open_rows, shape, sets, least, percent), "links")
+        groups = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found), files)
+
+    # Members of a class follow the document that stands for it.
+    moved = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    moved = moved.filter("copies > 1 OR component IS NOT NULL").select(*content, F.coalesce("component", "rep").alias("component_id"))
+    out = full.select("doc_id", *content).join(moved, content, "left").select("doc_id", "n_shingles", "component_id")
+    alone = signed.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = out.unionByName(alone).withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
