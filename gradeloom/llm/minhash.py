@@ -170,10 +170,11 @@ def cross_links(rows: DataFrame, shape: DataFrame, sets: DataFrame, least: float
     Estimate and sets are compared inside the join, so that pairs that are not similar are never rows.
     """
     rows = rows.join(shape.select("doc_id", "bands"), "doc_id").join(sets, "doc_id")
-    x = rows.select("band", "at", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("low_bits").alias("bits_b"), F.col("bands").alias("bands_b"), F.col("shingles").alias("set_b"))
-    y = rows.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("low_bits").alias("bits_a"), F.col("bands").alias("bands_a"), F.col("shingles").alias("set_a"))
-    earlier = F.zip_with(F.slice("bands_a", F.lit(1), F.col("at")), F.slice("bands_b", F.lit(1), F.col("at")), lambda p, q: p == q)
-    across = (x["band"] == y["band"]) & (F.col("cb") < F.col("ca")) & (estimate("bits_a", "bits_b") >= least)
+    # Both sides are the same columns, all of them used, so that one shuffle serves both.
+    columns = {"doc_id": "", "component": "c", "low_bits": "bits_", "bands": "bands_", "shingles": "set_"}
+    x, y = (rows.select("band", "at", *[F.col(name).alias(f"{short}{side}") for name, short in columns.items()]) for side in ("b", "a"))
+    earlier = F.zip_with(F.slice("bands_a", F.lit(1), x["at"]), F.slice("bands_b", F.lit(1), x["at"]), lambda p, q: p == q)
+    across = (x["band"] == y["band"]) & (x["at"] == y["at"]) & (F.col("cb") < F.col("ca")) & (estimate("bits_a", "bits_b") >= least)
     across = across & ~F.exists(earlier, lambda same: same) & similar(percent)
     return x.join(y, across).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
