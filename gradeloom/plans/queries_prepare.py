@@ -215,18 +215,22 @@ def _(spark, sf):
     return chats(spark, sf).select("key", chat.render_chat(F.col("messages")).alias("text"))
 
 
-# Lines of the conversation format with every kind of fault, by document.
+# Lines of the conversation format with every kind of fault, by document; all but the blank ones hold its whole text.
 def sharegpt_lines(spark, sf):
     text, rule = F.col("text"), F.pmod("doc_id", F.lit(8))
     good = F.to_json(F.struct(F.array(F.struct(F.lit("human").alias("from"), text.alias("value"))).alias("conversations")))
+    said = F.coalesce(text, F.lit(""))
+    # {"text":"..."} without its last brace; a fault that follows it is met only when the text is read through.
+    held = F.regexp_replace(F.to_json(F.struct(said.alias("text"))), r"\}\z", "")
+    inner = F.regexp_replace(held, r"\A\{", "")
     line = (
-        F.when(rule == 1, F.concat(F.lit("{bad"), F.substring(text, 1, 5)))
-        .when(rule == 2, F.lit('{"messages": []}'))
-        .when(rule == 3, F.lit('{"conversations": []}'))
-        .when(rule == 4, F.lit('{"conversations": "x"}'))
-        .when(rule == 5, F.lit('{"conversations": [{"role": "user"}]}'))
+        F.when(rule == 1, F.concat(held, F.lit(" bad")))
+        .when(rule == 2, F.concat(held, F.lit(', "messages": []}')))
+        .when(rule == 3, F.concat(held, F.lit(', "conversations": []}')))
+        .when(rule == 4, F.to_json(F.struct(said.alias("conversations"))))
+        .when(rule == 5, F.concat(F.lit('{"conversations": [{"role": "user", '), inner, F.lit("}]}")))
         .when(rule == 6, F.lit("  "))
-        .when(rule == 7, F.lit("[1]"))
+        .when(rule == 7, F.concat(F.lit("[1, "), held, F.lit("}]")))
         .otherwise(good)
     )
     return table(spark, sf, "documents").select(

@@ -3,10 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FAILED
+from conftest import FAILED, SF
 from gradeloom.functions import chat
 from gradeloom.operators import prepare, split, validate
-from gradeloom.plans import skew
+from gradeloom.plans import queries_prepare, skew
 from gradeloom.plans.skew import bucketed_rank, shuffle_hash
 from gradeloom.sources import readers, sinks
 
@@ -150,6 +150,24 @@ def test_validation(spark, tmp_path):
     assert [(r.line_no, r.record_no) for r in first] == [(2, 2), (4, 3)]
 
 
+def test_faulty_lines_hold_whole_texts(spark):
+    lines = queries_prepare.sharegpt_lines(spark, SF).select("line_no", "value")
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    values = {r.line_no - 1: r.value for r in lines.collect()}
+    assert values.keys() == texts.keys()
+    for doc, value in values.items():
+        if doc % 8 == 6:  # blank lines are no records
+            assert not value.strip()
+        elif doc % 8 == 1:
+            with pytest.raises(ValueError):
+                json.loads(value)
+            assert json.loads(value.removesuffix(" bad") + "}")["text"] == texts[doc]
+        else:
+            said = json.loads(value)
+            held = {0: lambda x: x["conversations"][0]["value"], 4: lambda x: x["conversations"], 5: lambda x: x["conversations"][0]["text"], 7: lambda x: x[1]["text"]}
+            assert held.get(doc % 8, lambda x: x["text"])(said) == texts[doc]
+
+
 def test_ordinals_across_blocks_of_one_file(spark, tmp_path):
     lines = [("" if i % 7 == 0 else f"row {i}") for i in range(1, 5001)]
     (tmp_path / "big.txt").write_text("\n".join(lines) + "\n")
