@@ -1,10 +1,11 @@
 """Secret scan with false-positive removal by a random forest, in column expressions and Spark's own learner only.
 
-Candidates are runs of code-like characters that hold a digit. Each is described by its length, the changes between its
-character classes, the part of it that words of the corpus cover, path-like marks, and the words around it. A forest
-trained on labelled findings scores all of them. Findings can be labelled by people; ``rule_labels`` labels those whose
-surroundings or full form leave no doubt (an assignment to a secret's name; an address, a number), the forest judges
-the rest from the features, which do not hold the rules themselves.
+Candidates are runs of code-like characters that hold a digit, and whatever is assigned to a secret's name, with or without
+a digit and of any characters. Each is described by its length, the changes between its character classes, the part of it
+that words of the corpus cover, path-like marks, and the words around it. A forest trained on labelled findings scores all
+of them. Findings can be labelled by people; ``rule_labels`` labels those whose surroundings or full form leave no doubt (an
+assignment to a secret's name; an address, a number), the forest judges the rest from the features, which do not hold the
+rules themselves.
 """
 
 from __future__ import annotations
@@ -20,7 +21,22 @@ from gradeloom.session import scratch_path
 
 _CODE = r"A-Za-z0-9_+/.@\-"
 #: At least ten code-like characters, starting where a run starts, with a digit, and the padding of an encoding.
-CANDIDATE = rf"(?<![{_CODE}])(?=[{_CODE}]*[0-9])[{_CODE}]{{10,}}+={{0,2}}"
+CODE_RUN = rf"(?<![{_CODE}])(?=[{_CODE}]*[0-9])[{_CODE}]{{10,}}+={{0,2}}"
+# Names that secrets are given, and parts of paths that hold examples.
+NAMES = "token|secret|passwd|password|pwd|api_?key|access_?key|private_?key|auth|credential|bearer"
+EXAMPLE_PATHS = "test|example|sample|fixture|mock|doc"
+# The sign of an assignment, with the name's closing quote; what stands behind a value may be looked back on only so far.
+_SIGN = r"[\"']?\s{0,16}[:=]{1,2}>?\s{0,16}"
+# The near sign is looked for first: few places have one.
+_GIVEN = rf"(?<=[:=>\s\"'])(?<=[:=]>?\s{{0,16}}[\"']?)"
+#: What is assigned to a name of ``NAMES``, from four characters on: to the closing quote on its line, or else up to white
+#: space, without the quotes, brackets and stops that close the phrase around it.
+ASSIGNED = rf"{_GIVEN}(?:" + "|".join((
+    rf"(?<=(?i:{NAMES}){_SIGN}\")[^\"\r\n]{{4,}}+(?=\")",
+    rf"(?<=(?i:{NAMES}){_SIGN}')[^'\r\n]{{4,}}+(?=')",
+    rf"(?<=(?i:{NAMES}){_SIGN}[\"']?)[^\s\"'=:>]\S{{2,}}[^\s\"',;.)\]}}>]",
+)) + ")"
+CANDIDATE = f"{ASSIGNED}|{CODE_RUN}"
 BEFORE_CHARS, AFTER_CHARS = 64, 32
 #: Words from this number of occurrences in the corpus on are in its dictionary.
 WORD_COUNT = 20
@@ -30,10 +46,6 @@ SAMPLE_FINDINGS = 20_000
 TREES, DEPTH, SEED = 20, 6, 37
 MARK = "[SECRET]"
 
-# Names that secrets are given, and parts of paths that hold examples.
-NAMES = "token|secret|passwd|password|pwd|api_?key|access_?key|private_?key|auth|credential|bearer"
-EXAMPLE_PATHS = "test|example|sample|fixture|mock|doc"
-
 FEATURES = (
     "length", "transitions", "transition_share", "digit_share", "upper_share", "lower_share", "mark_share", "distinct_share",
     "coverage", "slashes", "dots", "ats", "in_examples", "assigned", "quoted", "named", "words_before",
@@ -63,13 +75,18 @@ def findings(docs: DataFrame, text: str = "text", doc: str = "doc_id", path: str
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Adds ``label``: 1 for what is assigned to a secret's name and looks drawn at random, 0 for addresses and numbers, else null."""
+    """Adds ``label``: 1 for what is assigned to a secret's name and looks drawn at random or mixes three kinds of characters,
+    0 for addresses, numbers and what only stands for a value, else null."""
     c = F.col("candidate")
-    given = F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]\s*[\"']?$")
+    given = F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]{{1,2}}>?\s*[\"']?$")
     random = c.rlike(r"^[A-Za-z0-9+/_=\-]{16,}$") & c.rlike("[A-Za-z]") & c.rlike("[0-9]")
+    kinds = sum((c.rlike(k).cast("int") for k in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]")), F.lit(0))
+    mixed = c.rlike(r"^[!-~]{8,}$") & (kinds >= 3)
     number = c.rlike(r"^[0-9./_+\-]+$")
     address = c.rlike(r"^[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(\.[A-Za-z0-9\-]+)+\.?$") | c.rlike("^//")
-    return found.withColumn("label", F.when(given & random, 1).when(number | address, 0).cast("int"))
+    stand_in = c.rlike(r"^([$%]?[{(]|<)") | c.rlike(r"^(?i)(none|null|nil|true|false|str|string|required|optional|x{4,}|\*{4,})$")
+    secret = given & ~stand_in & (random | (mixed & ~address))
+    return found.withColumn("label", F.when(secret, 1).when(number | address | stand_in, 0).cast("int"))
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -103,7 +120,7 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         "distinct_share": F.size(F.array_distinct(F.split(c, ""))) / size, "coverage": F.coalesce("covered", F.lit(0)) / size,
         "slashes": F.regexp_count(c, F.lit("/")), "dots": F.regexp_count(c, F.lit("[.]")), "ats": F.regexp_count(c, F.lit("@")),
         "in_examples": F.coalesce(F.col("path").rlike(f"(?i)(^|[^a-z])({EXAMPLE_PATHS})"), F.lit(False)),
-        "assigned": before.rlike(r"[=:]\s*[\"']?$"), "quoted": before.rlike("[\"']$") & F.col("after").rlike("^[\"']"),
+        "assigned": before.rlike(r"[=:]>?\s*[\"']?$"), "quoted": before.rlike("[\"']$") & F.col("after").rlike("^[\"']"),
         "named": before.rlike(rf"(?i)({NAMES})\W{{0,12}}$"), "words_before": F.regexp_count(before, F.lit(r"\p{L}+")),
     }
     return rows.withColumns({f"f_{k}": v.cast("double") for k, v in features.items()}).drop("covered")

@@ -198,3 +198,36 @@ def test_coverage_counts_the_whole_corpus(spark):
     found = spark.createDataFrame([("xxcommon12345",), ("common-rare-99",)], "candidate string")
     got = {r.candidate: r.covered for r in secrets.coverage(found, secrets.dictionary(docs)).collect()}
     assert got == {"common-rare-99": 6}
+
+
+ASSIGNED = {
+    'password = "CorrectHorseBattery"': "CorrectHorseBattery", "pwd: Summer24, then": "Summer24", "secret=p@ss!w0rd#x": "p@ss!w0rd#x",
+    "{'api_key': 'it\"s so'}": 'it"s so', "Auth => Ab#1.": "Ab#1", '"credential": "x-y z"': "x-y z", "prod2024_token=q!w!e": "q!w!e",
+    'pwd: "open': "open", "Bearer:\n  ключик9": "ключик9", "(PASSWD=a=b&c)": "a=b&c",
+}
+
+
+def test_whatever_is_assigned_to_a_name_is_judged(spark):
+    rnd = random.Random(5)
+    code = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(40))
+    mixed = lambda: f"{rnd.choice(['Autumn', 'Harbour', 'Cedar'])}{rnd.randint(10, 99)}{rnd.choice('!#?')}"
+    given = lambda i: f'token = "{code()}"' if i % 2 else f"pwd: {mixed()}"
+    data = [(i, f"some words {given(i)} and 10.20.30.{i} or 5500{i:012d} of author: Smith, password = <your-own>", "p") for i in range(60)]
+    data += [(100 + i, f"so {text} it ends", "p") for i, text in enumerate(ASSIGNED)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    out = secrets.scan(docs)
+    found = {(r.doc_id, r.candidate): r for r in out.collect()}
+    texts = {d[0]: d[1] for d in data}
+    assert all(texts[d][r.start : r.start + r.length] == c for (d, c), r in found.items())
+    assert {(100 + i, value) for i, value in enumerate(ASSIGNED.values())} <= found.keys()
+    assert not any(c == "Smith" for _, c in found) and not any(r.is_secret for (_, c), r in found.items() if c == "<your-own>")
+    after = {r.doc_id: r.text for r in secrets.redact(docs, out).collect()}
+    # All are candidates; how the forest judges those unlike anything labelled is up to its labels.
+    for i, (text, value) in list(enumerate(ASSIGNED.items()))[:8]:
+        assert found[100 + i, value].is_secret and after[100 + i].count("[SECRET]") == 1 and value not in after[100 + i], text
+
+
+def test_a_long_run_of_marks_is_scanned_in_time(spark):
+    data = [(1, 'token="' * 20_000, "p"), (2, "token=" + "." * 200_000, "p"), (3, "=" * 200_000, "p"), (4, "pwd:" + " " * 200_000, "p")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    assert {r.doc_id for r in secrets.findings(docs).collect()} <= {1, 2}
