@@ -41,7 +41,7 @@ BEFORE_CHARS, AFTER_CHARS = 64, 32
 #: Words from this number of occurrences in the corpus on are in its dictionary.
 WORD_COUNT = 20
 WORD = "[a-z]{3,}"
-#: Labelled findings used for training at most, those with the lowest hashes.
+#: Labelled findings used for training at most, half of them of each kind, those with the lowest hashes.
 SAMPLE_FINDINGS = 20_000
 TREES, DEPTH, SEED = 20, 6, 37
 MARK = "[SECRET]"
@@ -76,7 +76,8 @@ def findings(docs: DataFrame, text: str = "text", doc: str = "doc_id", path: str
 
 def rule_labels(found: DataFrame) -> DataFrame:
     """Adds ``label``: 1 for what is assigned to a secret's name and looks drawn at random or mixes three kinds of characters,
-    0 for addresses, numbers and what only stands for a value, else null."""
+    0 for addresses, numbers, what only stands for a value, and digests, identifiers and paths that nothing near them names or
+    assigns; else null."""
     c = F.col("candidate")
     given = F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]{{1,2}}>?\s*[\"']?$")
     random = c.rlike(r"^[A-Za-z0-9+/_=\-]{16,}$") & c.rlike("[A-Za-z]") & c.rlike("[0-9]")
@@ -85,8 +86,13 @@ def rule_labels(found: DataFrame) -> DataFrame:
     number = c.rlike(r"^[0-9./_+\-]+$")
     address = c.rlike(r"^[A-Za-z0-9_.+\-]+@[A-Za-z0-9\-]+(\.[A-Za-z0-9\-]+)+\.?$") | c.rlike("^//")
     stand_in = c.rlike(r"^([$%]?[{(]|<)") | c.rlike(r"^(?i)(none|null|nil|true|false|str|string|required|optional|x{4,}|\*{4,})$")
+    free = ~F.col("before").rlike(rf"(?i)({NAMES})\W{{0,12}}$") & ~F.col("before").rlike(r"[=:]>?\s*[\"']?$")
+    digest = c.rlike(r"^(?i)([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})$")
+    identifier = c.rlike(r"^[A-Za-z]+([_.\-][A-Za-z]+)*[_.\-]?[0-9]{1,4}$")
+    web_or_path = c.rlike(r"^[A-Za-z0-9_.\-]*[./][A-Za-z0-9_.\-]*[A-Za-z]{2,}[A-Za-z0-9_.\-]*/[A-Za-z0-9_./\-]*$")
+    common = free & (digest | identifier | web_or_path)
     secret = given & ~stand_in & (random | (mixed & ~address))
-    return found.withColumn("label", F.when(secret, 1).when(number | address | stand_in, 0).cast("int"))
+    return found.withColumn("label", F.when(secret, 1).when(number | address | stand_in | common, 0).cast("int"))
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -130,7 +136,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     """``doc_id, text_key, start, length, candidate, label, score, is_secret``: every candidate with the forest's probability.
 
     ``labelled (doc_id, start, label)`` are findings judged before; without it ``rule_labels`` gives the labels. Training uses
-    at most ``SAMPLE_FINDINGS`` of them. If they are not of both kinds there is nothing to learn: labels are the scores,
+    at most ``SAMPLE_FINDINGS`` of them, half of each kind. If they are not of both kinds there is nothing to learn: labels are the scores,
     and what has none is kept as no secret.
 
     A null or empty text has no candidates; a null ``doc_id`` is kept; equal rows have equal findings, each its own. An empty
@@ -146,7 +152,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
         rows = rows.join(given.groupBy("doc_id", "start").agg(F.min("label").alias("label")), ["doc_id", "start"], "left")
     rows = materialize(rows, "described")
     known = rows.filter("label IS NOT NULL")
-    sample = known.orderBy(F.xxhash64("doc_id", "start", "candidate"), "doc_id", "start").limit(SAMPLE_FINDINGS)
+    # Of each kind by itself, so that a rare kind is not missed.
+    by_hash = [F.xxhash64("doc_id", "start", "candidate"), "doc_id", "start"]
+    halves = [known.filter(F.col("label") == kind).orderBy(*by_hash).limit(SAMPLE_FINDINGS // 2) for kind in (0, 1)]
+    sample = halves[0].unionByName(halves[1])
     sample = materialize(sample.select("label", *[f"f_{k}" for k in FEATURES]), "labelled")
     kinds = {r.label for r in sample.select("label").distinct().collect()}
     kept = ["doc_id", "text_key", "start", F.length("candidate").alias("length"), "candidate", "label"]

@@ -231,3 +231,23 @@ def test_a_long_run_of_marks_is_scanned_in_time(spark):
     data = [(1, 'token="' * 20_000, "p"), (2, "token=" + "." * 200_000, "p"), (3, "=" * 200_000, "p"), (4, "pwd:" + " " * 200_000, "p")]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
     assert {r.doc_id for r in secrets.findings(docs).collect()} <= {1, 2}
+
+
+def test_doubtful_negatives_are_labelled(spark):
+    data = [
+        ("see commit ", "4f9d8c7b6a5e4d3c2b1a0f9e8d7c6b5a4f3e2d1c", 0), ('token = "', "4f9d8c7b6a5e4d3c2b1a0f9e8d7c6b5a4f3e2d1c", 1),
+        ("calls ", "user_account_id_42", 0), ("at ", "www.example.org/a1/readme", 0), ("the token ", "4f9d8c7b6a5e4d3c2b1a0f9e8d7c6b5a", None),
+        ("key: ", "4f9d8c7b6a5e4d3c2b1a0f9e8d7c6b5a", None), ("id ", "123e4567-e89b-12d3-a456-426614174000", 0), ("x ", "aB3dE5gH7jK9mN1pQ3sT5", None),
+    ]
+    found = spark.createDataFrame(data, "before string, candidate string, want int")
+    assert [(r.before, r.label) for r in secrets.rule_labels(found).collect()] == [(b, w) for b, _, w in data]
+
+
+def test_a_rare_kind_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE_FINDINGS", 8)
+    data = [(i, f"id {i:030d}x", "p") for i in range(300)] + [(1000 + i, f"zz {'qrst' * 6}{i}", "p") for i in range(3)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    start = {r.doc_id: r.start for r in secrets.findings(docs).collect()}
+    labelled = spark.createDataFrame([(i, n, int(i >= 1000)) for i, n in start.items()], "doc_id bigint, start bigint, label int")
+    scores = {r.doc_id: r.score for r in secrets.scan(docs, labelled).collect()}
+    assert set(scores.values()) - {0.0, 1.0} and all((s >= 0.5) == (d >= 1000) for d, s in scores.items())
