@@ -18,15 +18,15 @@ from gradeloom.llm.vectors import usable
 
 BLOCK_ROWS, QUERY_ROWS = 4_096, 2_048
 SCALE = 64
-#: Integers beyond this could overflow a 64-bit score.
-LARGEST = 1 << 26
+#: Scores below the first are exact in doubles, below the second in 64 bits.
+IN_DOUBLES, IN_LONGS = 1 << 53, 1 << 63
 FIRST_DEPTH, DEEPER = 32, 4
 
 
 def threshold_search(lists: np.ndarray, rows: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Positions and scores of the best ``k`` rows (ties to the smaller id), and how deep the lists were read.
 
-    ``lists[i]`` holds the rows by ascending component ``i``. Scores are whole numbers below 2**53, exact in doubles.
+    ``lists[i]`` holds the rows by ascending component ``i``. Scores are whole numbers that the type of ``rows`` holds exactly.
     """
     n = len(rows)
     dims = np.flatnonzero(query)
@@ -34,11 +34,11 @@ def threshold_search(lists: np.ndarray, rows: np.ndarray, ids: np.ndarray, query
     if not len(dims):  # every score is 0
         best = np.flatnonzero(ids != own)
         best = best[np.argsort(ids[best], kind="stable")][:k]
-        return best, np.zeros(len(best)), n
+        return best, np.zeros(len(best), rows.dtype), n
     rising = weight > 0
     seen = ids == own
     at = np.zeros(0, dtype=np.int64)
-    score = np.zeros(0)
+    score = np.zeros(0, rows.dtype)
     depth, step = 0, FIRST_DEPTH
     while depth < n:
         stop = min(n, depth + step)
@@ -64,20 +64,31 @@ def threshold_search(lists: np.ndarray, rows: np.ndarray, ids: np.ndarray, query
     return at[order], score[order], depth
 
 
+def exact_search(rows: list[list[int]], ids: np.ndarray, query: list[int], own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and scores of the best ``k`` rows in integers of any size; a score beyond 64 bits among them is an error."""
+    scores = {i: sum(a * b for a, b in zip(row, query, strict=True)) for i, row in enumerate(rows) if ids[i] != own}
+    at = sorted(scores, key=lambda i: (-scores[i], ids[i]))[:k]
+    if any(not -IN_LONGS <= scores[i] < IN_LONGS for i in at):
+        raise OverflowError(f"a score of query {own} does not fit 64 bits")
+    return np.array(at, dtype=np.int64), np.array([scores[i] for i in at], dtype=np.int64)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's ``k`` highest inner products (all, if there are fewer).
 
     Components are ``floor(64 * x)``. Ties go to the smaller id; rows with the query's id are its own and no candidates.
-    Vectors that are null, or hold null, infinite or missing numbers, or components beyond ``LARGEST``, take no part, nor do
-    rows without id; vectors are compared with those of their own length. A candidate id that repeats is a candidate each
+    Scores are exact whatever the size of the components; one that belongs to the result and does not fit 64 bits is an error.
+    Vectors that are null, or hold null, infinite or missing numbers, take no part, nor do rows without id; vectors are compared with those of their own length. A candidate id that repeats is a candidate each
     time; a query id that repeats is asked once. Empty tables give an empty result; other columns are not read.
     """
 
     def whole(rows: DataFrame) -> DataFrame:
         rows = usable(rows.select(F.col(vec).cast("bigint").alias("vec_id"), F.col(embedding).alias("v")), "v")
         rows = rows.filter(F.col("vec_id").isNotNull() & (F.size("v") > 0))
-        rows = rows.filter(~F.exists("v", lambda x: F.abs(x.cast("double") * SCALE) > LARGEST))
-        return rows.select("vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * SCALE).cast("int")).alias("v"), F.size("v").alias("dim"))
+        # Whole numbers in doubles, which hold components of any size: rint() of a double stays one, floor() does not.
+        scaled = F.transform("v", lambda x: x.cast("double") * SCALE)
+        whole = F.transform(scaled, lambda x: F.rint(x) - F.when(F.rint(x) > x, 1.0).otherwise(0.0))
+        return rows.select("vec_id", whole.alias("v"), F.size("v").alias("dim"))
 
     candidates, asked = whole(vectors), whole(queries).dropDuplicates(["vec_id"])
     sizes = candidates.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
@@ -101,8 +112,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec: str = "vec_i
         found = {"query_id": [], "vec_id": [], "score": []}
         if len(rows):
             lists = np.argsort(rows, axis=0, kind="stable").T
+            # In Python's integers, so that the bound itself is exact.
+            largest = rows.shape[1] * int(np.abs(rows).max())
+            longs, wide = None, None
             for query_id, query in zip(ids[asks].tolist(), values[asks], strict=True):
-                at, score, _ = threshold_search(lists, rows, own, query, query_id, k)
+                bound = largest * int(np.abs(query).max())
+                if bound < IN_DOUBLES:
+                    at, score, _ = threshold_search(lists, rows, own, query, query_id, k)
+                elif bound < IN_LONGS and max(largest, int(np.abs(query).max())) < IN_LONGS:
+                    longs = rows.astype(np.int64) if longs is None else longs
+                    at, score, _ = threshold_search(lists, longs, own, query.astype(np.int64), query_id, k)
+                else:
+                    wide = [[int(x) for x in row] for row in rows.tolist()] if wide is None else wide
+                    at, score = exact_search(wide, own, [int(x) for x in query.tolist()], query_id, k)
                 found["query_id"].append(np.full(len(at), query_id))
                 found["vec_id"].append(own[at])
                 found["score"].append(score.astype(np.int64))

@@ -61,6 +61,21 @@ def test_search_stops_early_and_is_exact():
         assert list(zip((-score).tolist(), ids[at].tolist(), strict=True)) == want
 
 
+@pytest.mark.parametrize("size", [2.0**20, 2.0**24, 2.0**30, 2.0**60])
+def test_large_components_take_part_exactly(spark, size):
+    # One row's score is the query's size, another one's larger by 1, which doubles of that size do not show.
+    data = [(0, [size, 1 / 64, 0.0]), (1, [size / 2, 1 / 64, 0.0]), (2, [size / 2, 2 / 64, 0.0]), (3, [0.5, 0.0, 0.0]), (4, [-size, 3 / 64, 0.0])]
+    vectors = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in data}
+    scores = sorted((-sum(a * b for a, b in zip(whole[0], whole[i], strict=True)), i) for i in whole if i)
+    found = fagin.top_k(vectors, vectors.filter("vec_id = 0"), k=4)
+    if -scores[0][0] >= 1 << 63:
+        with pytest.raises(Exception, match="does not fit 64 bits"):
+            found.collect()
+    else:
+        assert [(r.vec_id, r.score) for r in sorted(found.collect(), key=lambda r: r["rank"])] == [(i, -s) for s, i in scores]
+
+
 def test_top_k_of_nothing(spark):
     vectors = table(spark, made())
     assert fagin.top_k(vectors.limit(0), vectors).count() == 0 and fagin.top_k(vectors, vectors.limit(0)).count() == 0
