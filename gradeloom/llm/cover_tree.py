@@ -15,12 +15,12 @@ from math import sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.llm.components import connected_components
 from gradeloom.llm.vectors import is_usable
-from gradeloom.plans.skew import hot_key_join, join_measured, materialize, materialize_measured
+from gradeloom.plans.skew import hot_key_join, join_measured, materialize, materialize_measured, top_k
 
 CHUNK_ROWS = 2_048
 MOST_PIVOTS = 64
@@ -159,6 +159,12 @@ def _distance(a: str, b: str):
     return F.sqrt(F.greatest(F.lit(2.0) - F.lit(2.0) * dot, F.lit(0.0)))
 
 
+def first_by_hash(classes: DataFrame, group: list[str]) -> DataFrame:
+    """``label, dim, rep, v_hash, place``: the first ``MOST_PIVOTS`` classes of each group by hash; vectors are not dealt out."""
+    narrow = classes.select(*group, "rep", F.xxhash64("v").alias("v_hash"))
+    return top_k(narrow, group, [F.xxhash64("rep"), F.col("rep"), F.col("v_hash")], MOST_PIVOTS, "place")
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.98, vec: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
     """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept``.
 
@@ -182,9 +188,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, vec: str = "vec_id",
     group = ["label", "dim"]
     sizes = classes.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     wanted = sizes.select(*group, F.least(F.ceil(F.col("n") / CHUNK_ROWS), F.lit(MOST_PIVOTS)).cast("int").alias("cells"))
-    by_hash = Window.partitionBy(*group).orderBy(F.xxhash64("rep"), "rep")
-    first = classes.withColumn("cell", F.row_number().over(by_hash) - 1).filter(F.col("cell") < MOST_PIVOTS)
-    pivots = first.join(wanted, group).filter(F.col("cell") < F.col("cells"))
+    picked = first_by_hash(classes, group).join(wanted, group).filter(F.col("place") <= F.col("cells"))
+    picked, few = materialize_measured(picked.select(*group, "rep", "v_hash", (F.col("place") - 1).alias("cell")), "picked")
+    # An id that repeats stands for several classes; the hash of the vector tells them apart.
+    pivots = join_measured(classes.withColumn("v_hash", F.xxhash64("v")), picked, few, [*group, "rep", "v_hash"], ["rep"])
+    pivots = pivots.dropDuplicates([*group, "cell"])
     size = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x * x))
     scaled = F.transform("v", lambda x: x.cast("double") / F.array_max(F.transform("v", lambda y: F.abs(y.cast("double")))))
     pivots = pivots.withColumn("w", scaled).withColumn("pivot", F.transform("w", lambda x: x / size)).select(*group, "cell", "pivot")

@@ -137,3 +137,13 @@ def test_dual_traversal(spread):
     one, two = cover_tree.Tree(unit[:70]), cover_tree.Tree(unit[70:])
     left, right, _, _ = cover_tree.dual_links(one, two, False, 0.98, weight[:70], weight[70:])
     assert (left == links[:70, 70:] @ weight[70:]).all() and (right == links[70:, :70] @ weight[:70]).all()
+
+
+def test_pivots_are_cut_before_the_shuffle(spark):
+    data = [(i // 2, [float(i), 1.0], i % 3, 2) for i in range(900)]
+    classes = spark.createDataFrame(data, "rep bigint, v array<float>, label int, dim int")
+    picked = cover_tree.first_by_hash(classes, ["label", "dim"])
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    rows = picked.collect()
+    assert len(rows) == 3 * cover_tree.MOST_PIVOTS and len({(r.label, r.place) for r in rows}) == len(rows)
