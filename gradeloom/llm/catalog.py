@@ -1,4 +1,15 @@
 """All queries of this subpackage."""
 
-from gradeloom.llm import queries_dedup, queries_mixing, queries_quality, queries_search, queries_secrets, queries_sharding, queries_tokens  # noqa: F401
+from gradeloom.llm import (  # noqa: F401
+    queries_audit,
+    queries_chat,
+    queries_dedup,
+    queries_mixing,
+    queries_quality,
+    queries_search,
+    queries_secrets,
+    queries_sharding,
+    queries_spelling,
+    queries_tokens,
+)
 from gradeloom.llm.registry import ORACLES, QUERIES  # noqa: F401
