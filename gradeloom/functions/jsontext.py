@@ -11,10 +11,17 @@ END = "\x01end"
 
 
 def whole_json(text: Column) -> Column:
-    """The text's JSON value as a variant; null if it is not one value and nothing else."""
+    """The text's JSON value as a variant; null if it is not one value and nothing else.
+
+    The parsed pair is bound to a name, so that looking into it three times does not parse three times.
+    """
     pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"\\u0001end"]')))
-    ends = (F.try_variant_get(pair, "$[1]", "string") == END) & F.try_variant_get(pair, "$[2]", "variant").isNull()
-    return F.when(ends, F.try_variant_get(pair, "$[0]", "variant"))
+
+    def value_of(pair: Column) -> Column:
+        ends = (F.try_variant_get(pair, "$[1]", "string") == END) & F.try_variant_get(pair, "$[2]", "variant").isNull()
+        return F.when(ends, F.try_variant_get(pair, "$[0]", "variant"))
+
+    return F.get(F.transform(F.array(pair), value_of), F.lit(0))
 
 
 def has_keys(value: Column, *keys: str) -> Column:

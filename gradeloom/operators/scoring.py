@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.functions.chat import first_by_role
-from gradeloom.functions.metrics import Metric, metric
+from gradeloom.functions.metrics import Metric, metric, table_metric
 from gradeloom.functions.text import ERROR_BAND, band, basis_points, length_ratio, stored_score
 from gradeloom.plans.once import compute_once
 
@@ -67,16 +69,21 @@ def error_row(joined: DataFrame) -> DataFrame:
     return joined.withColumn("error", reason).withColumn("generated", F.coalesce(F.col("generated"), F.lit("")))
 
 
-def score_results(answered: DataFrame, by: str | Metric = "char_ratio") -> DataFrame:
+def score_results(answered: DataFrame, by: str | Metric = "char_ratio", keys: Sequence[str] = ("run_id", "rec_id")) -> DataFrame:
     """Result rows: score (four digits and basis points), band, texts and length ratio.
 
     Error rows keep their message, score 0 and carry no texts. The metric sees only the two
-    texts of scorable rows.
+    texts of scorable rows. ``keys`` are unique and not null; only a metric over tables needs them, to find its rows again.
     """
     ok = F.col("error").isNull()
-    raw = metric(by)(F.when(ok, F.col("expected")), F.when(ok, F.col("generated")))
+    by_table = table_metric(by)
+    if by_table is None:
+        rated = answered.withColumn("_raw", metric(by)(F.when(ok, F.col("expected")), F.when(ok, F.col("generated"))))
+    else:
+        raws = by_table(answered.filter(ok).select(*keys, "expected", "generated"), keys)
+        rated = answered.join(raws.withColumnRenamed("raw", "_raw"), list(keys), "left")
     scored = compute_once(
-        answered.withColumn("_raw", raw),
+        rated,
         {
             "score": F.when(ok, stored_score(F.col("_raw"))).otherwise(F.lit(0.0)),
             "band": F.when(ok, band(F.col("_raw"))).otherwise(ERROR_BAND),

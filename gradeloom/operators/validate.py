@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions.jsontext import whole_json
 from gradeloom.functions.rules import grade_records
 from gradeloom.functions.text import py_strip
-from gradeloom.plans.once import compute_once
+from gradeloom.plans.once import compute_once, fresh
 from gradeloom.plans.skew import lookup_join
 
 
@@ -55,12 +55,13 @@ def validate_sharegpt(lines: DataFrame, first_n: int | None = None, value: str =
     Expects ``value``, ``line_no`` and ``record_no``; other columns (a path, say) are kept.
     ``first_n`` limits the check to the first records of each file; by default all are checked.
     """
-    text = py_strip(F.col(value))
-    records = lines.filter(F.length(text) > 0)
+    # The line is read behind a barrier: whatever makes it is evaluated once, not again for the blank test.
+    line, json = fresh(lines.columns, "_line", "_json")
+    records = compute_once(lines, {line: py_strip(F.col(value))}).filter(F.length(line) > 0)
     if first_n is not None:
         records = records.filter(F.col("record_no") <= first_n)
     kept = [c for c in lines.columns if c != value]
-    parsed = F.col("_json")
+    parsed = F.col(json)
     chats = F.try_variant_get(parsed, "$.conversations", "variant")
     first = F.try_variant_get(parsed, "$.conversations[0]", "variant")
     has_keys = (
@@ -74,7 +75,7 @@ def validate_sharegpt(lines: DataFrame, first_n: int | None = None, value: str =
         .when(first.isNull(), "conversations is not a non-empty list")
         .when(~has_keys, "first turn lacks from or value")
     )
-    checked = compute_once(compute_once(records, {"_json": whole_json(text)}).select(*kept, "_json"), {"reason": reason})
+    checked = compute_once(compute_once(records, {json: whole_json(F.col(line))}).select(*kept, json), {"reason": reason})
     return checked.select(*kept, "reason").filter(F.col("reason").isNotNull())
 
 

@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def fresh(columns: Iterable[str], *names: str) -> list[str]:
+    """Names for working columns that none of ``columns`` has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add columns whose later use in a filter does not repeat the expression.
 

@@ -12,11 +12,9 @@ from gradeloom.plans import sqltext as q
 from gradeloom.plans.registry import query
 from gradeloom.plans.skew import materialize
 from gradeloom.plans.standins import (
-    BASE_RUN, BREAKDOWN_SQL, NEW_RUN, OLD_RUN, RESULTS_SQL, SUMMARY_SQL, history, history_sql, results, results_of, table,
+    BASE_RUN, BREAKDOWN_SQL, HISTORY_SQL, NEW_RUN, OLD_RUN, RESULTS_SQL, SUMMARY_SQL, history, results, results_of, table,
 )
 
-HISTORY = history_sql("runs", "signup")
-BASES = history_sql("base_runs", "purchase")
 B = q.ctes(RESULTS_SQL, BREAKDOWN_SQL)
 S = q.ctes(RESULTS_SQL, SUMMARY_SQL)
 
@@ -74,33 +72,34 @@ def _(spark, sf):
     return compare.last_wins(table(spark, sf, "events").select("user_id", "event_id", "value"), "user_id", "event_id")
 
 
-@query("base_run_asof", "WITH " + HISTORY + ", " + BASES + """,
+@query("base_run_asof", "WITH " + HISTORY_SQL + """,
 firsts AS (SELECT r.base_model, r.run_id, arg_min(b.run_id, b.mtime) FILTER (b.ts >= r.ts) AS first_after, arg_max(b.run_id, b.mtime) AS latest
-  FROM runs r JOIN base_runs b USING (base_model) GROUP BY r.base_model, r.run_id)
+  FROM runs r JOIN runs b ON b.base_model = r.base_model AND b.is_base WHERE NOT r.is_base GROUP BY r.base_model, r.run_id)
 SELECT r.base_model, r.run_id, r.ts, coalesce(f.first_after, f.latest) AS base_run, f.first_after IS NOT NULL AS at_or_after
-FROM runs r LEFT JOIN firsts f ON f.base_model = r.base_model AND f.run_id = r.run_id""")
+FROM runs r LEFT JOIN firsts f ON f.base_model = r.base_model AND f.run_id = r.run_id WHERE NOT r.is_base""")
 def _(spark, sf):
-    return compare.base_run_asof(history(spark, sf, "signup"), history(spark, sf, "purchase"))
+    runs_of_all = history(spark, sf)
+    return compare.base_run_asof(runs_of_all.filter("NOT is_base"), runs_of_all.filter("is_base"))
 
 
-@query("previous_run", "WITH " + HISTORY + """,
+@query("previous_run", "WITH " + HISTORY_SQL + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY mtime DESC, run_id DESC) AS rn FROM runs)
 SELECT r.model, r.run_id, CASE WHEN r.rn = 1 THEN s.run_id ELSE t.run_id END AS previous_run
 FROM ranked r LEFT JOIN ranked t ON t.model = r.model AND t.rn = 1 LEFT JOIN ranked s ON s.model = r.model AND s.rn = 2""")
 def _(spark, sf):
-    return compare.previous_run(history(spark, sf, "signup"))
+    return compare.previous_run(history(spark, sf))
 
 
-@query("second_latest_run", "WITH " + HISTORY + """
+@query("second_latest_run", "WITH " + HISTORY_SQL + """
 SELECT model, run_id AS previous_run FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY mtime DESC, run_id DESC) AS rn FROM runs) WHERE rn = 2""")
 def _(spark, sf):
-    return compare.previous_run(history(spark, sf, "signup"), "second_latest")
+    return compare.previous_run(history(spark, sf), "second_latest")
 
 
-@query("nth_latest_run", "WITH " + HISTORY + """
+@query("nth_latest_run", "WITH " + HISTORY_SQL + """
 SELECT model, run_id, ts, mtime FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY mtime DESC, run_id DESC) AS rn FROM runs) WHERE rn = 1""")
 def _(spark, sf):
-    return runs.nth_latest_run(history(spark, sf, "signup")).drop("base_model")
+    return runs.nth_latest_run(history(spark, sf)).drop("base_model", "is_base")
 
 
 BASED = q.ctes(RESULTS_SQL, SUMMARY_SQL, f"""pairs AS (SELECT t.run_id, t.avg_score, b.avg_score AS base_avg, t.avg_score - b.avg_score AS delta
@@ -116,20 +115,19 @@ def _(spark, sf):
     return compare.compare_to_base(tuned, avgs.filter(F.col("run_id") == BASE_RUN)).drop("base_model")
 
 
-# Checkpoints of each model, scored by event values; some evaluations fail.
+# Checkpoints of each model, one per event, scored by event values; some evaluations fail.
 def checkpoints(spark, sf):
-    ev = table(spark, sf, "events").filter("event_type IN ('click', 'view')")
     step = F.pmod("event_id", F.lit(900))
-    return ev.select(
+    return table(spark, sf, "events").select(
         F.concat(F.lit("m"), "user_id").alias("adapter"),
         F.when(F.pmod("event_id", F.lit(10)) == 9, F.lit("checkpoint-best")).otherwise(F.concat(F.lit("checkpoint-"), step)).alias("name"),
-        F.when(F.col("event_type") == "view", F.floor("value") / 1000).alias("avg_score"),
+        F.when(F.pmod("event_id", F.lit(4)) != 0, F.floor("value") / 1000).alias("avg_score"),
         "event_id",
     )
 
 
 CKPT_SQL = """names AS (SELECT event_id, 'm' || user_id AS adapter, CASE WHEN event_id % 10 = 9 THEN 'checkpoint-best' ELSE 'checkpoint-' || (event_id % 900) END AS name,
-    CASE WHEN event_type = 'view' THEN floor(value) / 1000e0 END AS avg_score FROM events WHERE event_type IN ('click', 'view')),
+    CASE WHEN event_id % 4 <> 0 THEN floor(value) / 1000e0 END AS avg_score FROM events),
 steps AS (SELECT *, TRY_CAST(string_split(name, '-')[2] AS INT) AS step FROM names),
 ckpts AS (SELECT *, adapter || '-ckpt' || step AS candidate FROM steps WHERE step > 0)"""
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import text as t
-from gradeloom.functions.metrics import similarity
+from gradeloom.functions.metrics import levenshtein_ratio, similarity
 from gradeloom.operators import aggregate as agg
 from gradeloom.operators import scoring
 from gradeloom.plans import sqltext as q
 from gradeloom.plans.registry import query
 from gradeloom.plans.standins import (
-    BREAKDOWN_SQL, RECORDS_SQL, RESULTS_SQL, SUMMARY_SQL, answered, code_like, code_like_sql, records, results, table,
+    BREAKDOWN_SQL, MARK, RECORDS_SQL, RESULTS_SQL, SUMMARY_SQL, answered, code_like, code_like_sql, records, results, table,
 )
 
 R, B, S = q.ctes(RESULTS_SQL), q.ctes(RESULTS_SQL, BREAKDOWN_SQL), q.ctes(RESULTS_SQL, SUMMARY_SQL)
@@ -60,6 +61,53 @@ def _(spark, sf):
     return raw.select(*KEYS, t.stored_score(F.col("raw")).alias("score"))
 
 
+DICE = R + r"""p AS (SELECT run_id, rec_id, regexp_extract_all(expected, '[^\x20\x09-\x0D]+') AS a, regexp_extract_all(generated, '[^\x20\x09-\x0D]+') AS b
+  FROM results WHERE error IS NULL),
+t AS (SELECT run_id, rec_id, token, count(*) FILTER (side = 0) AS a, count(*) FILTER (side = 1) AS b FROM (
+    SELECT run_id, rec_id, unnest(a) AS token, 0 AS side FROM p UNION ALL SELECT run_id, rec_id, unnest(b), 1 FROM p) GROUP BY ALL),
+s AS (SELECT run_id, rec_id, sum(least(a, b)) AS shared FROM t GROUP BY ALL),
+bags AS (SELECT p.run_id, p.rec_id, CASE WHEN len(a) + len(b) = 0 THEN 1e0 ELSE 2e0 * coalesce(shared, 0) / (len(a) + len(b)) END AS raw
+  FROM p LEFT JOIN s USING (run_id, rec_id))
+""".replace("p AS", ", p AS", 1) + f"SELECT run_id, rec_id, {q.rounded('raw', 4)} AS score, {q.band('raw')} AS band FROM bags"
+
+
+@query("token_bag_dice", DICE)
+def _(spark, sf):
+    """All answers by the multiset overlap of their tokens."""
+    return scoring.score_results(answered(spark, sf), by="token_bag_dice").filter("error IS NULL").select(*KEYS, "score", "band")
+
+
+# An answer is a beginning of its reference, some with three foreign signs appended, so the distance has a closed form.
+LEAST_RATIO = 0.4
+EDITED = R + f""", d AS (SELECT run_id, rec_id, length(e) AS le, CASE WHEN blank THEN 0 WHEN marked THEN length(h) ELSE length(g) END AS lh,
+    CASE WHEN marked AND NOT blank THEN {len(MARK)} ELSE 0 END AS added FROM raws WHERE error IS NULL),
+n AS (SELECT *, greatest(le - lh, added) AS distance, greatest(le, lh + added) AS longer FROM d),
+ratios AS (SELECT run_id, rec_id, CASE WHEN longer = 0 THEN 1e0 ELSE 1e0 - distance * 1e0 / longer END AS ratio FROM n),
+raws2 AS (SELECT run_id, rec_id, CASE WHEN ratio >= {LEAST_RATIO}::DOUBLE - 1e-12 THEN ratio ELSE 0e0 END AS raw FROM ratios)
+SELECT run_id, rec_id, {q.rounded('raw', 4)} AS score, {q.band('raw')} AS band FROM raws2"""
+
+
+@query("levenshtein_ratio", EDITED)
+def _(spark, sf):
+    """All answers by bounded edit distance."""
+    rated = scoring.score_results(answered(spark, sf), by=lambda a, b: levenshtein_ratio(a, b, LEAST_RATIO))
+    return rated.filter("error IS NULL").select(*KEYS, "score", "band")
+
+
+# The SQL counts bytes, so both sides see the texts with one plain sign for every other character.
+@query("levenshtein_turns", f"""WITH t AS (SELECT conv_id, turn, {q.strip("regexp_replace(text, '[^ -~]', '?', 'g')")} AS a,
+    {q.strip("regexp_replace(lead(text) OVER (PARTITION BY conv_id ORDER BY turn), '[^ -~]', '?', 'g')")} AS b FROM conversations),
+r AS (SELECT conv_id, turn, CASE WHEN greatest(length(a), length(b)) = 0 THEN 1e0 ELSE 1e0 - levenshtein(a, b) * 1e0 / greatest(length(a), length(b)) END AS ratio
+  FROM t WHERE b IS NOT NULL)
+SELECT conv_id, turn, CASE WHEN ratio >= 25e-2 THEN ratio ELSE 0e0 END AS ratio FROM r""")
+def _(spark, sf):
+    """Every turn against the next one of its conversation: texts with nothing in common but their letters."""
+    following = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text", following.alias("next")).filter("next IS NOT NULL")
+    plain = [F.regexp_replace(c, "[^ -~]", "?") for c in ("text", "next")]
+    return turns.select("conv_id", "turn", levenshtein_ratio(*plain, 0.25).alias("ratio"))
+
+
 @query("similarity_turns")
 def _(spark, sf):
     """Each reply against the turn before it: pairs of whole, unrelated texts."""

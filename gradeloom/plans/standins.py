@@ -283,22 +283,22 @@ points AS (
 
 # ---------------------------------------------------------------- run histories
 
-def history(spark: SparkSession, sf: str, event_type: str) -> DataFrame:
-    """Runs of many models over time; modification order differs from timestamp order."""
-    return (
-        table(spark, sf, "events")
-        .filter(F.col("event_type") == event_type)
-        .select(
-            F.concat(F.lit("m"), "user_id").alias("base_model"),
-            F.concat(F.lit("m"), "user_id").alias("model"),
-            F.col("event_id").alias("run_id"),
-            F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias("ts"),
-            (F.col("event_id") + F.when(F.pmod("event_id", F.lit(2)) == 0, 500).otherwise(0)).alias("mtime"),
-        )
+def history(spark: SparkSession, sf: str) -> DataFrame:
+    """A run for every event, of many models over time; modification order differs from timestamp order.
+
+    Every third event is a run of the base model, ``is_base``, all others are of models tuned from it.
+    """
+    base = F.pmod("event_id", F.lit(3)) == 0
+    return table(spark, sf, "events").select(
+        F.concat(F.lit("m"), "user_id").alias("base_model"),
+        F.concat(F.lit("m"), "user_id", F.when(base, "").otherwise("-tuned")).alias("model"),
+        F.col("event_id").alias("run_id"),
+        F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz").alias("ts"),
+        (F.col("event_id") + F.when(F.pmod("event_id", F.lit(2)) == 0, 500).otherwise(0)).alias("mtime"),
+        base.alias("is_base"),
     )
 
 
-def history_sql(name: str, event_type: str) -> str:
-    return f"""{name} AS (SELECT 'm' || user_id AS base_model, 'm' || user_id AS model, event_id AS run_id,
-    date_trunc('minute', ts) AS ts, event_id + CASE WHEN event_id % 2 = 0 THEN 500 ELSE 0 END AS mtime
-  FROM events WHERE event_type = '{event_type}')"""
+HISTORY_SQL = """runs AS (SELECT 'm' || user_id AS base_model, 'm' || user_id || CASE WHEN event_id % 3 = 0 THEN '' ELSE '-tuned' END AS model,
+    event_id AS run_id, date_trunc('minute', ts) AS ts, event_id + CASE WHEN event_id % 2 = 0 THEN 500 ELSE 0 END AS mtime, event_id % 3 = 0 AS is_base
+  FROM events)"""

@@ -47,7 +47,8 @@ def _parsed(lines: DataFrame, schema, mode: str, required: tuple[str, ...] = ())
 
     A line is malformed if it is not one JSON object with the required keys and nothing else.
     """
-    checked = compute_once(lines, {"_good": has_keys(whole_json(F.col("value")), *required)})
+    checked = compute_once(lines, {"_json": whole_json(F.col("value"))})
+    checked = compute_once(checked, {"_good": has_keys(F.col("_json"), *required)}).drop("_json")
     record = F.from_json("value", schema, {"mode": "PERMISSIVE"})
     if mode == "failfast":
         at = F.concat(F.lit("malformed record in "), F.col("path"), F.lit(": "), F.left("value", F.lit(SHOWN_CHARS)))

@@ -56,6 +56,11 @@ def test_filter_on_a_verdict_does_not_parse_twice(spark):
     assert plan(entry_point.queries()["validate_sharegpt"](spark, SF)).count("parseJson") == 1
 
 
+@pytest.mark.parametrize("name", ["read_examples", "write_sharegpt"])
+def test_readers_parse_once(spark, name):
+    assert plan(entry_point.queries()[name](spark, SF)).count("parseJson") == 1
+
+
 def test_ranks_are_limited_before_the_shuffle(spark):
     text = plan(entry_point.queries()["last_wins"](spark, SF))
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
