@@ -29,5 +29,5 @@ def compute_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     while filters on all other columns still move below it.
     """
     made = F.inline_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
-    kept = [c for c in df.columns if c not in columns]
+    kept = [f"`{c}`" for c in df.columns if c not in columns]
     return df.select(*kept, made)
