@@ -3,22 +3,25 @@
 1. The words of a source form one stream: documents lie one after another in a hashed order, found with sums per lane (a
    hashed part of a source) and sums over lanes. The stream is cut into blocks of ``BLOCK_WORDS`` words.
 2. The mix is a sequence of slots, each taking one block, cut into output shards of ``SHARD_SLOTS`` slots. How many slots of a
-   shard each source gets is multinomial with the targets as probabilities: the whole part of the expectation is given,
-   the rest is drawn. What is drawn beyond a source's limit goes to sources with room, in proportion to their room.
+   shard each source gets is a multinomial draw with the targets as probabilities, every shard by itself. What a source draws
+   over all shards beyond its quota, the slots its target asks for, goes to the sources that drew less, in proportion to
+   what they lack: a few slots per hundred in a small mix, ever fewer in a large one.
 3. The slots of a source are numbered through all shards; number ``t`` takes the block at ``t mod n`` in pass ``t div n`` of a
    pseudorandom permutation of its ``n`` blocks, another one in each pass. Permutations are swap-or-not networks, which work
    for any ``n`` and need no table.
 4. Blocks and the pieces of documents in them are joined by block number.
 
-Everything random is hashed from a seed. Only tables of one row per source are sorted in one task.
+Everything random is hashed from a seed. Only tables of one row per source are sorted in one task, which is meant for
+thousands of sources, not for a name per document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm.hypergeometric import uniform_sql
+from gradeloom.plans.once import compute_once, fresh
 from gradeloom.plans.skew import join_measured, materialize, materialize_measured
 
 BLOCK_WORDS = 128
@@ -125,29 +128,29 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     kinds = F.explode(F.expr(f"filter(array(named_struct('first', 0L, 'last', shards - 2, 'room', {shard_slots}L), named_struct('first', shards - 1, 'last', shards - 1, 'room', all_slots - (shards - 1) * {shard_slots})), k -> k.last >= k.first)"))
     rows = materialize(rows.withColumn("kind", kinds), "shares").select("*", "kind.*")
     of_kind = Window.partitionBy("first").orderBy("sid")
-    rows = rows.withColumn("given", F.floor(F.col("room") * F.col("share")))
-    rows = rows.withColumn("left", F.col("room") - F.sum("given").over(Window.partitionBy("first")))
-    rows = rows.withColumn("high", F.sum(F.col("room") * F.col("share") - F.col("given")).over(of_kind.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("high", F.sum(F.col("room") * F.col("share")).over(of_kind.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("low", F.coalesce(F.lag("high").over(of_kind), F.lit(0.0)))
-    rows = rows.withColumn("high", F.when(F.lead("sid").over(of_kind).isNull(), F.col("left") + 1.0).otherwise(F.col("high")))
-    each = F.explode(F.sequence("first", "last")).alias("shard")
-    given = rows.filter("given > 0").select(each, "sid", F.col("given").alias("n"))
-    # The draw: a point per slot that is left, found by its whole number among the sources' stretches.
-    draws = rows.select("first", "last", "left").distinct().filter("left > 0").select("first", "left", each)
-    draws = draws.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("left") - 1)))
-    draws = draws.withColumn("point", F.col("left") * F.expr(uniform_sql(f"{SEED + 4}", "shard", "i"))).withColumn("cell", F.floor("point"))
-    stretches = rows.filter("left > 0 AND high > low").select("first", "sid", "low", "high", F.explode(F.sequence(F.floor("low"), F.floor("high"))).alias("cell"))
-    drawn = draws.join(stretches, ["first", "cell"]).filter("point >= low AND point < high").select("shard", "sid", F.lit(1).cast("bigint").alias("n"))
-    seen = Observation()
-    counts = given.unionByName(drawn).groupBy("shard", "sid").agg(F.sum("n").alias("n"))
-    counts = materialize(counts.observe(seen, F.sum("n").alias("slots")), "counts")
+    rows = rows.withColumn("high", F.when(F.lead("sid").over(of_kind).isNull(), F.col("room") + 1.0).otherwise(F.col("high")))
+    total = rows.agg(F.max("all_slots").alias("n")).first()["n"] or 0
     # Few narrow rows become many slots: they are dealt out by what they become.
-    parts = max(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), (seen.get["slots"] or 0) // SLOTS_PER_TASK)
-
-    # Beyond a source's limit: the surplus, numbered, goes to sources with room.
+    parts = max(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // SLOTS_PER_TASK)
+    # The draw: a point per slot, found by its whole number among the sources' stretches.
+    shards = rows.select("first", "room", F.explode(F.sequence("first", "last")).alias("shard")).distinct().repartition(parts, "shard")
+    draws = shards.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("room") - 1)))
+    draws = draws.withColumn("point", F.col("room") * F.expr(uniform_sql(f"{SEED + 4}", "shard", "i"))).withColumn("cell", F.floor("point"))
+    stretches = rows.filter("high > low").select("first", "sid", "low", "high", F.explode(F.sequence(F.floor("low"), F.floor("high"))).alias("cell"))
+    drawn = draws.join(stretches, ["first", "cell"]).filter("point >= low AND point < high").select("shard", "sid")
+    counts = materialize(drawn.groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("n")), "counts")
+
+    # Beyond a source's quota: the surplus, numbered, goes to sources with room. Quotas are whole numbers that add up; what
+    # rounding down leaves goes to the largest fractions, so a source at its limit of passes stays there.
     sums = counts.groupBy("sid").agg(F.sum("n").alias("slots"))
-    room = rows.groupBy("sid").agg(F.max("blocks").alias("blocks")).join(sums, "sid", "left")
-    room = room.select("sid", "blocks", F.coalesce("slots", F.lit(0)).alias("slots"), (F.col("blocks") * MOST_TIMES).alias("limit"))
+    quotas = rows.groupBy("sid").agg(F.max("blocks").alias("blocks"), F.max("quota").alias("quota"), F.max("all_slots").alias("all_slots"))
+    quotas = quotas.withColumn("limit", F.floor(F.col("quota") + 1e-6))
+    left = F.col("all_slots") - F.sum("limit").over(everything)
+    largest = F.row_number().over(Window.orderBy((F.col("quota") - F.col("limit")).desc(), "sid"))
+    quotas = quotas.withColumn("limit", F.col("limit") + F.when(largest <= left, 1).otherwise(0))
+    room = quotas.join(sums, "sid", "left").select("sid", "blocks", F.coalesce("slots", F.lit(0)).alias("slots"), "limit")
     room = room.withColumn("over", F.greatest(F.col("slots") - F.col("limit"), F.lit(0))).withColumn("free", F.greatest(F.col("limit") - F.col("slots"), F.lit(0)))
     room = room.withColumn("over_before", F.sum("over").over(upto) - F.col("over"))
     room = room.withColumn("free_upto", F.sum("free").over(upto)).withColumn("over_all", F.sum("over").over(everything)).withColumn("free_all", F.sum("free").over(everything))
@@ -163,11 +166,14 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     through = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     rows = counts.withColumn("from", F.sum("n").over(through) - F.col("n"))
     rows = rows.repartition(parts, "shard", "sid").select("shard", "sid", F.explode(F.expr("sequence(from, from + n - 1)")).alias("t"))
-    limits = room.select("sid", "limit", "over_before")
+    # The surplus is taken out evenly, every so many slots, so that no shard is left far from its draw.
+    limits = room.select("sid", "over", "over_before", F.expr("slots div greatest(over, 1L)").alias("stride"))
     rows = join_measured(rows, limits, few, ["sid"], ["t"])
-    moved = rows.filter("t >= limit").withColumn("o", F.col("over_before") + F.col("t") - F.col("limit")).join(extras, "o")
+    rows = rows.withColumn("gone", F.expr("least((t + 1) div greatest(stride, 1L), over)"))
+    surplus = F.expr("over > 0 AND (t + 1) % stride = 0 AND (t + 1) div stride <= over")
+    moved = rows.filter(surplus).withColumn("o", F.col("over_before") + F.col("gone") - 1).join(extras, "o")
     moved = moved.select("shard", F.col("to").alias("sid"), F.col("to_t").alias("t"))
-    taken = rows.filter("t < limit").select("shard", "sid", "t").unionByName(moved)
+    taken = rows.filter(~surplus).select("shard", "sid", (F.col("t") - F.col("gone")).alias("t")).unionByName(moved)
     taken = join_measured(taken, room.select("sid", "blocks"), few, ["sid"], ["t"])
     taken = taken.withColumn("turn", F.expr("t div blocks")).withColumn("block", F.expr(permuted("pmod(t, blocks)", "blocks", "sid", "t div blocks")))
     mixed = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(SEED + 5), "sid", "t"), "sid", "t")
@@ -200,21 +206,42 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     return full.unionByName(empty).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "source", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "source", block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """The mix as documents: a row of ``docs`` for each of its pieces in the mix, ``text`` being the piece.
 
     A piece keeps the white space behind its words, the first one also what stands before them. All other columns are those
-    of the document. Rows that repeat both id and text are one document here; their pieces are all kept.
+    of the document, whatever their names. Rows that repeat both id and text are one document here (of several, the first by its
+    other columns); their pieces are all kept. A text is cut in one pass into the stretches between blocks, never into words.
     """
-    mixed, rows = mix(docs, text, doc, source, **options)
-    keyed = docs.withColumn("_doc", F.col(doc).cast("bigint")).withColumn("_key", F.xxhash64(F.col(text).cast("string")))
+    mixed, rows = mix(docs, text, doc, source, block_words=block_words, shard_slots=shard_slots)
+    # Working columns have names that no column of the documents has.
+    own = [f"`{c}`" for c in docs.columns]
+    of_doc, of_text, whole, numbers, head, cut, piece, key_doc, key_text = fresh(
+        docs.columns, "of_doc", "of_text", "whole", "numbers", "head", "cut", "piece", "key_doc", "key_text"
+    )
+    string = F.col(f"`{text}`").cast("string")
+    keyed = docs.withColumns({of_doc: F.col(f"`{doc}`").cast("bigint"), of_text: F.xxhash64(string), whole: string})
     if not rows.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():
-        keyed = keyed.dropDuplicates(["_doc", "_key"])
+        first = F.min_by(F.struct(*own, whole), F.to_json(F.struct(*own))).alias(piece)
+        keyed = keyed.groupBy(of_doc, of_text).agg(first).select(f"{piece}.*", of_doc, of_text)
     # A document's own pieces: as many as it has blocks, MOST_TIMES times.
-    taken = mixed.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first_word", "words", "shard", "slot")).alias("_pieces"))
-    taken = taken.withColumnsRenamed({"doc_id": "_of", "text_key": "_text"})
-    found = keyed.join(taken, keyed["_doc"].eqNullSafe(taken["_of"]) & (keyed["_key"] == taken["_text"]))
-    spaced = rf"(?:^[\x20\x09-\x0D]+)?{WORD}[\x20\x09-\x0D]*"
-    found = found.withColumn("_words", F.regexp_extract_all(F.col(text).cast("string"), F.lit(spaced), F.lit(0)))
-    cut = F.transform("_pieces", lambda p: F.array_join(F.slice("_words", (p["first_word"] + 1).cast("int"), p["words"].cast("int")), ""))
-    return found.withColumn("_words", cut).withColumn(text, F.explode("_words")).select(*docs.columns)
+    number = F.expr(f"IF(first_word = 0, 0L, 1L + (first_word - head_words) div {block_words})").cast("int")
+    mixed = mixed.withColumn("head_words", F.expr(f"least(size, {block_words} - start % {block_words})")).withColumn("number", number)
+    taken = mixed.groupBy("doc_id", "text_key", "sid", "start", "head_words").agg(F.collect_list("number").alias("numbers"))
+    taken = taken.select(
+        F.col("doc_id").alias(key_doc), F.col("text_key").alias(key_text), F.col("head_words").alias(head), F.col("numbers").alias(numbers)
+    )
+    found = keyed.join(taken, keyed[of_doc].eqNullSafe(taken[key_doc]) & (keyed[of_text] == taken[key_text]))
+    found = compute_once(found.select(*own, whole, numbers, head), {cut: stretches_of(F.col(whole), F.col(head), block_words)})
+    pieces_of = found.select(*own, F.explode(F.transform(numbers, lambda n: F.get(cut, n))).alias(piece))
+    return pieces_of.select(*[F.col(piece).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+
+
+def stretches_of(text: Column, head_words: Column, block_words: int) -> Column:
+    """A text cut after its first ``head_words`` words and then after every ``block_words``, white space kept in front of the
+    cuts."""
+    word = rf"{WORD}+[\x20\x09-\x0D]*+"
+    pattern = F.concat(F.lit(rf"\A[\x20\x09-\x0D]*+(?:{word}){{"), head_words.cast("string"), F.lit("}"))
+    head = F.call_function("regexp_extract", text, pattern, F.lit(0))
+    rest = F.transform(F.array(head), lambda h: F.concat(F.array(h), F.regexp_extract_all(F.substr(text, F.length(h) + 1), F.lit(f"(?:{word}){{1,{block_words}}}"), F.lit(0))))
+    return F.get(rest, F.lit(0))

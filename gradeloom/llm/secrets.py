@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.plans.once import fresh
 from gradeloom.plans.skew import lookup_join, materialize
 from gradeloom.session import scratch_path
 
@@ -173,12 +174,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
 
 
 def redact(docs: DataFrame, scanned: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``MARK``; other columns and rows as they are."""
+    """``docs`` with every secret in ``text`` replaced by ``MARK``; other columns, whatever their names, and rows as they are."""
+    # Working columns have names that no column of the documents has.
+    of_doc, of_text, spans = fresh(docs.columns, "of_doc", "of_text", "spans")
     no_id = F.lit(-1).cast("bigint")
-    secret = scanned.filter("is_secret").select(F.coalesce("doc_id", no_id).alias("_doc"), F.col("text_key").alias("_key"), "start", "length")
-    spans = secret.groupBy("_doc", "_key").agg(F.reverse(F.array_sort(F.collect_set(F.struct("start", "length")))).alias("_spans"))
-    rows = docs.withColumn("_doc", F.coalesce(F.col(doc).cast("bigint"), no_id)).withColumn("_key", F.xxhash64(F.col(text).cast("string")))
-    rows = lookup_join(rows, spans, ["_doc", "_key"], ["_key"], "left", "spans")
+    secret = scanned.filter("is_secret").select(F.coalesce("doc_id", no_id).alias(of_doc), F.col("text_key").alias(of_text), "start", "length")
+    found = secret.groupBy(of_doc, of_text).agg(F.reverse(F.array_sort(F.collect_set(F.struct("start", "length")))).alias(spans))
+    whole = F.col(f"`{text}`")
+    rows = docs.withColumns({of_doc: F.coalesce(F.col(f"`{doc}`").cast("bigint"), no_id), of_text: F.xxhash64(whole.cast("string"))})
+    rows = lookup_join(rows, found, [of_doc, of_text], [of_text], "left", "spans")
     put = lambda t, s: F.overlay(t, F.lit(MARK), (s["start"] + 1).cast("int"), s["length"].cast("int"))
-    clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.aggregate("_spans", F.col(text), put))
-    return rows.withColumn(text, clean).select(*docs.columns)
+    clean = F.when(F.col(spans).isNull(), whole).otherwise(F.aggregate(spans, whole, put))
+    return rows.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

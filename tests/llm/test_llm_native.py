@@ -147,6 +147,67 @@ def test_mixed_documents_are_the_taken_words(spark):
     assert dict(words) == taken
 
 
+CLASHES = ("_doc", "_key", "_words", "_pieces", "_spans", "_of", "_text", "start", "length", "row", "cut", "numbers", "whole", "of_doc", "of.text")
+
+
+def with_clashes(docs):
+    return docs.withColumns({c: F.concat(F.lit(f"{c} "), F.col("doc_id").cast("string")) for c in CLASHES})
+
+
+def test_columns_of_any_name_are_kept(spark):
+    data = [(i, " ".join(f"w{i}x{j}" for j in range(60)) + f' token = "{KEY}"', "s") for i in range(6)] + [(7, "", "s"), (8, None, None)]
+    docs = with_clashes(spark.createDataFrame(data, "doc_id bigint, text string, source string"))
+    for out in (secrets.redact(docs, secrets.scan(docs, path="source")), mixing.mixed_documents(docs, block_words=16, shard_slots=16)):
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in CLASHES)
+
+
+def test_counts_of_a_shard_are_multinomial(spark):
+    sources = spark.createDataFrame([(0, 400_000, 200_000.0), (1, 400_000, 100_000.0), (2, 400_000, 300_000.0)], "sid int, source_size bigint, target double")
+    rows = mixing.slots(sources, block_words=1, shard_slots=300).groupBy("shard").pivot("sid", [0, 1, 2]).count().collect()
+    assert len(rows) == 2_000 and all(r["0"] + r["1"] + r["2"] == 300 for r in rows)
+    assert [sum(r[str(i)] for r in rows) for i in range(3)] == [200_000, 100_000, 300_000]
+    # Pearson's statistic of a multinomial shard has mean 2 and variance near 4.
+    stat = [sum((r[str(i)] - e) ** 2 / e for i, e in enumerate((100, 50, 150))) for r in rows]
+    mean = sum(stat) / len(stat)
+    spread = sum((s - mean) ** 2 for s in stat) / len(stat)
+    assert abs(mean - 2) < 0.25 and abs(spread - 4) < 1.2
+
+
+def test_slots_take_each_block_once_a_pass(spark):
+    sources = spark.createDataFrame([(0, 100, 250.0), (1, 37, 37.0), (2, 0, 0.0), (3, 1000, 400.0)], "sid int, source_size bigint, target double")
+    rows = mixing.slots(sources, block_words=4, shard_slots=32).collect()
+    passes = defaultdict(list)
+    for r in rows:
+        passes[r.sid, r.turn].append(r.block)
+    blocks = {0: 25, 1: 10, 3: 250}
+    assert all(len(set(b)) == len(b) and set(b) <= set(range(blocks[s])) for (s, _), b in passes.items())
+    assert all(len(passes[s, t]) == blocks[s] for s, t in passes if (s, t + 1) in passes)
+    assert Counter(r.sid for r in rows) == {0: 63, 1: 10, 3: 100} or abs(sum(1 for r in rows if r.sid == 0) - 62.5) <= 1
+    shards = defaultdict(list)
+    for r in rows:
+        shards[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in shards.values())
+
+
+@pytest.mark.parametrize("text", ["", "a", "  a b  c\n", "x " * 40, "\u00a0é b \t" * 17, " " * 9 + "w"])
+@pytest.mark.parametrize("head", [1, 3, 16])
+def test_stretches_keep_every_character(spark, text, head):
+    words = WORDS.findall(text)
+    if not words:
+        return
+    head = min(head, len(words))
+    got = spark.createDataFrame([(text, head)], "t string, h int").select(mixing.stretches_of(F.col("t"), F.col("h"), 16)).first()[0]
+    assert "".join(got) == text and [len(WORDS.findall(g)) for g in got] == [head, *[min(16, len(words) - i) for i in range(head, len(words), 16)]]
+
+
+def test_mixing_splits_each_text_once(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s")], "doc_id bigint, text string, source string")
+    # One pass for the head and one for the rest; none inside the loop over pieces.
+    assert plan(mixing.mixed_documents(docs)).count("regexp_extract_all") == 1
+
+
 KEY = "aB3dE5gH7jK9mN1pQ3sT5vW7yZ9"
 
 
