@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gradeloom.llm.registry import ORACLES, QUERIES
+from gradeloom.llm.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
