@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gradeloom.plans.queries_trainlog import SUMMARY, WALL
 from gradeloom.plans.registry import query
-from gradeloom.plans.standins import POINTS_SQL, lines_of, table
-from gradeloom.streaming import alerts, losses
+from gradeloom.operators import trainlog
+from gradeloom.plans.standins import POINTS_SQL, lines_of, log_lines, table
+from gradeloom.session import scratch_path
+from gradeloom.sources import readers
+from gradeloom.streaming import alerts, ingest, losses, watch
 from gradeloom.streaming.sinks import drain
 
 PAUSE = 6 * 3600
@@ -36,6 +40,79 @@ def _(spark, sf):
     return drain(alerts.early_warning_stream(losses.loss_stream(line_stream(spark, sf))), "early-warning")
 
 
+@query("early_warnings", "WITH " + POINTS_SQL + """ SELECT run, ord, epoch, loss FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ord) AS rn
+  FROM points WHERE epoch > 2e-1 AND loss > 15e-1) WHERE rn = 1""")
+def _(spark, sf):
+    """The stateful form whose flags have a time to live."""
+    return drain(watch.early_warnings(losses.loss_stream(line_stream(spark, sf))), "early-warnings", once=True)
+
+
+# Timers on the clock of the recorded lines: time passes with the newest one.
+HOURS = 1e6
+LINES_MS = "lines AS (SELECT user_id AS run, epoch_us(ts) // 1000 AS ms FROM events)"
+LAUNCH = "2023-12-31 12:00:00"
+LAUNCHED_MS = f"lines AS (SELECT user_id AS run, epoch_us(ts) // 1000 AS ms FROM events UNION ALL SELECT c_custkey, epoch_us(TIMESTAMP '{LAUNCH}') // 1000 FROM customer)"
+SILENT = """, g AS (SELECT run, ms, lead(ms, 1, (SELECT max(epoch_us(ts) // 1000) FROM events)) OVER (PARTITION BY run ORDER BY ms) AS next_ms FROM lines)
+SELECT run, 'silence' AS kind, ms + {0} AS at_ms FROM g WHERE next_ms - ms > {0}"""
+
+
+def replayed(spark, sf, **limits):
+    history = line_stream(spark, sf).select("run", "ts", F.lit(watch.LINE).alias("event"))
+    return drain(watch.watch_runs(history, event_time=True, keep_hours=HOURS, **limits), "watch")
+
+
+@query("silence_timers", "WITH " + LINES_MS + SILENT.format(PAUSE * 1000))
+def _(spark, sf):
+    return replayed(spark, sf, silence=PAUSE)
+
+
+@query("wall_timers", "WITH " + LINES_MS + f"""SELECT run, 'wall' AS kind, min(ms) + {WALL * 1000} AS at_ms FROM lines
+GROUP BY run HAVING (SELECT max(ms) FROM lines) - min(ms) > {WALL * 1000}""")
+def _(spark, sf):
+    return replayed(spark, sf, wall=WALL)
+
+
+@query("silence_from_launch", "WITH " + LAUNCHED_MS + SILENT.format(PAUSE * 1000))
+def _(spark, sf):
+    """Every customer is a run launched before the first line; most never write one."""
+    launches = table(spark, sf, "customer").select(F.col("c_custkey").alias("run"), F.to_timestamp_ntz(F.lit(LAUNCH)).alias("ts"))
+    return replayed(spark, sf, silence=PAUSE, launches=launches)
+
+
+# Log files of every run, read back in the order they were written.
+def log_files(spark, sf):
+    path = scratch_path(spark, "logs")
+    lines = log_lines(spark, sf).select("run", "ord", "value").repartition("run").sortWithinPartitions("run", "ord")
+    lines.select("run", "value").write.partitionBy("run").text(path)
+    return f"{path}/run=*"
+
+
+FILED = "WITH " + POINTS_SQL + """, numbered AS (SELECT run, ord, row_number() OVER (PARTITION BY run ORDER BY ord) AS line_no FROM log_lines),
+filed AS (SELECT CAST(p.run AS VARCHAR) AS run, line_no AS ord, epoch, loss FROM points p JOIN numbered USING (run, ord)),
+s AS (SELECT run, arg_min(loss, ord) AS first_loss, arg_max(loss, ord) AS final_loss, arg_max(epoch, ord) AS final_epoch, count(*) AS n_points,
+  CAST(max(ord) AS BIGINT) AS last_line FROM filed GROUP BY run)
+SELECT *, CASE WHEN final_loss > 1 THEN 'not converged' WHEN final_loss < 15e-2 THEN 'overfit' ELSE 'ok' END AS health FROM s"""
+
+
+def filed_summary(lines):
+    points = trainlog.loss_points(lines)
+    last = points.groupBy("run").agg((F.max("ord") % readers.FILE_LINES).alias("last_line"))
+    return trainlog.loss_summary(points).join(last, "run")
+
+
+@query("run_log_losses", FILED)
+def _(spark, sf):
+    return filed_summary(readers.read_run_log(spark, log_files(spark, sf)))
+
+
+@query("run_log_losses_stream", FILED)
+def _(spark, sf):
+    target = scratch_path(spark, "ingested")
+    writer = ingest.ingest_logs(spark, log_files(spark, sf), f"{target}/lines", f"{target}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return filed_summary(ingest.stored_lines(spark, f"{target}/lines"))
+
+
 @query("silence_sessions_stream", f"""WITH g AS (SELECT user_id AS run, ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) <= {PAUSE * 1000000} THEN 0 ELSE 1 END AS new
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(new) OVER (PARTITION BY run ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g)

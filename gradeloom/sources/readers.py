@@ -29,6 +29,11 @@ ENDPOINT_OF_PATH = r"([^/=]+)/(?:training\.jsonl(?:/[^/]*)?|part-[^/]*)$"
 RUN_FOLDER = r"/run_id=([^/]+)/[^/]*$"
 RUN_FOLDER_GLOB = "run_id=*/*.json"
 
+# A run's log: all files of a folder ``run=<run>``, or ``<run>.log`` and its numbered parts.
+LOG_FOLDER = r"/run=([^/]+)/[^/]*$"
+LOG_NAME = r"^(.*?)(?:\.(\d+))?\.[A-Za-z]+(?:\.(\d+))?$"
+FILE_LINES = 1 << 40
+
 
 def _plus(schema: StructType, name: str, kind: str) -> StructType:
     """The schema with one more field; ``StructType.add`` would change it in place."""
@@ -205,6 +210,37 @@ def read_log(spark: SparkSession, path: str, streaming: bool = False) -> DataFra
     )
 
 
+def log_source(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Raw log lines with file and block, as a table or a stream of files; see :func:`ordered_log`."""
+    source = spark.readStream.format("text") if streaming else spark.read.format("text")
+    return source.load(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
+
+
+def ordered_log(lines: DataFrame) -> DataFrame:
+    """Log lines as ``(run, ord, ts, level, line)``, in the order in which each run wrote them.
+
+    ``lines`` are whole files of :func:`log_source`. The run is the folder ``run=<run>`` or the name of the file without its
+    ending and number; ``ord`` counts a run's lines, blank ones included: the number of the file (``<run>.3.log``,
+    ``<run>.log.3``, ``part-3...`` in a folder; 0 if it has none) times ``FILE_LINES`` plus the number of the line in it. It
+    depends on names and contents alone, not on blocks or on which files are read together, so a stream gives the same as
+    a batch. Blank lines are left out.
+    """
+    name = F.regexp_extract("path", r"[^/]*$", 0)
+    folder = F.regexp_extract("path", LOG_FOLDER, 1)
+    run = F.when(folder != "", folder).otherwise(F.regexp_extract(name, LOG_NAME, 1))
+    rotated = F.concat(F.regexp_extract(name, LOG_NAME, 2), F.regexp_extract(name, LOG_NAME, 3))
+    number = F.when(folder != "", F.regexp_extract(name, r"^part-(\d+)", 1)).otherwise(rotated)
+    ord_ = F.coalesce(number.try_cast("bigint"), F.lit(0).cast("bigint")) * F.lit(FILE_LINES) + F.col("line_no")
+    parsed = with_ordinal(lines).withColumn("p", parse_log_line(F.col("value")))
+    message = F.when(F.col("p").isNull(), F.col("value")).otherwise(F.col("p.msg"))
+    return parsed.select(run.alias("run"), ord_.alias("ord"), "p.ts", "p.level", message.alias("line"))
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`ordered_log` of the files at ``path``: what loss points, warnings and pauses are taken from."""
+    return ordered_log(log_source(spark, path))
+
+
 def resolve_dataset(
     data_dir: str, version: str | None = None, holdout: str | None = None,
     default_train: str = "training.jsonl", default_holdout: str = "holdout.jsonl",

@@ -9,19 +9,20 @@ from pyspark.sql.types import StructType
 from gradeloom.session import scratch_path
 
 
-def drain(stream: DataFrame, label: str, mode: str = "append", key: str = "run") -> DataFrame:
+def drain(stream: DataFrame, label: str, mode: str = "append", key: str = "run", once: bool = False) -> DataFrame:
     """Process all input that is there, and return the result table.
 
     Append output goes through the file sink. In update mode each micro-batch replaces its
     own folder, so a batch run again leaves no duplicates, and the table holds the newest
-    row per ``key``.
+    row per ``key``. ``once`` takes everything in a single batch: a stream on the processing-time
+    clock would otherwise go on as long as a timer could still come.
     """
     spark = stream.sparkSession
     root = scratch_path(spark, label)
     writer = (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
+        .trigger(**({"once": True} if once else {"availableNow": True}))
     )
     if mode == "append":
         writer.format("parquet").start(f"{root}/data").awaitTermination()
