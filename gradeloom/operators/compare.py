@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import MEANINGFUL_DELTA, delta_verdict, diagnosis, is_strong
 from gradeloom.functions.text import trend
-from gradeloom.plans.skew import hot_key_join, salted_join, top_k
+from gradeloom.plans.skew import hot_key_join, lookup_join, salted_join, top_k
+from gradeloom.plans.suffix import suffix_minimum
 
 TAG_DEAD_ZONE = 0.005
 
@@ -90,45 +91,27 @@ def shared_tags(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.intersect(b)
 
 
-def base_run_asof(runs: DataFrame, base_runs: DataFrame, bucket: str = "hour") -> DataFrame:
+def base_run_asof(runs: DataFrame, base_runs: DataFrame) -> DataFrame:
     """For each run the first base run (by ``mtime``) at or after it, else the latest one.
 
-    Both sides need ``base_model, run_id, ts, mtime``. A suffix minimum over time replaces
-    the inequality join, so no pairs are formed. It is taken within time buckets and, across
-    buckets, over one row per bucket: a hot base model is spread over its buckets.
+    Both sides need ``base_model, run_id, ts, mtime``. Runs of one model and time have the same answer, so both sides are
+    first reduced to one row per model and time; a suffix minimum over these replaces the inequality join. It is taken in
+    nodes of bounded size, so neither a model nor an hour with very many runs meets in one task. A run without a model, or
+    whose model has no base run, keeps a null; one without a time takes the latest.
     """
-    key = ["base_model", "_bucket"]
     pick = F.struct("mtime", F.col("run_id").alias("base_run"))
-    left = runs.select("base_model", "ts", "run_id", F.lit(False).alias("_is_base"), F.lit(None).cast(_pick_type(base_runs)).alias("_pick"))
-    right = base_runs.select("base_model", "ts", "run_id", F.lit(True).alias("_is_base"), pick.alias("_pick"))
-    both = left.unionByName(right).withColumn("_bucket", F.date_trunc(bucket, "ts"))
-
-    later = Window.partitionBy("base_model").orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ever = Window.partitionBy("base_model")
-    per_bucket = both.groupBy(*key).agg(F.min("_pick").alias("_min"), F.max("_pick").alias("_max"))
-    summary = per_bucket.select(
-        *key, F.min("_min").over(later).alias("_later"), F.max("_max").over(ever).alias("_latest")
+    key = ["base_model", "ts"]
+    times = base_runs.groupBy(*key).agg(F.min(pick).alias("_least"), F.max(pick).alias("_most"))
+    asked = runs.select(*key).distinct().withColumn("_least", F.lit(None).cast(times.schema["_least"].dataType))
+    both = times.select(*key, "_least").unionByName(asked).filter("ts IS NOT NULL AND base_model IS NOT NULL")
+    places = both.groupBy(*key).agg(F.min("_least").alias("_least")).withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")))
+    found = suffix_minimum(places, "base_model", "_at", F.col("_least"), "_match").select(*key, F.col("_match.base_run").alias("_match"))
+    latest = times.groupBy("base_model").agg(F.max("_most").alias("_latest")).select("base_model", F.col("_latest.base_run").alias("_latest"))
+    rows = lookup_join(runs.select("base_model", "run_id", "ts"), found, key, ["run_id"], "left", "asof")
+    rows = lookup_join(rows, latest, ["base_model"], ["run_id"], "left", "latest-base")
+    return rows.select(
+        "base_model", "run_id", "ts", F.coalesce("_match", "_latest").alias("base_run"), F.col("_match").isNotNull().alias("at_or_after")
     )
-    # Range frame: rows of equal time see each other, so a tie is a match.
-    inside = Window.partitionBy(*key).orderBy(F.col("ts").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (
-        both.withColumn("_here", F.min("_pick").over(inside))
-        .filter(~F.col("_is_base"))
-        .join(summary, key)
-        .withColumn("_match", F.least("_here", "_later"))
-    )
-    return found.select(
-        "base_model",
-        "run_id",
-        "ts",
-        F.coalesce(F.col("_match.base_run"), F.col("_latest.base_run")).alias("base_run"),
-        F.col("_match").isNotNull().alias("at_or_after"),
-    )
-
-
-def _pick_type(base_runs: DataFrame) -> str:
-    kinds = dict(base_runs.dtypes)
-    return f"struct<mtime:{kinds['mtime']},base_run:{kinds['run_id']}>"
 
 
 def previous_run(runs: DataFrame, policy: str = "latest_other") -> DataFrame:
