@@ -43,11 +43,13 @@ def to_sharegpt(examples: DataFrame, system_prompt: str = DEFAULT_SYSTEM_PROMPT,
     )
 
 
-def holdout_ids(df: DataFrame, endpoint: str = "endpoint", order: str = "key", seed: int = 42) -> DataFrame:
+def holdout_ids(df: DataFrame, endpoint: str = "endpoint", order: str = "key", seed: int = 42, rank: str | None = None) -> DataFrame:
     """Add ``id`` = ``<endpoint>-<counter>``: zero-based per endpoint, in shuffled order.
 
-    Four digits are the least width; larger counters keep all their digits.
+    ``rank`` names the counter where it is known, as in :func:`gradeloom.operators.split.holdout_rows`. Four digits are the least width; larger counters keep all their digits.
     """
+    if rank is not None:
+        return df.withColumn("id", F.format_string("%s-%04d", F.col(endpoint), F.col(rank)))
     hashed = df.withColumn("_h", shuffle_hash(F.col(order), seed))
     ranked = bucketed_rank(hashed, endpoint, "_h", order, "_idx")
     return ranked.withColumn("id", F.format_string("%s-%04d", F.col(endpoint), F.col("_idx"))).drop("_h", "_idx")
@@ -61,11 +63,12 @@ def to_holdout(
     seed: int = 42,
     exact: bool = True,
     strict: bool = True,
+    rank: str | None = None,
 ) -> DataFrame:
-    """Examples as holdout records: id, label, messages and structural tags."""
+    """Examples as holdout records: id, label, messages and structural tags; ``rank`` as in :func:`holdout_ids`."""
     render = render_json_block if exact else compact_json_block
     return (
-        holdout_ids(with_params(examples, strict), endpoint, key, seed)
+        holdout_ids(with_params(examples, strict), endpoint, key, seed, rank)
         .withColumn("label", F.col("question"))
         .withColumn(
             "messages",

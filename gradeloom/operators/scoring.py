@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.functions.chat import first_by_role
@@ -40,19 +40,31 @@ def attach_predictions(holdout: DataFrame, predictions: DataFrame, runs: list[st
     """Each holdout record with its answer per run.
 
     ``rec_id`` is unique in the holdout. A record without an answer row becomes an error, so
-    with several runs their ids are given and every record is expected once in each.
+    with several runs their ids are given and every record is expected once in each. A record and its texts are joined once;
+    it is repeated per run only behind the join.
     """
-    keys = ["rec_id"]
-    if runs is not None:
-        keys = ["run_id", "rec_id"]
-        holdout = holdout.withColumn("run_id", F.explode(F.array(*[F.lit(r) for r in runs])))
-    answers = predictions.select(
-        *keys, "generated", F.col("error").alias("_failed"), F.lit(True).alias("_answered")
-    )
+    answer = F.struct("generated", F.col("error").alias("_failed"), F.lit(True).alias("_answered"))
     # Scoring comes next and is bound by CPU: the shuffle of a merge join spreads its rows,
     # where a broadcast of few answers would leave them in as few tasks as the input has blocks.
-    joined = holdout.join(answers.hint("merge"), keys, "left")
-    return error_row(joined).drop("_failed", "_answered")
+    if runs is None:
+        joined = holdout.join(predictions.select("rec_id", answer.alias("_answer")).hint("merge"), "rec_id", "left")
+        return error_row(joined.select(*_quoted(holdout), "_answer.*")).drop("_failed", "_answered")
+    named = F.struct("run_id", answer.alias("answer"))
+    asked = predictions.filter(F.col("run_id").isin(*runs)).groupBy("rec_id").agg(F.collect_list(named).alias("_answers"))
+    joined = holdout.join(asked.hint("merge"), "rec_id", "left")
+    none = F.lit(None).cast(asked.schema["_answers"].dataType.elementType["answer"].dataType)
+
+    def of_run(run: str) -> Column:
+        run_id = F.lit(run).alias("run_id")
+        found = F.transform(F.filter("_answers", lambda a: a["run_id"] == run), lambda a: F.struct(run_id, a["answer"].alias("_answer")))
+        return F.when(F.size(found) > 0, found).otherwise(F.array(F.struct(run_id, none.alias("_answer"))))
+
+    rows = joined.select(*_quoted(holdout), F.inline(F.concat(*[of_run(r) for r in runs])))
+    return error_row(rows.select(*_quoted(holdout), "run_id", "_answer.*")).drop("_failed", "_answered")
+
+
+def _quoted(df: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in df.columns]
 
 
 def error_row(joined: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import plan_columns, PLAN_CONSTANTS
-from gradeloom.plans.skew import lookup_join, null_safe, shuffle_hash
+from gradeloom.plans.once import fresh
+from gradeloom.plans.skew import join_measured, lookup_join, materialize_measured, null_safe, shuffle_hash
 
 # Default share of the holdout and default seed.
 HOLDOUT_FRACTION, SEED = 0.10, 42
@@ -53,6 +54,42 @@ def stratified_split(
     return placed.withColumn("split", F.when(held, "holdout").otherwise("train")).select(*df.columns, "split")
 
 
+def holdout_rows(
+    df: DataFrame,
+    stratum: str,
+    key: str,
+    frac: float = HOLDOUT_FRACTION,
+    seed: int = SEED,
+    digits: int = 4,
+    rank: str = "split_rank",
+) -> DataFrame:
+    """The holdout of :func:`stratified_split`, each record with its zero-based place in its stratum's shuffled order.
+
+    One histogram of stratum and hash prefix gives both the cut and the numbering: a prefix's first place is the count of
+    those before it, and only records of prefixes up to the cut are ranked, each prefix by itself and on narrow rows. The
+    whole rows are read once. Where the ranked records fit a broadcast no whole row is shuffled, else only those of prefixes
+    up to the cut are, by their key.
+    """
+    last, prefix, held = fresh(df.columns, "_last", "_prefix", "_held")
+    hash_ = shuffle_hash(F.col(key), seed)
+    narrow = df.select(null_safe(F.col(stratum)).alias("s"), hash_.alias("h"), F.col(key).alias("k")).withColumn("b", F.substring("h", 1, digits))
+    whole = Window.partitionBy("s")
+    before = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = narrow.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    counts = counts.withColumn("quota", F.greatest(F.lit(1), F.bround(F.sum("n").over(whole) * F.lit(frac))).cast("bigint"))
+    starts, small = materialize_measured(counts.filter("start < quota").select("s", "b", "start", "quota"), "split-starts")
+    inside = Window.partitionBy("s", "b").orderBy("h", "k")
+    ranked = join_measured(narrow, starts, small, ["s", "b"], ["k"]).withColumn("r", F.col("start") + F.row_number().over(inside) - 1)
+    chosen, few = materialize_measured(ranked.filter("r < quota").select(F.col("k").alias(key), F.col("r").alias(rank)), "holdout-places")
+    if few:
+        return df.join(F.broadcast(chosen), key).select(*df.columns, rank)
+    bounds = starts.groupBy(F.col("s").alias(held)).agg(F.max("b").alias(last))
+    rows = df.withColumns({held: null_safe(F.col(stratum)), prefix: F.substring(hash_, 1, digits)})
+    near = lookup_join(rows, bounds, [held], [key], label="split-cuts").filter(F.col(prefix) <= F.col(last))
+    return near.join(chosen, key).select(*df.columns, rank)
+
+
 def shuffled(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
     """Rows in a seeded order, by range partitioning; a second salt keeps it apart from the split."""
     return df.orderBy(shuffle_hash(F.col(key), seed + 1), key)

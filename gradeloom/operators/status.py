@@ -11,7 +11,7 @@ from gradeloom.functions.names import file_stem
 from gradeloom.functions.rules import boost_priority, next_action, priority_rank, skip_reason
 from gradeloom.functions.text import WEAK_SCORE, exact_round, strip_fences
 from gradeloom.operators.aggregate import boilerplate_cases, format_health, run_summary, scored_only, tag_breakdown
-from gradeloom.plans.skew import join_measured, materialize, materialize_measured, salted_join, top_k
+from gradeloom.plans.skew import lookup_join, join_measured, materialize, materialize_measured, salted_join, top_k
 
 SEEDS = 3
 URGENT = ("critical", "high")
@@ -134,10 +134,16 @@ def status_summary(
 
 
 def uncovered_by_run(breakdown: DataFrame, runs: DataFrame, tags: DataFrame) -> DataFrame:
-    """Tags of each run's manifest that the run does not test."""
-    wanted = runs.select("run_id", "manifest").join(tags.select("manifest", F.col("tag").alias("name")), "manifest")
-    tested = breakdown.select("run_id", F.col("convention").alias("name"))
-    return wanted.drop("manifest").join(tested, ["run_id", "name"], "left_anti")
+    """Tags of each run's manifest that the run does not test, each once.
+
+    A manifest's tags are one sorted list, given to its runs by a lookup, and a run's tested tags another; what is missing is
+    their difference. So rows are not multiplied by tags before they meet, and a manifest that all runs name is no hot key.
+    """
+    wanted = tags.groupBy("manifest").agg(F.array_sort(F.collect_set("tag")).alias("_wanted"))
+    tested = breakdown.groupBy("run_id").agg(F.collect_set("convention").alias("_tested"))
+    asked = lookup_join(runs.select("run_id", "manifest"), wanted, ["manifest"], ["run_id"], label="manifest-tags")
+    missing = F.array_except("_wanted", F.coalesce("_tested", F.array().cast("array<string>")))
+    return asked.join(tested, "run_id", "left").select("run_id", F.explode(missing).alias("name"))
 
 
 def status_parts(

@@ -67,8 +67,8 @@ def _(spark, sf):
 @query("to_holdout", q.ctes(EXAMPLES_SQL, SPLIT, ids_sql("(SELECT * FROM split WHERE split = 'holdout')")) + f"""
 SELECT id, question AS label, {EXAMPLE_TAGS_SQL} AS tags, '{PROMPT}' AS system, {EXAMPLE_BLOCK_SQL} AS assistant FROM ids""")
 def _(spark, sf):
-    held = split_examples(spark, sf).filter("split = 'holdout'")
-    recs = prepare.to_holdout(held, PROMPT)
+    held = split.holdout_rows(examples(spark, sf), "endpoint", "key")
+    recs = prepare.to_holdout(held, PROMPT, rank="split_rank")
     return recs.select(
         "id",
         "label",

@@ -243,3 +243,22 @@ def test_select_endpoints(spark):
     assert [r.endpoint for r in prepare.select_endpoints(df.union(df)).collect()] == ["a", "b", "c"]
     with pytest.raises(ValueError):
         prepare.select_endpoints(df.filter("false"))
+
+
+@pytest.mark.parametrize("rows", [200_000, 0])
+def test_holdout_rows_are_the_split_and_its_order(spark, monkeypatch, rows):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", rows)
+    data = [(f"k{i}", ["a", "b", None, "c"][0 if i < 300 else i % 4], i) for i in range(700)] + [("single", "d", 1)]
+    df = spark.createDataFrame(data, "key string, endpoint string, _prefix int")
+    parts = split.stratified_split(df, "endpoint", "key").filter("split = 'holdout'").drop("split")
+    want = {(r.key, r.endpoint, r._prefix, None if r.endpoint is None else r.id) for r in prepare.holdout_ids(parts).collect()}
+    held = split.holdout_rows(df, "endpoint", "key", digits=1)
+    got = {(r.key, r.endpoint, r._prefix, None if r.endpoint is None else r.id) for r in prepare.holdout_ids(held, rank="split_rank").collect()}
+    assert got == want and len(want) > 60
+    assert sorted(r.split_rank for r in held.filter("endpoint IS NULL").collect()) == list(range(sum(w[1] is None for w in want)))
+
+
+def test_holdout_is_read_whole_once(spark):
+    df = spark.read.parquet(f"{SF}/events.parquet")
+    text = split.holdout_rows(df, "event_type", "event_id")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("events.parquet") == 1 and "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
