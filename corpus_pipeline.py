@@ -7,27 +7,35 @@ read again as the next one's documents, so that a lost executor never takes work
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeloom.llm import byte_bpe, minhash, mixing, quality_mil, secrets
+from gradeloom.plans.once import fresh
 from gradeloom.plans.skew import materialize, materialize_measured
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject.
 
-    It learns from the labelled documents that are not held out; null ids cannot be labelled and are scored all the same.
+    It learns from the labelled documents that are not held out; null ids cannot be labelled and are scored all the same. Of
+    rows that repeat an id, those whose text is rejected go.
     """
     models = quality_mil.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = quality_mil.score(docs, models).filter("predicted = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return _without(docs, rejected, "rejected")
+    return _without(docs, quality_mil.score(docs, models).filter("predicted = 0"), "rejected")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 0.8 of their 5-word shingles: the one with the smallest id."""
-    found = minhash.near_duplicates(docs, width=5, percent=80)
-    return _without(docs, found.filter("NOT kept").select("doc_id").distinct(), "duplicates")
+    """One document of each group linked by 0.8 of their 5-word shingles: the one with the smallest id.
+
+    Rows that repeat an id with another text are documents of their own; of rows that repeat both, one stays.
+    """
+    found = materialize(minhash.near_duplicates(docs, width=5, percent=80), "near-duplicates")
+    left = _without(docs, found.filter("NOT kept"), "duplicates")
+    if found.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():
+        return left
+    (key,) = fresh(docs.columns, "text_key")
+    return left.withColumn(key, _text_key()).dropDuplicates(["doc_id", key]).drop(key)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +63,17 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """Documents whose id is not listed; the list is broadcast only if it was measured to be small."""
-    listed, small = materialize_measured(ids.withColumnRenamed("doc_id", "_doc"), label)
-    gone = F.broadcast(listed) if small else listed
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_doc"], "left_anti")
+def _text_key() -> Column:
+    """The hash by which operators tell rows of one id apart."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _without(docs: DataFrame, gone: DataFrame, label: str) -> DataFrame:
+    """Documents whose id and text are not in ``gone (doc_id, text_key)``; it is broadcast only if measured to be small."""
+    id_, key = fresh(docs.columns, "gone_id", "gone_key")
+    listed, small = materialize_measured(gone.select(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).distinct(), label)
+    listed = F.broadcast(listed) if small else listed
+    return docs.join(listed, docs["doc_id"].cast("bigint").eqNullSafe(listed[id_]) & (_text_key() == listed[key]), "left_anti")
 
 
 def _counted(docs: DataFrame, like: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@
 2. Classes that share a band are candidates. The share of equal low bits, counted with ``bit_count`` on the packed words
    and corrected for chance agreement (2**-BITS), estimates the similarity; candidates whose estimate is ``SLACK``
    standard errors below the threshold are let go.
-3. What is left is confirmed by exact intersection of shingle sets.
+3. What is left is confirmed by exact intersection of the sets of 64-bit shingle hashes.
 
 Groups of thousands of near copies are not expanded into pairs. First every class is compared with a hub of each of its
 bands. Bands whose classes are then all in one component need nothing more; where many pairs across components are
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm import batches, shingles, slices
 from gradeloom.llm.components import connected_components
-from gradeloom.plans.skew import materialize, materialize_measured
+from gradeloom.plans.skew import lookup_join, materialize, materialize_measured
 
 BANDS, ROWS, BITS = 32, 4, 2
 #: Minima whose low bits are kept; the first BANDS * ROWS of them make the bands.
@@ -38,7 +38,7 @@ HUBS, HUB_TURNS, CROSS_PER_ROW = 3, 3, 1_024
 ROWS_PER_FILE = 50_000
 SEED = 8191
 
-SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, low_bits array<bigint>, bands array<bigint>"
+SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, low_bits array<bigint>, bands array<bigint>, text_key bigint"
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
@@ -85,15 +85,16 @@ def _narrow(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def sign(docs: DataFrame, width: int, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """Signatures of all documents."""
+    """Signatures of all documents, with the hash of the text."""
 
     def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches.by_bytes(parts, "text", BATCH_BYTES):
             sizes, a, b, packed, bands = signatures(part.column("text").to_pylist(), width)
-            columns = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a), pa.array(b), _lists(packed), _lists(bands)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "low_bits", "bands"])
+            columns = [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a), pa.array(b), _lists(packed), _lists(bands), part.column("text_key")]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "low_bits", "bands", "text_key"])
 
-    return _narrow(docs, doc, text).mapInArrow(run, SIGNED)
+    keyed = _narrow(docs, doc, text).withColumn("text_key", F.xxhash64(F.col("text").cast("string")))
+    return keyed.mapInArrow(run, SIGNED)
 
 
 def shingle_rows(docs: DataFrame, width: int, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -138,11 +139,11 @@ def similar(percent: int) -> Column:
     return (100 + percent) * shared >= percent * (F.size("set_a") + F.size("set_b"))
 
 
-def sets_of(asked: DataFrame, docs: DataFrame, width: int, text: str, doc: str, repeats: bool) -> DataFrame:
+def sets_of(asked: DataFrame, docs: DataFrame, width: int, text: str, doc: str) -> DataFrame:
     """The shingle sets of the asked documents, made again from their texts, so that they are stored for no other."""
     asked, small = materialize_measured(asked, "asked")
     sets = shingle_rows(_narrow(docs, doc, text).join(F.broadcast(asked) if small else asked, "doc_id", "left_semi"), width, "text", "doc_id")
-    return materialize(sets.dropDuplicates(["doc_id"]) if repeats else sets, "sets")
+    return materialize(sets, "sets")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -195,25 +196,60 @@ def open_bands(buckets: DataFrame, groups: DataFrame) -> tuple[DataFrame, int, i
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc: str = "doc_id"
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept, text_key``.
 
-    Documents are linked when ``100 * |A & B| >= percent * |A | B|`` for their sets of distinct ``width``-word shingles;
-    ``component_id`` is the smallest id reachable by links, and the document that has it is kept.
+    Documents are linked when ``100 * |A & B| >= percent * |A | B|`` for their sets of distinct ``width``-word shingles, held
+    as 64-bit hashes; ``component_id`` is the smallest id reachable by links, and the document that has it is kept.
+    ``text_key`` is the 64-bit hash of the text.
 
-    A null or empty text, or one without words, has no shingles and is linked with nothing. Rows with one ``doc_id`` are one
-    document, of which one text is compared, and stay or go together. A null ``doc_id`` is linked with nothing, has
-    no component and is kept. An empty table gives an empty result. Other columns are not read.
+    A null or empty text, or one without words, has no shingles and is linked with nothing. Rows that repeat an id with
+    another text are documents of their own; of several such rows with a component's smallest id one is kept. Rows that
+    repeat id and text are one document and stay or go together. A null ``doc_id`` is linked with nothing, has no component
+    and is kept. An empty table gives an empty result. Other columns are not read.
     """
+    of = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    keyed = docs.select(F.col(f"`{doc}`").cast("bigint").alias("doc_id"), of.alias("text"), F.xxhash64(of).alias("text_key"))
+    odd = keyed.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    odd = odd.agg(F.bool_or(F.col("doc_id").isNotNull()).alias("repeated"), F.bool_or(F.col("doc_id").isNull()).alias("nameless")).first()
+    named = keyed.filter("doc_id IS NOT NULL") if odd.nameless else keyed
+    linked = _linked_again(named, width, percent) if odd.repeated else _linked(named, width, percent)
+    if not odd.nameless:
+        return linked
+    alone = sign(keyed.filter("doc_id IS NULL"), width).select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "text_key"
+    )
+    return linked.unionByName(alone)
+
+
+def _linked_again(keyed: DataFrame, width: int, percent: int) -> DataFrame:
+    """:func:`_linked` of documents whose ids repeat."""
+    # Ids that repeat: the text with the smallest hash keeps the id as its node, further ones get nodes of their own.
+    first = keyed.groupBy("doc_id").agg(F.min("text_key").alias("first_key"))
+    placed = lookup_join(keyed.select("doc_id", "text_key"), first, ["doc_id"], ["text_key"], label="first-texts")
+    own = F.col("text_key") == F.col("first_key")
+    nodes = placed.withColumn("node", F.when(own, F.col("doc_id")).otherwise(F.xxhash64("doc_id", "text_key", F.lit("again"))))
+    nodes = materialize(nodes.groupBy("node", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")), "nodes")
+    same = (keyed["doc_id"] == nodes["doc_id"]) & (keyed["text_key"] == nodes["text_key"])
+    unique = keyed.join(nodes, same).select(nodes["node"].alias("doc_id"), keyed["text"], keyed["text_key"]).dropDuplicates(["doc_id"])
+    linked = _linked(unique, width, percent).select(F.col("doc_id").alias("node"), "n_shingles", F.col("component_id").alias("part"))
+    members = materialize(nodes.join(linked, "node"), "members")
+    stays = F.min(F.struct("doc_id", F.col("node") != F.col("doc_id"), "node"))
+    parts = members.groupBy("part").agg(F.min("doc_id").alias("component_id"), stays["node"].alias("stays"))
+    rows = members.join(parts, "part").withColumn("kept", F.col("node") == F.col("stays"))
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), "rows"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept", "text_key", again.alias("row")).drop("row")
+
+
+def _linked(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """:func:`near_duplicates` of ``docs (doc_id, text, text_key)`` whose ids are unique and not null."""
+    text, doc = "text", "doc_id"
     signed = materialize(sign(docs, width, text, doc), "signatures")
-    full = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    repeats = not full.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    full = signed.filter("n_shingles > 0")
     content = ["set_a", "set_b", "n_shingles"]
     classes = full.groupBy(*content).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = materialize(classes, "classes")
     # A class's smallest id has its signature.
     shape = full.select("doc_id", *content, "low_bits", "bands").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *content], "left_semi")
-    if repeats:
-        shape = shape.dropDuplicates(["doc_id"])
     rows = shape.select("doc_id", "low_bits", F.posexplode("bands").alias("at", "band"))
     several = rows.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     seen = Observation()
@@ -232,7 +268,7 @@ def near_duplicates(
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs.coalesce(files), "candidates")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        sets = sets_of(pairs.select(both).distinct().coalesce(files), docs, width, text, doc, repeats)
+        sets = sets_of(pairs.select(both).distinct().coalesce(files), docs, width, text, doc)
         found = materialize(confirm(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         groups = connected_components(links, files)
@@ -241,14 +277,14 @@ def near_duplicates(
             break
     if left:
         open_rows = materialize(open_rows, "open-rows")
-        sets = sets_of(open_rows.select("doc_id").distinct().coalesce(files), docs, width, text, doc, repeats)
+        sets = sets_of(open_rows.select("doc_id").distinct().coalesce(files), docs, width, text, doc)
         found = materialize(cross_links(open_rows, shape, sets, least, percent), "links")
         groups = connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found), files)
 
     # Members of a class follow the document that stands for it.
     moved = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     moved = moved.filter("copies > 1 OR component IS NOT NULL").select(*content, F.coalesce("component", "rep").alias("component_id"))
-    out = full.select("doc_id", *content).join(moved, content, "left").select("doc_id", "n_shingles", "component_id")
-    alone = signed.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = full.select("doc_id", "text_key", *content).join(moved, content, "left").select("doc_id", "n_shingles", "component_id", "text_key")
+    alone = signed.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key")
     out = out.unionByName(alone).withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "text_key")

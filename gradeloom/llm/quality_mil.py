@@ -163,14 +163,14 @@ def train(
     """Models fitted on at most ``sample_docs`` labelled documents that are not held out.
 
     The sample is those with the lowest hashes of their id. Null labels and ids are passed over; of several labels of one
-    document the lowest counts; of several texts of one document one is used. Without labelled documents there is no model.
+    document the lowest counts; of several texts of one document the first in byte order is used. Without labelled documents there is no model.
     """
     known = labels.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y"))
     known = known.filter(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     # At most sample_docs rows of two numbers.
-    rows = _narrow(docs, doc, text).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows = _narrow(docs, doc, text).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     rows = rows.withColumn("member", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(members)))
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
@@ -185,6 +185,8 @@ def train(
 def score(docs: DataFrame, models: list[Model], text: str = "text", doc: str = "doc_id") -> DataFrame:
     """``doc_id, score, predicted`` of every whole text; one row per row, null texts count as empty.
 
+    ``text_key`` follows, the 64-bit hash of the text, which tells rows that repeat an id apart.
+
     An empty text is one passage without trigrams and gets the score of that. Without models every score is 0.5. An empty
     table gives an empty result; other columns are not read.
     """
@@ -193,10 +195,13 @@ def score(docs: DataFrame, models: list[Model], text: str = "text", doc: str = "
     def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches.by_bytes(parts, "text", BATCH_BYTES):
             found = scores(shared.value, part.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(found, pa.float64()), part.column("text_key")], ["doc_id", "score", "text_key"]
+            )
 
-    scored = _narrow(docs, doc, text).mapInArrow(run, "doc_id bigint, score double")
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    keyed = _narrow(docs, doc, text).withColumn("text_key", F.xxhash64(F.col("text").cast("string")))
+    scored = keyed.mapInArrow(run, "doc_id bigint, score double, text_key bigint")
+    return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "text_key")
 
 
 def passage_weights(docs: DataFrame, models: list[Model], text: str = "text", doc: str = "doc_id") -> DataFrame:

@@ -31,7 +31,8 @@ SELECT n.doc_id, n.n AS n_shingles, m.component_id, n.doc_id = m.component_id AS
 @query("op8_minhash", LINKED_TEXTS)
 def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate groups of all documents: sets of 4-word shingles, similarity 0.8 or more."""
-    return minhash.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet"), width=4, percent=80)
+    found = minhash.near_duplicates(spark.read.parquet(f"{sf}/documents.parquet"), width=4, percent=80)
+    return found.drop("text_key")
 
 
 LINKED_VECTORS = """

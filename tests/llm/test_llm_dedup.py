@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from gradeloom.llm import minhash, shingles
 from gradeloom.llm.components import connected_components
 
@@ -79,6 +80,27 @@ def test_repeated_and_missing_ids(spark):
     assert got == [(0, 0, True), (3, 3, True), (3, 3, True), (7, 3, False)]
 
 
+def test_one_id_on_several_texts(spark):
+    text = lambda k, n=30: " ".join(f"{k}{i}" for i in range(n))
+    # 5 stands for a text of its own and for a copy of 2's; 9 twice for near copies of one text; 4 wholly repeats.
+    data = [(5, text("a")), (5, text("b")), (2, text("b")), (9, text("c")), (9, text("c") + " end"), (4, text("d")), (4, text("d")), (None, text("a")), (1, None), (1, "")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    want = [(None, None, True)] + [(1, 1, True)] * 2 + [(2, 2, True), (4, 4, True), (4, 4, True), (5, 2, False), (5, 5, True), (9, 9, False), (9, 9, True)]
+    for source in (docs, docs.repartition(7)):
+        rows = minhash.near_duplicates(source).collect()
+        got = sorted(((r.doc_id, r.component_id, r.kept) for r in rows), key=lambda r: (r[0] or 0, r[1] or 0, r[2]))
+        assert got == want and len({(r.doc_id, r.text_key, r.kept) for r in rows}) == 8
+
+
+def test_pipeline_drops_rows_not_ids(spark):
+    text = lambda k, n=40: " ".join(f"{k}{i}" for i in range(n))
+    data = [(5, text("a"), "x", 1), (5, text("b"), "x", 1), (2, text("b"), "x", 1), (4, text("d"), "x", 1), (4, text("d"), "x", 1), (None, text("e"), "x", 1)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, text_key string, gone_id int")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text[0]) for r in out.collect()) == [(0, "e"), (2, "b"), (4, "d"), (5, "a")]
+
+
 def test_estimate_is_near_the_similarity():
     rnd = random.Random(5)
     own = [f"v{i}" for i in range(600)]
