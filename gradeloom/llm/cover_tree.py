@@ -82,6 +82,23 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+def spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of a few edges that connect what the links in a matrix connect: one per row and column at most."""
+    rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    part = linked[np.ix_(rows, columns)]
+    none = len(rows)
+    label = np.arange(none)
+    while True:
+        of_column = np.where(part, label[:, None], none).min(axis=0, initial=none)
+        new = np.where(part, of_column[None, :], none).min(axis=1, initial=none)
+        if (new == label).all():
+            break
+        label = new
+    # A component's hubs: the first of its rows, and a column linked with that one.
+    hub = np.argmax(part[label], axis=1) if none else np.zeros(0, dtype=np.int64)
+    return np.concatenate([rows, rows[of_column]]), np.concatenate([columns[hub], columns])
+
+
 def dual_links(left: Tree, right: Tree, same: bool, cosine: float, weight_l: np.ndarray, weight_r: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, list]:
     """Weighted number of links of each left and right row, and edges (left row, right row) that connect the linked ones.
 
@@ -101,7 +118,7 @@ def dual_links(left: Tree, right: Tree, same: bool, cosine: float, weight_l: np.
             linked = cosines >= cosine
             if same:
                 linked &= rows_p[:, None] < rows_q[None, :] if p == q else True
-            i, j = np.nonzero(linked)
+            i, j = spanning(linked)
             count_l[rows_p] += linked @ weight_r[rows_q]
             count_r[rows_q] += linked.T @ weight_l[rows_p]
             ends_l.append(rows_p[i])

@@ -147,3 +147,14 @@ def test_pivots_are_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
     rows = picked.collect()
     assert len(rows) == 3 * cover_tree.MOST_PIVOTS and len({(r.label, r.place) for r in rows}) == len(rows)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.1, 0.6, 1.0])
+def test_few_edges_connect_what_links_connect(share):
+    rng = np.random.default_rng(int(share * 100))
+    for rows, columns in ((0, 3), (1, 1), (12, 9), (40, 64)):
+        linked = rng.random((rows, columns)) < share
+        i, j = cover_tree.spanning(linked)
+        assert len(i) == len(j) <= rows + columns
+        every = cover_tree.roots(rows + columns, np.nonzero(linked)[0], np.nonzero(linked)[1] + rows)
+        assert (cover_tree.roots(rows + columns, i, j + rows) == every).all()
