@@ -243,6 +243,19 @@ class Ranks:
         ids = np.asarray(ids, dtype=np.int64)
         return slices.gather(self.bytes_flat, self.bytes_at, self.bytes_size, ids).tobytes()
 
+    def digests(self, text: bytes) -> tuple[int, str, str, int]:
+        """Number of ids, digests of the ids and of the bytes they stand for, and number of pieces, a stretch at a time."""
+        n = pieces = 0
+        ids, decoded = hashlib.sha256(), hashlib.sha256()
+        for part in batches.stretches(text, batches.SAFE_SPACE):
+            (found,) = self.encode([part.decode()])
+            if n and len(found.ids):
+                ids.update(b",")
+            ids.update(self.decimals(found.ids))
+            decoded.update(self.decode(found.ids))
+            n, pieces = n + len(found.ids), pieces + len(found.offsets)
+        return n, ids.hexdigest(), decoded.hexdigest(), pieces
+
     def decimals(self, ids: np.ndarray) -> bytes:
         """The ids in decimal, joined by commas."""
         return slices.gather(self.decimal_flat, self.decimal_at, self.decimal_size, np.asarray(ids, dtype=np.int64)).tobytes()[:-1]
@@ -312,22 +325,23 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 def round_trip_digests(docs: DataFrame, ranks_path: str, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """Encode, decode the ids, and keep digests: ``doc_id, n_tokens, ids_sha256, decoded_sha256, n_pieces``.
 
-    The same as :func:`encode` and :func:`decode`, without ids leaving the worker.
+    The same as :func:`encode` and :func:`decode`, without ids leaving the worker. A long text is worked through in stretches, so
+    it takes a few times its size; one without a safe place to cut (a space behind another character) is encoded at once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Path(ranks_path).read_bytes())
 
     def digest(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(shared.value)
         for part in batches.by_bytes(parts, "text", BATCH_BYTES):
-            done = ranks.encode(batches.texts_of(part, "text"))
+            if part.num_rows == 1:
+                done = [ranks.digests(batches.texts_of(part, "text")[0].encode())]
+            else:
+                encoded = ranks.encode(batches.texts_of(part, "text"))
+                sha = lambda data: hashlib.sha256(data).hexdigest()
+                done = [(len(e.ids), sha(ranks.decimals(e.ids)), sha(ranks.decode(e.ids)), len(e.offsets)) for e in encoded]
+            n, ids, decoded, pieces = zip(*done, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(e.ids) for e in done], pa.int64()),
-                    pa.array([hashlib.sha256(ranks.decimals(e.ids)).hexdigest() for e in done]),
-                    pa.array([hashlib.sha256(ranks.decode(e.ids)).hexdigest() for e in done]),
-                    pa.array([len(e.offsets) for e in done], pa.int64()),
-                ],
+                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(decoded), pa.array(pieces, pa.int64())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_pieces"],
             )
 

@@ -12,11 +12,12 @@ import hashlib
 import json
 import os
 import re
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 
-from gradeloom.llm import slices
+from gradeloom.llm import batches, slices
 
 #: Entries of a worker's table, and the longest stretch that is kept in it.
 TABLE_ENTRIES = 600_000
@@ -69,13 +70,20 @@ class Encoder:
     def counts(self, texts: list[str]) -> list[int]:
         if not self.cuts:
             return [len(ids) for ids in self.encode(texts)]
-        found, which, first, last = self._stretches(texts)
-        sizes = np.array([len(f) // 4 for f in found], dtype=np.int64)
-        return slices.totals(sizes[which], first, last).tolist()
+        done = []
+        for part in _parts(texts):
+            found, which, first, last = self._stretches(part)
+            sizes = np.array([len(f) // 4 for f in found], dtype=np.int64)
+            done.append(slices.totals(sizes[which], first, last))
+        return np.sum(done, axis=0).tolist()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return [np.asarray(ids, dtype="<u4").tobytes() for ids in self.encode(texts)]
+        done = [self._ids_at_once(part) for part in _parts(texts)]
+        return done[0] if len(done) == 1 else [b"".join(ids for (ids,) in done)]
+
+    def _ids_at_once(self, texts: list[str]) -> list[bytes]:
         found, which, first, last = self._stretches(texts)
         sizes = np.array([len(f) // 4 for f in found], dtype=np.int64)
         flat = np.frombuffer(b"".join(found), dtype="<u4")
@@ -125,6 +133,15 @@ class Encoder:
                 self.table[new[i]] = data[4 * a : 4 * b]
 
 
+def _parts(texts: list[str]) -> Iterator[list[str]]:
+    """The texts as they are, or one long text in stretches."""
+    if len(texts) == 1 and len(texts[0]) > batches.LONG_BYTES:
+        for part in batches.stretches(texts[0].encode(), batches.SAFE_SPACE):
+            yield [part.decode()]
+    else:
+        yield texts
+
+
 def _cuts_are_safe(spec: dict) -> bool:
     pre = spec.get("pre_tokenizer") or {}
     whole = (

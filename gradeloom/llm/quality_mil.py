@@ -87,12 +87,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def attention(m: Model, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Encodings, both gates and the raw attention of passages."""
+    e = np.tanh(x @ m["w"] + m["b"])
+    t, s = np.tanh(e @ m["v"]), _sigmoid(e @ m["u"])
+    return e, t, s, (t * s) @ m["g"]
+
+
 def forward(m: Model, x: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
     """Encodings, attention and logits of bags laid one after another."""
     starts = np.cumsum(counts) - counts
-    e = np.tanh(x @ m["w"] + m["b"])
-    t, s = np.tanh(e @ m["v"]), _sigmoid(e @ m["u"])
-    score = (t * s) @ m["g"]
+    e, t, s, score = attention(m, x)
     score = np.exp(score - np.repeat(np.maximum.reduceat(score, starts), counts))
     weight = score / np.repeat(np.add.reduceat(score, starts), counts)
     z = np.add.reduceat(e * weight[:, None], starts)
@@ -142,10 +147,43 @@ def scores(models: list[Model], texts: list[bytes]) -> np.ndarray:
     """Mean probability of label 1; 0.5 where there is no model."""
     if not models or not texts:
         return np.full(len(texts), 0.5)
+    if len(texts) == 1 and len(texts[0]) > batches.LONG_BYTES:
+        return np.array([long_score(models, texts[0])])
     x, counts = passages(texts)
     return np.mean([_sigmoid(forward(m, x, counts)["logit"].astype(np.float64)) for m in models], axis=0)
 
 
+def slabs(text: bytes) -> Iterator[bytes]:
+    """A text in stretches of whole passages."""
+    held = b""
+    for part in batches.stretches(text, batches.WHITE):
+        held += part
+        starts, _ = shingles.words(np.frombuffer(held, dtype=np.uint8))
+        whole = (len(starts) - 1) // PASSAGE_WORDS * PASSAGE_WORDS
+        if whole > 0:
+            yield held[: starts[whole]]
+            held = held[starts[whole] :]
+    yield held
+
+
+def long_score(models: list[Model], text: bytes) -> float:
+    """:func:`scores` of one text, a slab of passages at a time: each model keeps its largest attention, the sum of weights
+    relative to that, and the weighted sum of encodings."""
+    largest, weights = np.full(len(models), -np.inf), np.zeros(len(models))
+    sums = np.zeros((len(models), HIDDEN))
+    for slab in slabs(text):
+        x, _ = passages([slab])
+        for i, m in enumerate(models):
+            e, _, _, score = attention(m, x)
+            top = max(largest[i], float(score.max()))
+            before, now = np.exp(largest[i] - top), np.exp(score - top)
+            weights[i] = weights[i] * before + now.sum()
+            sums[i] = sums[i] * before + now @ e
+            largest[i] = top
+    logits = [z / w @ m["c"] + m["c0"][0] for m, z, w in zip(models, sums, weights, strict=True)]
+    return float(np.mean([_sigmoid(x) for x in logits]))
+
+
 def _narrow(docs: DataFrame, doc: str, text: str) -> DataFrame:
     text_col = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "utf-8")
     return docs.select(F.col(doc).cast("bigint").alias("doc_id"), text_col.alias("text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from gradeloom.llm import slices
+from gradeloom.llm import batches, slices
 
 
 def _weights(n: int) -> np.ndarray:
@@ -29,9 +29,16 @@ def words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one after another, and the number of each text's.
 
-    A-Z are lower-cased. A text with fewer than ``width`` words has its whole sequence as one shingle, one without words
+    A long text that is alone is worked through in stretches of words. A-Z are lower-cased. A text with fewer than ``width`` words has its whole sequence as one shingle, one without words
     has none.
     """
+    if len(texts) == 1 and len(texts[0]) > 2 * batches.LONG_BYTES:
+        return _long_set(texts[0], width)
+    return shingle_sets_at_once(texts, width)
+
+
+def shingle_sets_at_once(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingle_sets` of texts that fit side by side."""
     raw, first, last = joined(texts)
     raw = np.where((raw >= 0x41) & (raw <= 0x5A), raw + np.uint8(32), raw)
     starts, ends = words(raw)
@@ -51,3 +58,19 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     fresh = np.ones(len(hashes), dtype=bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
     return hashes[fresh], np.bincount(doc[fresh], minlength=len(texts))
+
+
+def _long_set(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingle_sets` of one text; a stretch takes over the last words before it, so no shingle is missed."""
+    found, held = np.zeros(0, dtype=np.uint64), b""
+    for part in batches.stretches(text, batches.WHITE):
+        held = held + b" " + part if held else part
+        last = held.rsplit(None, width)
+        if len(last) <= width:  # not enough words for a shingle yet, or just one
+            continue
+        hashes, _ = shingle_sets_at_once([held], width)
+        found = np.union1d(found, hashes)
+        held = b" ".join(last[1:])
+    if not len(found) or len(held.split()) >= width:
+        found = np.union1d(found, shingle_sets_at_once([held], width)[0])
+    return found, np.array([len(found)])
