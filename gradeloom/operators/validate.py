@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions.jsontext import whole_json
@@ -21,7 +21,7 @@ def with_ordinal(lines: DataFrame) -> DataFrame:
     block gives its offset. Lines are neither sorted nor, while that table fits a
     broadcast, shuffled.
     """
-    _pin_file_splits(lines.sparkSession)
+    lines = _same_blocks(lines)
     block = ["path", "block_start"]
     upto = Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
     numbered = lines.withColumn("_line", F.monotonically_increasing_id())
@@ -42,11 +42,14 @@ def with_ordinal(lines: DataFrame) -> DataFrame:
     )
 
 
-def _pin_file_splits(spark: SparkSession) -> None:
-    """Keep file splits from following the number of executors, which may change between scans."""
-    name = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(name, None) is None:
-        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+def _same_blocks(lines: DataFrame) -> DataFrame:
+    """The lines with their file blocks fixed, for every pass over them and every recomputation.
+
+    A scan is cut into blocks when it is planned, by the size of the cluster and the settings of that moment, and a second
+    pass is planned later. The partitions of an RDD are fixed when it is made.
+    """
+    spark = lines.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(lines._jdf.rdd(), lines._jdf.schema()), spark)
 
 
 def validate_sharegpt(lines: DataFrame, first_n: int | None = None, value: str = "value") -> DataFrame:

@@ -121,8 +121,7 @@ def _(spark, sf):
     path = scratch_path(spark, "documents")
     res = materialize(_with_model(results(spark, sf)), "results")
     runs = res.select("run_id", "model").distinct().withColumn("base_model", F.lit("base"))
-    names = [r.run_id for r in runs.select("run_id").collect()]  # a handful of stand-in runs
-    sinks.write_documents(sinks.run_documents(res, runs, names), path)
+    sinks.write_documents(sinks.run_documents(res, runs, RUN_IDS), path)
     docs = readers.read_runs(spark, path, on_error="fail", glob=readers.RUN_FOLDER_GLOB)
     run_table, tags, rows = readers.run_rows(docs)
     per_tag = tags.groupBy("run_id").agg(
@@ -164,8 +163,7 @@ def _(spark, sf):
     path = scratch_path(spark, "status")
     res, runs, tags, cycle = status_inputs(spark, sf)
     parts = status.status_parts(res, runs, tags, cycle)
-    names = [r.run_id for r in runs.select("run_id").collect()]  # a handful of stand-in runs
-    docs = sinks.status_documents(parts, names)
+    docs = sinks.status_documents(parts, RUN_IDS)
     sinks.write_documents(docs, path)
     back = spark.read.schema(docs.schema).json(path)
     return back.select(

@@ -69,24 +69,9 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def hot_key_join(big: DataFrame, other: DataFrame, key: str, salt_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join of two large sides, ``other`` having one row per key.
-
-    Keys with more than ``hot_rows`` rows are counted first. Each is divided by a salt into
-    pieces of about that size, and only its row of ``other`` is repeated, once per piece.
-    Without such keys this is a plain join.
-    """
-    pieces = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("bigint")
-    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    hot, small = materialize_measured(counts.select(key, pieces.alias("_pieces")), "hot-keys")
-    if hot.isEmpty():
-        return big.join(other, key)
-    if not small:
-        return salted_join(big, other, [key], salt_by)
-    n = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
-    left = big.join(F.broadcast(hot), key, "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), n))
-    right = other.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
-    return left.drop("_pieces").join(right.drop("_pieces"), [key, "_salt"]).drop("_salt")
+def hot_key_join(big: DataFrame, other: DataFrame, key: str, salt_by: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """:func:`counted_join`, inner, on one key."""
+    return counted_join(big, other, [key], salt_by, hot_rows=hot_rows)
 
 
 def lookup_join(
@@ -108,7 +93,30 @@ def join_measured(
     """:func:`lookup_join` with a table of :func:`materialize_measured`."""
     if fits:
         return big.join(F.broadcast(table), list(on), how)
-    return salted_join(big, table, on, salt_by, how)
+    return counted_join(big, table, on, salt_by, how)
+
+
+def counted_join(
+    big: DataFrame, other: DataFrame, on: Sequence[str], salt_by: Sequence[str], how: str = "inner", hot_rows: int | None = None
+) -> DataFrame:
+    """Join of two large sides, ``other`` having one row per key, inner or left.
+
+    Keys of ``big`` with more than ``hot_rows`` rows are counted first and divided by a salt into pieces of about that size;
+    the row of ``other`` is repeated only for them, once per piece. So the number of pieces follows the counts, and without
+    such keys this is a plain join.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    pieces = F.ceil(F.col("_n") / F.lit(float(hot_rows))).cast("bigint")
+    hot, small = materialize_measured(counts.select(*on, pieces.alias("_pieces")), "hot-keys")
+    if hot.isEmpty():
+        return big.join(other, list(on), how)
+    if not small:
+        return salted_join(big, other, on, salt_by, how)
+    n = F.coalesce(F.col("_pieces"), F.lit(1).cast("bigint"))
+    left = big.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), n))
+    right = other.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+    return left.drop("_pieces").join(right.drop("_pieces"), [*on, "_salt"], how).drop("_salt")
 
 
 def shuffle_hash(key: Column, seed: int) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeloom.functions.logs import LOSS_LINE
 from gradeloom.operators.scoring import attach_predictions, score_results
 from gradeloom.plans import sqltext as q
 
@@ -274,7 +275,8 @@ LOG_LINES_SQL = """log_lines AS (
         ELSE '{''loss'': ' || q || value || q || ', ''grad_norm'': 1.5, ''epoch'': ' || q || '0.' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') || q || '}' END AS line
     FROM (SELECT *, CASE WHEN event_type = 'view' THEN '''' ELSE '' END AS q FROM events)))"""
 
-_LOSS = r"""'''loss'':\s*''?([0-9.eE+-]+)''?.*?''epoch'':\s*''?([0-9.eE+-]+)''?'"""
+# The trainer's pattern as an SQL text.
+_LOSS = "'" + LOSS_LINE.replace("'", "''") + "'"
 POINTS_SQL = LOG_LINES_SQL + f""",
 points AS (
   SELECT run, ord, TRY_CAST(regexp_extract(line, {_LOSS}, 2) AS DOUBLE) AS epoch, TRY_CAST(regexp_extract(line, {_LOSS}, 1) AS DOUBLE) AS loss

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +51,25 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/gradeloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, inside that of the innermost :func:`scratch_scope`."""
+    return f"{_scope.get() or shared_dir(spark) + '/gradeloom'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str = "scope") -> Iterator[str]:
+    """Tables that operators store inside go to a folder of their own, which is dropped at the end.
+
+    Results are lazy and read these tables, so write or collect them inside.
+    """
+    folder = scratch_path(spark, label)
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

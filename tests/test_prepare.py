@@ -107,6 +107,20 @@ def test_lookup_join_is_the_same_salted_and_broadcast(spark, monkeypatch):
     assert out[0] == out[2] and out[1] == out[3] and len(out[1]) == 1000
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_pieces_follow_the_counts(spark, monkeypatch, how):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 20)
+    big = spark.range(1_000).select(F.col("id").alias("k"), F.when(F.col("id") < 600, "hot").when(F.col("id") % 50 == 0, None).otherwise(F.concat(F.lit("g"), F.col("id") % 40)).alias("g"), F.lit(1).alias("h"))
+    small = big.filter("g IS NOT NULL").select("g", "h").distinct().withColumn("v", F.concat("g", F.lit("!")))
+    want = {(r.k, r.g and r.g + "!") for r in big.collect() if how == "left" or r.g}
+    for hot in (10_000, 70, 7):
+        rows = skew.counted_join(big, small, ["g", "h"], ["k"], how, hot).collect()
+        assert len(rows) == len(want) and {(r.k, r.v) for r in rows} == want
+    # One hot key of 600 rows makes 9 pieces of about 70; no other row of the small side is repeated.
+    plan = skew.counted_join(big, small, ["g", "h"], ["k"], how, 70)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence(0" in plan
+
+
 def test_hot_key_join_keeps_every_row(spark):
     big = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"))
     other = spark.range(2900).select(F.col("id").alias("g"), (F.col("id") + 1).alias("v"))

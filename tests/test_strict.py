@@ -1,10 +1,16 @@
+from pathlib import Path
+
 import pytest
 from conftest import FAILED
 from pyspark.sql import functions as F
 
 from gradeloom.functions.jsontext import whole_json
 from gradeloom.operators import judge, prepare, validate
+from gradeloom.operators.validate import with_ordinal
+from gradeloom.plans import skew
+from gradeloom.session import scratch_path, scratch_scope
 from gradeloom.sources import readers
+from gradeloom.sources.readers import read_lines
 from gradeloom.streaming import alerts
 
 
@@ -80,3 +86,32 @@ def test_alerts_take_text_run_ids(spark, tmp_path):
     query.option("checkpointLocation", str(tmp_path / "state")).start().awaitTermination(120)
     assert [tuple(r) for r in spark.table("text_runs").collect()] == [("runA", 2, 0.5, 1.6)]
     assert dict(alerts.timer_alerts(points.select("run", "ord"), silence=1).dtypes)["run"] == "string"
+
+
+def test_stored_tables_go_with_their_scope(spark):
+    folder = lambda path: Path(path.removeprefix("file:"))
+    with scratch_scope(spark) as outer:
+        skew.materialize(spark.range(3), "kept")
+        with scratch_scope(spark) as inner:
+            table = skew.materialize(spark.range(5), "inner")
+            assert table.count() == 5 and inner.startswith(outer) and list(folder(inner).iterdir())
+        assert not folder(inner).exists() and len(list(folder(outer).iterdir())) == 1
+    assert not folder(outer).exists() and "scope" not in scratch_path(spark, "after")
+
+
+def test_numbers_do_not_follow_the_settings(spark, tmp_path):
+    (tmp_path / "t.jsonl").write_text("".join(f"line {i}\n\n" for i in range(3_000)))
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        numbered = with_ordinal(read_lines(spark, str(tmp_path / "t.jsonl")))
+        # Between the two passes the cut of the file changes.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        rows = numbered.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len({r.block_start for r in rows}) > 5
+    assert sorted((r.value, r.line_no, r.record_no) for r in rows) == sorted((f"line {i}", 2 * i + 1, i + 1) for i in range(3_000))
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before[1]
