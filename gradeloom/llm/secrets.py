@@ -4,8 +4,8 @@ Candidates are runs of code-like characters that hold a digit, and whatever is a
 a digit and of any characters. Each is described by its length, the changes between its character classes, the part of it
 that words of the corpus cover, path-like marks, and the words around it. A forest trained on labelled findings scores all
 of them. Findings can be labelled by people; ``rule_labels`` labels those whose surroundings or full form leave no doubt (an
-assignment to a secret's name; an address, a number), the forest judges the rest from the features, which do not hold the
-rules themselves.
+assignment to a secret's name, the form of a key; an address, a number), the forest judges the rest. Half of the secrets it
+learns from are shown without the name and the assignment, so that it has to look at the candidate itself.
 """
 
 from __future__ import annotations
@@ -39,6 +39,11 @@ ASSIGNED = rf"{_GIVEN}(?:" + "|".join((
 )) + ")"
 CANDIDATE = f"{ASSIGNED}|{CODE_RUN}"
 BEFORE_CHARS, AFTER_CHARS = 64, 32
+# Forms of keys that services give out.
+KEY_FORM = (
+    r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36,}$|^glpat-[0-9A-Za-z_\-]{20,}$|^xox[abprs]-[0-9A-Za-z\-]{10,}$"
+    r"|^[rs]k_(live|test)_[0-9A-Za-z]{16,}$|^AIza[0-9A-Za-z_\-]{35}$|^eyJ[0-9A-Za-z_\-]{8,}\.eyJ[0-9A-Za-z_\-]{8,}\.[0-9A-Za-z_\-]*$"
+)
 #: Words from this number of occurrences in the corpus on are in its dictionary.
 WORD_COUNT = 20
 WORD = "[a-z]{3,}"
@@ -67,7 +72,8 @@ def findings(docs: DataFrame, text: str = "text", doc: str = "doc_id", path: str
     """
     where = F.col(path).cast("string") if path else F.lit(None).cast("string")
     rows = docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), where.alias("path"))
-    rows = rows.filter(F.col("text").rlike(CANDIDATE))
+    # Any candidate has a digit or the sign of an assignment, which is looked for first: that is far cheaper.
+    rows = rows.filter(F.col("text").rlike("[0-9:=]") & F.col("text").rlike(CANDIDATE))
     rows = rows.select("doc_id", "path", F.xxhash64("text").alias("text_key"), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("gaps"))
     rows = rows.withColumn("sizes", F.expr("transform(found, (m, i) -> CAST(length(m) + length(gaps[i]) AS BIGINT))"))
     rows = rows.withColumn("stretches", F.expr("transform(sequence(0, size(sizes) div 256), k -> aggregate(slice(sizes, k * 256 + 1, 256), 0L, (s, x) -> s + x))"))
@@ -76,8 +82,8 @@ def findings(docs: DataFrame, text: str = "text", doc: str = "doc_id", path: str
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Adds ``label``: 1 for what is assigned to a secret's name and looks drawn at random or mixes three kinds of characters,
-    0 for addresses, numbers, what only stands for a value, and digests, identifiers and paths that nothing near them names or
+    """Adds ``label``: 1 for what is assigned to a secret's name and looks drawn at random or mixes three kinds of characters, and
+    for what has the form of a key (``KEY_FORM``) or is the password of a web address, wherever it stands; 0 for addresses, numbers, what only stands for a value, and digests, identifiers and paths that nothing near them names or
     assigns; else null."""
     c = F.col("candidate")
     given = F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]{{1,2}}>?\s*[\"']?$")
@@ -92,7 +98,8 @@ def rule_labels(found: DataFrame) -> DataFrame:
     identifier = c.rlike(r"^[A-Za-z]+([_.\-][A-Za-z]+)*[_.\-]?[0-9]{1,4}$")
     web_or_path = c.rlike(r"^[A-Za-z0-9_.\-]*[./][A-Za-z0-9_.\-]*[A-Za-z]{2,}[A-Za-z0-9_.\-]*/[A-Za-z0-9_./\-]*$")
     common = free & (digest | identifier | web_or_path)
-    secret = given & ~stand_in & (random | (mixed & ~address))
+    in_address = F.col("before").rlike(r"://[^\s/:@]{1,64}:$") & c.contains("@")
+    secret = (given & ~stand_in & (random | (mixed & ~address))) | c.rlike(KEY_FORM) | in_address
     return found.withColumn("label", F.when(secret, 1).when(number | address | stand_in | common, 0).cast("int"))
 
 
@@ -137,7 +144,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     """``doc_id, text_key, start, length, candidate, label, score, is_secret``: every candidate with the forest's probability.
 
     ``labelled (doc_id, start, label)`` are findings judged before; without it ``rule_labels`` gives the labels. Training uses
-    at most ``SAMPLE_FINDINGS`` of them, half of each kind. If they are not of both kinds there is nothing to learn: labels are the scores,
+    at most ``SAMPLE_FINDINGS`` of them, half of each kind. A labelled finding keeps its label, whatever its score. If they are not of both kinds there is nothing to learn: labels are the scores,
     and what has none is kept as no secret.
 
     A null or empty text has no candidates; a null ``doc_id`` is kept; equal rows have equal findings, each its own. An empty
@@ -157,6 +164,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     by_hash = [F.xxhash64("doc_id", "start", "candidate"), "doc_id", "start"]
     halves = [known.filter(F.col("label") == kind).orderBy(*by_hash).limit(SAMPLE_FINDINGS // 2) for kind in (0, 1)]
     sample = halves[0].unionByName(halves[1])
+    if labelled is None:
+        sample = _without_names(sample)
     sample = materialize(sample.select("label", *[f"f_{k}" for k in FEATURES]), "labelled")
     kinds = {r.label for r in sample.select("label").distinct().collect()}
     kept = ["doc_id", "text_key", "start", F.length("candidate").alias("length"), "candidate", "label"]
@@ -170,7 +179,18 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, text: str = "text",
     forest.fit(vector.transform(sample)).save(path)
     model = RandomForestClassificationModel.load(path)
     scored = model.transform(vector.transform(rows)).withColumn("score", vector_to_array("probability")[1])
-    return scored.select(*kept, "score", (F.col("score") >= 0.5).alias("is_secret"))
+    # What was judged, by people or by a rule that leaves no doubt, stays as it was judged.
+    return scored.select(*kept, "score", F.coalesce(F.col("label") == 1, F.col("score") >= 0.5).alias("is_secret"))
+
+
+def _without_names(sample: DataFrame) -> DataFrame:
+    """Half of the secrets of :func:`rule_labels` without the name and the assignment by which the rules knew them.
+
+    Else the forest would only learn these rules again. Bare digests keep theirs: without a name they are no secrets.
+    """
+    digest = F.col("candidate").rlike("^(?i)[0-9a-f]+$")
+    masked = (F.col("label") == 1) & ~digest & (F.pmod(F.xxhash64("candidate", F.lit(SEED)), F.lit(2)) == 0)
+    return sample.withColumns({f"f_{k}": F.when(masked, 0.0).otherwise(F.col(f"f_{k}")) for k in ("named", "assigned", "quoted")})
 
 
 def redact(docs: DataFrame, scanned: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:

@@ -238,6 +238,34 @@ def test_secrets_are_found_and_redacted(spark):
     assert not any(KEY in (t or "") for t in after.values())
 
 
+def test_secrets_without_a_name_are_found(spark):
+    """Held-out secrets stand in plain prose, with neither name nor assignment; look-alikes are digests, identifiers and paths."""
+    rnd = random.Random(8)
+    plain = lambda n: " ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 8))) for _ in range(n))
+    code = lambda n, of: "".join(rnd.choice(of) for _ in range(n))
+    mixed, hexes = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "0123456789abcdef"
+    kinds = {0: lambda: code(40, hexes), 1: lambda: f"model_{code(4, '0123456789')}", 2: lambda: f"docs/{plain(1)}/part{rnd.randrange(99)}.html", 3: lambda: f"{code(8, '123456789')}.{code(5, '0123456789')}"}
+    data = [(i, f'{plain(12)} {rnd.choice(["token", "api_key", "password"])} = "{code(rnd.randint(20, 40), mixed)}" {plain(9)}', "a.py") for i in range(150)]
+    data += [(1_000 + i, f"{plain(12)} {kinds[i % 4]()} {plain(9)}", "a.py") for i in range(400)]
+    bare = {2_000 + i: code(rnd.randint(20, 40), mixed) + "7x" for i in range(60)}
+    data += [(i, f"{plain(12)} {secret} {plain(9)}", "a.py") for i, secret in bare.items()]
+    forms = {3_000: "AKIA" + code(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")[:15] + "7", 3_001: "ghp_" + code(36, mixed)}
+    data += [(i, f"{plain(5)} {secret} {plain(5)}", "a.py") for i, secret in forms.items()]
+    data += [(3_002, f"{plain(3)} postgres://admin:hunter2secret9@db.example.com/x {plain(3)}", "a.py")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    rows = secrets.scan(docs, path="source").collect()
+    found = {r.doc_id for r in rows if r.is_secret}
+    true = set(range(150)) | set(bare) | set(forms) | {3_002}
+    held_out = {r.doc_id for r in rows if r.label is None}
+    assert set(bare) <= held_out
+    right = len(found & set(bare))
+    wrong = len({i for i in found if 1_000 <= i < 2_000})
+    assert right / len(bare) >= 0.9 and right / max(right + wrong, 1) >= 0.9, (right, wrong)
+    assert set(forms) | {3_002} | set(range(150)) <= found <= true | set(range(1_000, 1_400))
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, secrets.scan(docs, path="source")).filter("doc_id >= 3000").collect()}
+    assert "hunter2" not in clean[3_002] and not any(s in clean[i] for i, s in forms.items())
+
+
 def test_findings_given_by_people_are_learned(spark):
     data = [(i, f"see id:{i:030d}x{'q' if i % 2 else 'z' * 9}", "p") for i in range(100)]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
