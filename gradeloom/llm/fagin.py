@@ -9,6 +9,8 @@ blocks are ranked together.
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -64,20 +66,24 @@ def threshold_search(lists: np.ndarray, rows: np.ndarray, ids: np.ndarray, query
     return at[order], score[order], depth
 
 
-def exact_search(rows: list[list[int]], ids: np.ndarray, query: list[int], own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and scores of the best ``k`` rows in integers of any size; a score beyond 64 bits among them is an error."""
-    scores = {i: sum(a * b for a, b in zip(row, query, strict=True)) for i, row in enumerate(rows) if ids[i] != own}
+def exact_search(rows: list[list[int]], ids: np.ndarray, query: list[int], own: int, k: int) -> tuple[np.ndarray, list[int]]:
+    """Positions and scores of the best ``k`` rows, in integers of any size; scores end where 64 bits do."""
+    every = ((i, sum(a * b for a, b in zip(row, query, strict=True))) for i, row in enumerate(rows) if ids[i] != own)
+    scores = {i: max(min(score, IN_LONGS - 1), -IN_LONGS) for i, score in every}
     at = sorted(scores, key=lambda i: (-scores[i], ids[i]))[:k]
-    if any(not -IN_LONGS <= scores[i] < IN_LONGS for i in at):
-        raise OverflowError(f"a score of query {own} does not fit 64 bits")
-    return np.array(at, dtype=np.int64), np.array([scores[i] for i in at], dtype=np.int64)
+    return np.array(at, dtype=np.int64), [scores[i] for i in at]
+
+
+def whole_numbers(rows: np.ndarray) -> list[list[int]]:
+    return [[int(x) for x in row] for row in rows.tolist()]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query's ``k`` highest inner products (all, if there are fewer).
 
     Components are ``floor(64 * x)``. Ties go to the smaller id; rows with the query's id are its own and no candidates.
-    Scores are exact whatever the size of the components; one that belongs to the result and does not fit 64 bits is an error.
+    Scores are exact whatever the size of the components; one that does not fit 64 bits counts as the largest or smallest
+    number that does.
     Vectors that are null, or hold null, infinite or missing numbers, take no part, nor do rows without id; vectors are compared with those of their own length. A candidate id that repeats is a candidate each
     time; a query id that repeats is asked once. Empty tables give an empty result; other columns are not read.
     """
@@ -107,27 +113,35 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec: str = "vec_i
     def search(part: pd.DataFrame) -> pd.DataFrame:
         asks = part["asks"].to_numpy()
         ids = part["vec_id"].to_numpy()
-        values = np.stack(part["v"].to_numpy()).astype(np.float64)
+        values = np.nan_to_num(np.stack(part["v"].to_numpy()).astype(np.float64))  # 64 * x may be too much for a double
         own, rows = ids[~asks], values[~asks]
         found = {"query_id": [], "vec_id": [], "score": []}
         if len(rows):
+            # Rows with components so large that a product could leave 64 bits are few and looked at one by one.
+            limit = isqrt((IN_LONGS - 1) // rows.shape[1])
+            usual = np.abs(rows).max(axis=1) <= limit
+            odd, odd_ids = whole_numbers(rows[~usual]), own[~usual]
+            rows, own = rows[usual], own[usual]
             lists = np.argsort(rows, axis=0, kind="stable").T
-            # In Python's integers, so that the bound itself is exact.
-            largest = rows.shape[1] * int(np.abs(rows).max())
-            longs, wide = None, None
+            largest = rows.shape[1] * int(np.abs(rows).max(initial=0))
+            longs, every = None, None
             for query_id, query in zip(ids[asks].tolist(), values[asks], strict=True):
-                bound = largest * int(np.abs(query).max())
-                if bound < IN_DOUBLES:
+                top = int(np.abs(query).max())
+                if top > limit:
+                    every = whole_numbers(rows) if every is None else every
+                    at, score = exact_search(every, own, [int(x) for x in query.tolist()], query_id, k)
+                elif largest * top < IN_DOUBLES:
                     at, score, _ = threshold_search(lists, rows, own, query, query_id, k)
-                elif bound < IN_LONGS and max(largest, int(np.abs(query).max())) < IN_LONGS:
+                else:
                     longs = rows.astype(np.int64) if longs is None else longs
                     at, score, _ = threshold_search(lists, longs, own, query.astype(np.int64), query_id, k)
-                else:
-                    wide = [[int(x) for x in row] for row in rows.tolist()] if wide is None else wide
-                    at, score = exact_search(wide, own, [int(x) for x in query.tolist()], query_id, k)
-                found["query_id"].append(np.full(len(at), query_id))
-                found["vec_id"].append(own[at])
-                found["score"].append(score.astype(np.int64))
+                best = list(zip([int(x) for x in score], own[at].tolist(), strict=True))
+                if odd:
+                    at, score = exact_search(odd, odd_ids, [int(x) for x in query.tolist()], query_id, k)
+                    best = sorted([*best, *zip(score, odd_ids[at].tolist(), strict=True)], key=lambda r: (-r[0], r[1]))[:k]
+                found["query_id"].append(np.full(len(best), query_id))
+                found["vec_id"].append(np.array([r[1] for r in best], dtype=np.int64))
+                found["score"].append(np.array([r[0] for r in best], dtype=np.int64))
         return pd.DataFrame({name: np.concatenate(x) if x else np.zeros(0, np.int64) for name, x in found.items()})
 
     both = dealt(candidates, "c", "q").unionByName(dealt(asked, "q", "c"))
