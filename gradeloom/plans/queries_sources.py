@@ -15,7 +15,7 @@ from gradeloom.plans.registry import query
 from gradeloom.plans.skew import materialize
 from gradeloom.plans.standins import (
     BREAKDOWN_SQL, EXAMPLE_BLOCK_SQL, EXAMPLE_TAGS_SQL, EXAMPLES_SQL, LOG_LINES_SQL, RESULTS_SQL, SUMMARY_SQL,
-    examples, log_lines, results, table,
+    RUN_IDS, examples, log_lines, results, table,
 )
 from gradeloom.session import scratch_path
 from gradeloom.sources import readers, sinks
