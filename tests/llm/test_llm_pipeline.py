@@ -1,3 +1,5 @@
+import hashlib
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -36,9 +38,16 @@ def test_stages(spark, tmp_path):
     assert now.count() == before.count() and now.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_pieces"]
 
 
-@pytest.mark.parametrize("name", ["op10_token_counts", "op6_byte_bpe"])
+@pytest.mark.parametrize("name", ["op2_plane_files", "op5_quality_mil", "op6_byte_bpe", "op7_hypergeometric", "op9_mixing", "op10_token_counts"])
 def test_queries_have_a_row_per_document(spark, name):
-    assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    ids = [r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()]
+    assert sorted(r.doc_id for r in QUERIES[name](spark, SF).collect()) == sorted(ids)
+
+
+def test_secret_query_points_into_the_texts(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op4_secret_forest"](spark, SF).collect()
+    assert rows and all(hashlib.sha256(texts[r.doc_id][r.start : r.start + r.length].encode()).hexdigest() == r.candidate_sha256 for r in rows)
 
 
 @pytest.mark.parametrize("name", ["op11_spelling", "op12_filter_audit", "op13_chat_masks"])
