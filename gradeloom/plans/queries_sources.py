@@ -142,6 +142,17 @@ def _(spark, sf):
     return readers.read_results(spark, path, model="adapter").select("run_id", "rec_id", "score", "band")
 
 
+@query("cluster_runs", q.ctes(RESULTS_SQL, BREAKDOWN_SQL) + """SELECT r.run_id, r.rec_id, r.score, r.band, n.n_tags FROM results r
+JOIN (SELECT run_id, count(*) AS n_tags FROM breakdown GROUP BY run_id) n ON n.run_id = r.run_id""")
+def _(spark, sf):
+    path = scratch_path(spark, "clustered")
+    res = materialize(_with_model(results(spark, sf)), "results")
+    sinks.write_run(res, run_summary(res), f"{path}/by-run")
+    sinks.cluster_runs(spark, f"{path}/by-run", f"{path}/by-model")
+    tags = readers.read_run_tables(spark, f"{path}/by-model")["run_tags"].groupBy("run_id").agg(F.count(F.lit(1)).alias("n_tags"))
+    return readers.read_results(spark, f"{path}/by-model").select("run_id", "rec_id", "score", "band").join(tags, "run_id")
+
+
 @query("write_judged", q.ctes(RESULTS_SQL, PARSED_SQL, JUDGE_SUMMARY) + "SELECT * FROM judge_summary")
 def _(spark, sf):
     path = scratch_path(spark, "judged")

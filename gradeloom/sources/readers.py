@@ -16,6 +16,7 @@ from gradeloom.functions.names import file_stem, parse_run_name
 from gradeloom.functions.text import py_strip
 from gradeloom.operators.validate import with_ordinal
 from gradeloom.plans.once import compute_once
+from gradeloom.sources.sinks import run_folders
 
 log = logging.getLogger(__name__)
 
@@ -163,8 +164,7 @@ def read_run_tables(spark: SparkSession, root: str, prefix: str = "") -> dict[st
     ``prefix='judged_'`` reads those of judged runs. Columns of ``runs`` are those it was written with. Documents made
     elsewhere are read with :func:`read_runs` and taken apart with :func:`run_rows`.
     """
-    names = {"runs": "runs", "run_tags": "run_tags", "run_tag_scores": "run_tag_scores", "run_results": "results" if prefix else "run_results"}
-    return {name: spark.read.parquet(f"{root.rstrip('/')}/{prefix}{folder}") for name, folder in names.items()}
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{folder}") for name, folder in run_folders(prefix).items()}
 
 
 def read_results(spark: SparkSession, root: str, model: str | None = None, run_id: str | None = None) -> DataFrame:

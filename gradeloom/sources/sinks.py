@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeloom.functions.rules import priority_rank
@@ -142,6 +142,29 @@ def write_judged(df: DataFrame, path: str, runs: DataFrame | None = None) -> Non
     write_tables(path, ["model", "run_id"], judged_results=df, **{f"judged_{name}": t for name, t in tables.items()})
 
 
+def cluster_runs(spark: SparkSession, path: str, target: str, prefix: str = "") -> None:
+    """Tables of :func:`write_run` (``prefix='judged_'``: of :func:`write_judged`) stored again for many runs.
+
+    A folder per run lets one run be replaced by itself, but makes a small file for each; here the rows of a model lie in files
+    sorted by run, so a run is found by the files' statistics. Ranges take in the rows' order, so that a very large run is
+    divided too. :func:`gradeloom.sources.readers.read_results` and ``read_run_tables`` read either form.
+    """
+    for name, folder in run_folders(prefix).items():
+        rows = spark.read.parquet(f"{path.rstrip('/')}/{folder}")
+        keys = [c for c in ("model", "run_id") if c in rows.columns]
+        rows = rows.withColumns({c: F.col(c).cast("string") for c in keys})
+        order = [*keys, *[c for c in ("convention", "ord", "rec_id") if c in rows.columns]]
+        sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        writer = sorted_rows.write.mode("overwrite")
+        (writer.partitionBy("model") if "model" in keys else writer).parquet(f"{target.rstrip('/')}/{folder}")
+
+
+def run_folders(prefix: str = "") -> dict[str, str]:
+    """Folders of the tables of stored runs, by name of the table."""
+    names = {"runs": "runs", "run_tags": "run_tags", "run_tag_scores": "run_tag_scores", "run_results": "results" if prefix else "run_results"}
+    return {name: f"{prefix}{folder}" for name, folder in names.items()}
+
+
 def _generated(at: str | None) -> Column:
     """When a status was made: as given, or now, in UTC."""
     now = F.date_format(F.to_utc_timestamp(F.now(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
