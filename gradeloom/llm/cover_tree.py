@@ -1,9 +1,9 @@
 """Exact pairs of near vectors by cover trees traversed in pairs.
 
-Cosine ``c`` of unit vectors is a distance ``sqrt(2 - 2c)``, for which balls can be bounded. The upper two levels are Spark
-tables: the vectors of a label are divided among their nearest pivots (cells), cells into chunks of about ``CHUNK_ROWS``, each
-with its covering radius. Pairs of cells, then of their chunks, are dropped when their centres are further apart than both
-radii and the threshold. Each pair of chunks left is one group: a cover tree of each is built (nested levels with halving
+Cosine ``c`` of unit vectors is a distance ``sqrt(2 - 2c)``, for which balls can be bounded. The upper levels are Spark
+tables: the vectors of a label are divided among their nearest pivots, cells of more than ``CHUNK_ROWS`` again among pivots
+of their own, and so on, each with its covering radius. Pairs of cells are opened level by level, and dropped when their
+centres are further apart than both radii and the threshold. Each pair of cells left at the end is one group: a cover tree of each is built (nested levels with halving
 radii, every node's first child sharing its centre), and the trees are descended together. A pair of nodes too far
 apart is dropped, one that lies wholly within the threshold is counted without looking at its vectors, and only the
 rest is opened. Groups return counts and a spanning set of links, never all links.
@@ -24,6 +24,8 @@ from gradeloom.plans.skew import hot_key_join, join_measured, materialize, mater
 
 CHUNK_ROWS = 2_048
 MOST_PIVOTS = 64
+#: Levels of cells at most; what is larger than a chunk then is dealt into chunks by hash.
+MOST_LEVELS = 8
 LEAF = 24
 #: Distances closer than this to a bound are not decided by it.
 MARGIN = 1e-6
@@ -177,11 +179,90 @@ def _distance(a: str, b: str):
 
 
 def first_by_hash(classes: DataFrame, group: list[str]) -> DataFrame:
-    """``label, dim, rep, v_hash, place``: the first ``MOST_PIVOTS`` classes of each group by hash; vectors are not dealt out."""
+    """The group's columns, ``rep, v_hash, place``: the first ``MOST_PIVOTS`` classes of each group by hash; vectors are not dealt out."""
     narrow = classes.select(*group, "rep", F.xxhash64("v").alias("v_hash"))
     return top_k(narrow, group, [F.xxhash64("rep"), F.col("rep"), F.col("v_hash")], MOST_PIVOTS, "place")
 
 
+def _divided(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``cell`` and ``away``, the nearest of their group's pivots and the distance to it; and ``(group, cell, pivot)``.
+
+    A group has two pivots for each chunk it is worth, up to ``MOST_PIVOTS``, or one if it fits a chunk: vectors of its own, by
+    hash.
+    """
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    several = F.least(F.ceil(2 * F.col("n") / CHUNK_ROWS), F.lit(MOST_PIVOTS))
+    wanted = sizes.select(*group, F.when(F.col("n") > CHUNK_ROWS, several).otherwise(1).cast("int").alias("cells"))
+    picked = first_by_hash(rows, group).join(wanted, group).filter(F.col("place") <= F.col("cells"))
+    picked, few = materialize_measured(picked.select(*group, "rep", "v_hash", (F.col("place") - 1).alias("cell")), "picked")
+    # An id that repeats stands for several classes; the hash of the vector tells them apart.
+    pivots = join_measured(rows.withColumn("v_hash", F.xxhash64("v")), picked, few, [*group, "rep", "v_hash"], ["rep"])
+    pivots = pivots.dropDuplicates([*group, "cell"])
+    size = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x * x))
+    scaled = F.transform("v", lambda x: x.cast("double") / F.array_max(F.transform("v", lambda y: F.abs(y.cast("double")))))
+    pivots = pivots.withColumn("w", scaled).withColumn("pivot", F.transform("w", lambda x: x / size)).select(*group, "cell", "pivot")
+    pivots, few = materialize_measured(pivots, "pivots")
+    listed = pivots.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("cell", "pivot"))).alias("pivots"))  # at most MOST_PIVOTS
+    placed = join_measured(rows, listed, few, group, ["rep"])
+    unit = placed.withColumn("w", scaled).withColumn("u", F.transform("w", lambda x: x / size)).drop("w")
+    away = F.transform("pivots", lambda p: F.struct(
+        F.sqrt(F.greatest(F.lit(2.0) - F.lit(2.0) * F.aggregate(F.zip_with("u", p["pivot"], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), F.lit(0.0))).alias("away"),
+        p["cell"].alias("cell"),
+    ))
+    near = unit.withColumn("near", F.array_min(away))
+    return near.select("rep", "copies", *group, "v", F.col("near.cell").alias("cell"), F.col("near.away").alias("away")), pivots
+
+
+def _upper_levels(classes: DataFrame, label: list[str], reach: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The last cells of all levels: their rows ``(rep, copies, label, v, cell, away)``, ``(label, cell, pivot, n, radius)``, and the
+    pairs ``(label, cell_a, cell_b, d)`` of them that may hold links.
+
+    A cell is named by its path. A pair is opened into the pairs of both cells' children; a last cell stands for itself.
+    """
+    rows, by, leaves, pairs, ended = classes, label, [], None, []
+    for level in range(MOST_LEVELS):
+        placed, pivots = _divided(rows, by)
+        path = F.concat_ws(".", *(["parent"] if level else []), F.col("cell").cast("string")).alias("cell")
+        placed = materialize(placed.select("rep", "copies", *by, "v", path, "away"), "cells")
+        nodes = placed.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
+        nodes = nodes.join(pivots.select(*by, path, "pivot"), [*by, "cell"]).withColumn("open", F.col("n") > CHUNK_ROWS)
+        nodes, few = materialize_measured(nodes, "nodes")
+        # A cell that could not be divided further is a last one as well.
+        going_on = level + 1 < MOST_LEVELS and not nodes.filter("open").isEmpty()
+        last = ~F.col("open") if going_on else F.lit(True)
+        own = nodes.withColumn("last", last)
+        marked = join_measured(placed, own.select(*label, "cell", "last"), few, [*label, "cell"], ["rep"])
+        leaves.append(marked.filter("last").select("rep", "copies", *label, "v", "cell", "away"))
+
+        here = own if level else own.withColumn("parent", F.lit(""))
+        stay = [e.withColumn("parent", F.col("cell")) for e in ended]
+        steps = here.select(*label, "parent", "cell", "pivot", "radius")
+        for e in stay:
+            steps = steps.unionByName(e.select(*label, "parent", "cell", "pivot", "radius"))
+        one = steps.select(*label, *[F.col(c).alias(f"{c}_a") for c in ("parent", "cell", "pivot", "radius")])
+        two = steps.select(*label, *[F.col(c).alias(f"{c}_b") for c in ("parent", "cell", "pivot", "radius")])
+        if pairs is None:
+            met = one.join(two, label).filter("cell_a <= cell_b")
+        else:
+            above = pairs.select(*label, F.col("cell_a").alias("parent_a"), F.col("cell_b").alias("parent_b"))
+            met = above.join(one, [*label, "parent_a"]).join(two, [*label, "parent_b"])
+            met = met.filter("parent_a <> parent_b OR cell_a <= cell_b")
+        met = met.withColumn("d", _distance("pivot_a", "pivot_b")).filter(F.col("d") <= F.col("radius_a") + F.col("radius_b") + reach)
+        ordered = [F.least("cell_a", "cell_b").alias("cell_a"), F.greatest("cell_a", "cell_b").alias("cell_b")]
+        pairs = materialize(met.select(*label, *ordered, "d"), "cell-pairs")
+        ended.append(own.filter("last").select(*label, "cell", "pivot", "n", "radius"))
+        if not going_on:
+            break
+        opened = marked.filter("NOT last")
+        rows, by = materialize(opened.select("rep", "copies", *label, F.col("cell").alias("parent"), "v"), "open-cells"), [*label, "parent"]
+    celled, cells = leaves[0], ended[0]
+    for more in leaves[1:]:
+        celled = celled.unionByName(more)
+    for more in ended[1:]:
+        cells = cells.unionByName(more)
+    return materialize(celled, "last-cells"), cells, pairs
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.98, vec: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
     """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept``.
 
@@ -201,42 +282,17 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, vec: str = "vec_id",
     classes = keyed.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = materialize(classes.select("rep", "copies", "key.*"), "classes")
 
-    # Pivots: of each label, as many vectors as it has chunks, up to MOST_PIVOTS, by hash.
     group = ["label", "dim"]
-    sizes = classes.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    wanted = sizes.select(*group, F.least(F.ceil(F.col("n") / CHUNK_ROWS), F.lit(MOST_PIVOTS)).cast("int").alias("cells"))
-    picked = first_by_hash(classes, group).join(wanted, group).filter(F.col("place") <= F.col("cells"))
-    picked, few = materialize_measured(picked.select(*group, "rep", "v_hash", (F.col("place") - 1).alias("cell")), "picked")
-    # An id that repeats stands for several classes; the hash of the vector tells them apart.
-    pivots = join_measured(classes.withColumn("v_hash", F.xxhash64("v")), picked, few, [*group, "rep", "v_hash"], ["rep"])
-    pivots = pivots.dropDuplicates([*group, "cell"])
-    size = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, x: s + x * x))
-    scaled = F.transform("v", lambda x: x.cast("double") / F.array_max(F.transform("v", lambda y: F.abs(y.cast("double")))))
-    pivots = pivots.withColumn("w", scaled).withColumn("pivot", F.transform("w", lambda x: x / size)).select(*group, "cell", "pivot")
-    pivots, few = materialize_measured(pivots, "pivots")
-    several = pivots.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("cell", "pivot"))).alias("pivots"))  # at most MOST_PIVOTS
-    placed = join_measured(classes, several, few, group, ["rep"])
-    unit = placed.withColumn("w", scaled).withColumn("u", F.transform("w", lambda x: x / size)).drop("w")
-    away = F.transform("pivots", lambda p: F.struct(
-        F.sqrt(F.greatest(F.lit(2.0) - F.lit(2.0) * F.aggregate(F.zip_with("u", p["pivot"], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), F.lit(0.0))).alias("away"),
-        p["cell"].alias("cell"),
-    ))
-    celled = materialize(unit.withColumn("near", F.array_min(away)).select("rep", "copies", *group, "v", F.col("near.cell").alias("cell"), F.col("near.away").alias("away")), "cells")
-
+    celled, cells, near_cells = _upper_levels(classes, group, sqrt(max(2 - 2 * cosine, 0)) + MARGIN)
     cell = [*group, "cell"]
-    cells = celled.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius")).join(pivots, cell)
     cells, few_cells = materialize_measured(cells.withColumn("chunks", F.ceil(F.col("n") / CHUNK_ROWS).cast("int")), "cell-sizes")
     chunked = join_measured(celled, cells.select(*cell, "chunks"), few_cells, cell, ["rep"])
     chunked = chunked.withColumn("chunk", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("chunks")).cast("int")).drop("chunks")
     chunked = materialize(chunked, "chunks")
     chunks = materialize(chunked.groupBy(*cell, "chunk").agg(F.max("away").alias("radius")), "chunk-radii")
 
-    # Node pairs, from the upper level down: cells, then the chunks of the cells that are left.
+    # What is left of the pairs of cells, by their chunks.
     reach = sqrt(max(2 - 2 * cosine, 0)) + MARGIN
-    one = cells.select(*group, F.col("cell").alias("cell_a"), F.col("pivot").alias("pivot_a"), F.col("radius").alias("ra"))
-    two = cells.select(*group, F.col("cell").alias("cell_b"), F.col("pivot").alias("pivot_b"), F.col("radius").alias("rb"))
-    near_cells = one.join(two, group).filter("cell_a <= cell_b").withColumn("d", _distance("pivot_a", "pivot_b"))
-    near_cells = near_cells.filter(F.col("d") <= F.col("ra") + F.col("rb") + reach).select(*group, "cell_a", "cell_b", "d")
     a = chunks.select(*group, F.col("cell").alias("cell_a"), F.col("chunk").alias("chunk_a"), F.col("radius").alias("ra"))
     b = chunks.select(*group, F.col("cell").alias("cell_b"), F.col("chunk").alias("chunk_b"), F.col("radius").alias("rb"))
     pairs = near_cells.join(a, [*group, "cell_a"]).join(b, [*group, "cell_b"])

@@ -171,3 +171,35 @@ def test_few_edges_connect_what_links_connect(share):
         assert len(i) == len(j) <= rows + columns
         every = cover_tree.roots(rows + columns, np.nonzero(linked)[0], np.nonzero(linked)[1] + rows)
         assert (cover_tree.roots(rows + columns, i, j + rows) == every).all()
+
+
+@pytest.mark.parametrize(("chunk", "pivots", "levels"), [(8, 3, 8), (8, 3, 2), (4, 2, 3), (16, 64, 1)])
+def test_links_do_not_depend_on_levels(spark, monkeypatch, chunk, pivots, levels):
+    monkeypatch.setattr(cover_tree, "CHUNK_ROWS", chunk)
+    monkeypatch.setattr(cover_tree, "MOST_PIVOTS", pivots)
+    monkeypatch.setattr(cover_tree, "MOST_LEVELS", levels)
+    data = made(seed=levels) + ODD
+    vectors = table(spark, data)
+    monkeypatch.setattr(cover_tree, "LEAF", 3)
+    got = sorted((r.vec_id or -1, r.n_links, r.component_id or -1) for r in cover_tree.near_vectors(vectors, 0.99).collect())
+    monkeypatch.undo()
+    assert got == sorted((r.vec_id or -1, r.n_links, r.component_id or -1) for r in cover_tree.near_vectors(vectors, 0.99).collect())
+    assert sum(n for _, n, _ in got) > 200
+
+
+def test_pairs_of_cells_grow_with_the_clusters(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(cover_tree, "MOST_PIVOTS", 8)
+    found = []
+    for clusters in (16, 64):
+        rnd = np.random.default_rng(4)
+        centres = rnd.standard_normal((clusters, 24))
+        points = np.repeat(centres, 48, axis=0) + rnd.standard_normal((clusters * 48, 24)) * 0.01
+        classes = spark.createDataFrame([(i, 1, 0, 24, [float(x) for x in v]) for i, v in enumerate(points)], "rep bigint, copies bigint, label int, dim int, v array<float>")
+        rows, cells, pairs = cover_tree._upper_levels(classes, ["label", "dim"], math.sqrt(2 - 2 * 0.98))
+        assert rows.count() == clusters * 48 and cells.agg({"n": "max"}).first()[0] <= 16 and cells.agg({"n": "sum"}).first()[0] == clusters * 48
+        n = cells.count()
+        found.append((n, pairs.count()))
+    (few, few_pairs), (many, many_pairs) = found
+    # Four times the cells: without pruning the pairs would be sixteen times as many.
+    assert many > 3 * few and many_pairs < 8 * few_pairs and many_pairs < many * many / 8
