@@ -1,9 +1,9 @@
 """Exact pairs of near vectors by cover trees traversed in pairs.
 
 Cosine ``c`` of unit vectors is a distance ``sqrt(2 - 2c)``, for which balls can be bounded. The upper levels are Spark
-tables: the vectors of a label are divided among their nearest pivots, cells of more than ``CHUNK_ROWS`` again among pivots
-of their own, and so on, each with its covering radius. Pairs of cells are opened level by level, and dropped when their
-centres are further apart than both radii and the threshold. Each pair of cells left at the end is one group: a cover tree of each is built (nested levels with halving
+tables: the vectors of a label are divided among their nearest pivots, cells of more than two chunks of ``CHUNK_ROWS`` again among
+pivots of their own, and so on, each with its covering radius. Pairs of cells are opened level by level, and dropped when their
+centres are further apart than both radii and the threshold. Each pair of chunks of the cells left at the end is one group: a cover tree of each is built (nested levels with halving
 radii, every node's first child sharing its centre), and the trees are descended together. A pair of nodes too far
 apart is dropped, one that lies wholly within the threshold is counted without looking at its vectors, and only the
 rest is opened. Groups return counts and a spanning set of links, never all links.
@@ -187,12 +187,10 @@ def first_by_hash(classes: DataFrame, group: list[str]) -> DataFrame:
 def _divided(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with ``cell`` and ``away``, the nearest of their group's pivots and the distance to it; and ``(group, cell, pivot)``.
 
-    A group has two pivots for each chunk it is worth, up to ``MOST_PIVOTS``, or one if it fits a chunk: vectors of its own, by
-    hash.
+    A group has a pivot for each chunk it is worth, up to ``MOST_PIVOTS``: vectors of its own, by hash.
     """
     sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    several = F.least(F.ceil(2 * F.col("n") / CHUNK_ROWS), F.lit(MOST_PIVOTS))
-    wanted = sizes.select(*group, F.when(F.col("n") > CHUNK_ROWS, several).otherwise(1).cast("int").alias("cells"))
+    wanted = sizes.select(*group, F.least(F.ceil(F.col("n") / CHUNK_ROWS), F.lit(MOST_PIVOTS)).cast("int").alias("cells"))
     picked = first_by_hash(rows, group).join(wanted, group).filter(F.col("place") <= F.col("cells"))
     picked, few = materialize_measured(picked.select(*group, "rep", "v_hash", (F.col("place") - 1).alias("cell")), "picked")
     # An id that repeats stands for several classes; the hash of the vector tells them apart.
@@ -225,7 +223,7 @@ def _upper_levels(classes: DataFrame, label: list[str], reach: float) -> tuple[D
         path = F.concat_ws(".", *(["parent"] if level else []), F.col("cell").cast("string")).alias("cell")
         placed = materialize(placed.select("rep", "copies", *by, "v", path, "away"), "cells")
         nodes = placed.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
-        nodes = nodes.join(pivots.select(*by, path, "pivot"), [*by, "cell"]).withColumn("open", F.col("n") > CHUNK_ROWS)
+        nodes = nodes.join(pivots.select(*by, path, "pivot"), [*by, "cell"]).withColumn("open", F.col("n") > 2 * CHUNK_ROWS)
         nodes, few = materialize_measured(nodes, "nodes")
         # A cell that could not be divided further is a last one as well.
         going_on = level + 1 < MOST_LEVELS and not nodes.filter("open").isEmpty()
