@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gradeloom.session import scratch_path
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which stateful processors need, whatever the session's default is."""
+    named = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        if named is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, named)
+
 
 def drain(stream: DataFrame, label: str, mode: str = "append", key: str = "run", once: bool = False) -> DataFrame:
     """Process all input that is there, and return the result table.
@@ -15,7 +35,8 @@ def drain(stream: DataFrame, label: str, mode: str = "append", key: str = "run",
     Append output goes through the file sink. In update mode each micro-batch replaces its
     own folder, so a batch run again leaves no duplicates, and the table holds the newest
     row per ``key``. ``once`` takes everything in a single batch: a stream on the processing-time
-    clock would otherwise go on as long as a timer could still come.
+    clock would otherwise go on as long as a timer could still come. Of stateful processors, drain
+    inside :func:`rocksdb_state`.
     """
     spark = stream.sparkSession
     root = scratch_path(spark, label)

@@ -3,13 +3,17 @@
 The same processor serves two clocks. On the processing-time clock a service gives alerts while a run hangs. On the
 event-time clock recorded lines are replayed: a line counts at its own time and timers go off as the watermark passes them,
 so that a replay gives the same alerts every time and can be checked against a batch query.
+
+Start these streams inside :func:`gradeloom.streaming.sinks.rocksdb_state`, or in a session whose state store is RocksDB.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -23,6 +27,9 @@ LAUNCH, LINE, END = "launch", "line", "end"
 #: How long a warned run is remembered, and a silent one after its last line.
 KEEP_HOURS = 7 * 24
 
+# Processors go to the workers by value: these need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _WarnOnce(StatefulProcessor):
     """Gives the earliest late point of a run; a flag with a time to live keeps it from warning again."""

@@ -1,14 +1,20 @@
+import os
 import random
+import subprocess
+import sys
 import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from gradeloom.operators import trainlog
+from gradeloom.plans.catalog import QUERIES
+from gradeloom.plans.queries_trainlog import WALL
 from gradeloom.sources import readers
 from gradeloom.streaming import ingest, losses, watch
-from gradeloom.streaming.sinks import drain
+from gradeloom.streaming.sinks import STATE_STORE, drain
 
 START = datetime(2026, 1, 2, 10)
 
@@ -119,6 +125,43 @@ def test_silence_on_the_clock_of_the_service(spark, tmp_path):
     assert runs == {"writes", "never wrote"}
 
 
+HDFS_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+@pytest.mark.parametrize("name", ["early_warnings", "silence_timers", "wall_timers", "silence_from_launch"])
+def test_timers_run_whatever_state_store_the_session_names(spark, tmp_path, name):
+    at = [datetime(2024, 1, 1) + timedelta(days=3 * i) for i in range(4)]
+    events = [(i, t, 7, "click", 5.0, "{}") for i, t in enumerate(at, 21)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(9,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    named = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, HDFS_STORE)
+    try:
+        got = sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect()))
+        assert spark.conf.get(STATE_STORE) == HDFS_STORE
+    finally:
+        spark.conf.set(STATE_STORE, named)
+    epoch, six = datetime(1970, 1, 1), 6 * 3_600_000
+    day = [int((t - epoch).total_seconds() * 1000) for t in at]
+    launched = day[0] - 43_200_000
+    silent = [(7, "silence", d + six) for d in day[:-1]]
+    assert got == sorted({
+        "early_warnings": [(7, 21, 0.21, 5.0)],
+        "silence_timers": silent,
+        "wall_timers": [(7, "wall", day[0] + WALL * 1000)],
+        "silence_from_launch": [*silent, (9, "silence", launched + six)],
+    }[name])
+
+
+def test_processors_load_where_the_package_is_missing(tmp_path):
+    for processor in (watch._Watch(1, 2, 3, True), watch._WarnOnce(1)):
+        (tmp_path / "processor").write_bytes(cloudpickle.dumps(processor))
+        load = "import sys, pyspark.cloudpickle as c; print(type(c.loads(open('processor', 'rb').read())).__name__)"
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        done = subprocess.run([sys.executable, "-c", load], cwd=tmp_path, env=env, capture_output=True, text=True)
+        assert done.stdout.strip() == type(processor).__name__, done.stderr
+
+
 def log_text(run, n, seed):
     rnd = random.Random(seed)
     lines = []
