@@ -33,8 +33,9 @@ def loss_summary_columns() -> list[Column]:
     ]
 
 
-def loss_summary(points: DataFrame) -> DataFrame:
-    return points.groupBy("run").agg(*loss_summary_columns()).withColumn("health", loss_health(F.col("final_loss")))
+def loss_summary(points: DataFrame, *others: Column) -> DataFrame:
+    """The summary per run, with ``others``, aggregates of the same pass."""
+    return points.groupBy("run").agg(*loss_summary_columns(), *others).withColumn("health", loss_health(F.col("final_loss")))
 
 
 def with_step_estimate(summary: DataFrame, steps: str = "steps") -> DataFrame:

@@ -16,6 +16,7 @@ from gradeloom.functions.names import file_stem, parse_run_name
 from gradeloom.functions.text import py_strip
 from gradeloom.operators.validate import with_ordinal
 from gradeloom.plans.once import compute_once
+from gradeloom.plans.skew import lookup_join
 from gradeloom.sources.sinks import run_folders
 
 log = logging.getLogger(__name__)
@@ -216,7 +217,7 @@ def log_source(spark: SparkSession, path: str, streaming: bool = False) -> DataF
     return source.load(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
 
 
-def ordered_log(lines: DataFrame) -> DataFrame:
+def ordered_log(lines: DataFrame, archive: bool = False) -> DataFrame:
     """Log lines as ``(run, ord, ts, level, line)``, in the order in which each run wrote them.
 
     ``lines`` are whole files of :func:`log_source`. The run is the folder ``run=<run>`` or the name of the file without its
@@ -224,21 +225,44 @@ def ordered_log(lines: DataFrame) -> DataFrame:
     ``<run>.log.3``, ``part-3...`` in a folder; 0 if it has none) times ``FILE_LINES`` plus the number of the line in it. It
     depends on names and contents alone, not on blocks or on which files are read together, so a stream gives the same as
     a batch. Blank lines are left out.
+
+    Many runs with few lines each are better kept in an ``archive``: every line of its files is a run, a tab and a line of
+    the run's log, and the lines of a run lie together (else it raises). Runs are taken from the lines then, and lines are
+    counted from the first one of their run in the file.
     """
     name = F.regexp_extract("path", r"[^/]*$", 0)
     folder = F.regexp_extract("path", LOG_FOLDER, 1)
     run = F.when(folder != "", folder).otherwise(F.regexp_extract(name, LOG_NAME, 1))
     rotated = F.concat(F.regexp_extract(name, LOG_NAME, 2), F.regexp_extract(name, LOG_NAME, 3))
-    number = F.when(folder != "", F.regexp_extract(name, r"^part-(\d+)", 1)).otherwise(rotated)
+    in_parts = F.lit(True) if archive else folder != ""
+    number = F.when(in_parts, F.regexp_extract(name, r"^part-(\d+)", 1)).otherwise(rotated)
     ord_ = F.coalesce(number.try_cast("bigint"), F.lit(0).cast("bigint")) * F.lit(FILE_LINES) + F.col("line_no")
-    parsed = with_ordinal(lines).withColumn("p", parse_log_line(F.col("value")))
+    numbered = _archived(with_ordinal(lines)) if archive else with_ordinal(lines).withColumn("run", run)
+    parsed = numbered.withColumn("p", parse_log_line(F.col("value")))
     message = F.when(F.col("p").isNull(), F.col("value")).otherwise(F.col("p.msg"))
-    return parsed.select(run.alias("run"), ord_.alias("ord"), "p.ts", "p.level", message.alias("line"))
-
-
-def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    return parsed.select("run", ord_.alias("ord"), "p.ts", "p.level", message.alias("line"))
+
+
+def _archived(lines: DataFrame) -> DataFrame:
+    """Numbered lines ``(path, value, line_no)`` of an archive as those of its logs ``(path, run, value, line_no)``."""
+    tab = F.instr("value", "\t")
+    no_run = F.raise_error(F.concat(F.lit("a line without a run in "), F.col("path"))).cast("string")
+    entries = lines.select(
+        "path", F.when(tab > 0, F.substring_index("value", "\t", 1)).otherwise(no_run).alias("run"),
+        F.substr("value", tab + 1).alias("value"), "line_no",
+    )
+    lo, hi, n = F.min("line_no"), F.max("line_no"), F.count(F.lit(1))
+    apart = F.raise_error(F.concat(F.lit("lines of a run lie apart in "), F.col("path"), F.lit(": "), F.col("run"))).cast("bigint")
+    starts = entries.groupBy("path", "run").agg(lo.alias("_lo"), hi.alias("_hi"), n.alias("_n"))
+    starts = starts.select("path", "run", F.when(F.col("_hi") - F.col("_lo") + 1 == F.col("_n"), F.col("_lo")).otherwise(apart).alias("_start"))
+    logged = entries.filter(F.length(py_strip(F.col("value"))) > 0)
+    placed = lookup_join(logged, starts, ["path", "run"], ["line_no"], label="log-starts")
+    return placed.select("path", "run", "value", (F.col("line_no") - F.col("_start") + 1).alias("line_no"))
+
+
+def read_run_log(spark: SparkSession, path: str, archive: bool = False) -> DataFrame:
     """:func:`ordered_log` of the files at ``path``: what loss points, warnings and pauses are taken from."""
-    return ordered_log(log_source(spark, path))
+    return ordered_log(log_source(spark, path), archive)
 
 
 def resolve_dataset(

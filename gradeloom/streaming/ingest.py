@@ -10,7 +10,7 @@ from gradeloom.sources.readers import log_source, ordered_log
 LINES = "run string, ord bigint, ts timestamp_ntz, level string, line string"
 
 
-def ingest_logs(spark: SparkSession, path: str, target: str, checkpoint: str) -> DataStreamWriter:
+def ingest_logs(spark: SparkSession, path: str, target: str, checkpoint: str, archive: bool = False) -> DataStreamWriter:
     """Writer that appends the lines of new log files to the table ``target``; start it with the trigger of your choice.
 
     A file arrives whole in one batch, which is numbered as a table would be. Each batch replaces a folder of its own, so
@@ -18,7 +18,7 @@ def ingest_logs(spark: SparkSession, path: str, target: str, checkpoint: str) ->
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        ordered_log(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        ordered_log(batch, archive).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     lines = log_source(spark, path, streaming=True)
     return lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -6,10 +6,12 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import FAILED
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from gradeloom.operators import trainlog
+from gradeloom.plans import queries_streaming
 from gradeloom.plans.catalog import QUERIES
 from gradeloom.plans.queries_trainlog import WALL
 from gradeloom.sources import readers
@@ -219,3 +221,44 @@ def test_logs_are_ordered_alike_in_batch_and_stream(spark, tmp_path, block_bytes
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("block_bytes", ["300", "64m"])
+def test_archives_give_what_single_logs_give(spark, tmp_path, block_bytes):
+    texts = {f"r{i}": log_text(f"r{i}", 12 * i + 1, i) for i in range(9)}
+    want = {(run, (i % 2) * readers.FILE_LINES + no): line for i, (run, text) in enumerate(texts.items()) for no, line in enumerate(text.split("\n")[:-1], 1) if line.strip()}
+    (tmp_path / "logs").mkdir()
+    for part in (0, 1):
+        lines = [f"{run}\t{line}\n" for i, (run, text) in enumerate(texts.items()) if i % 2 == part for line in text.split("\n")[:-1]]
+        (tmp_path / "logs" / f"part-0000{part}-u.txt").write_text("".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = readers.read_run_log(spark, f"{tmp_path}/logs", archive=True).collect()
+        assert len(rows) == len(want) and {(r.run, r.ord) for r in rows} == set(want)
+        assert all(r.line == want[r.run, r.ord] if r.ts is None else want[r.run, r.ord].endswith(r.line) for r in rows)
+        ingest.ingest_logs(spark, f"{tmp_path}/logs", f"{tmp_path}/lines", f"{tmp_path}/cp", archive=True).trigger(availableNow=True).start().awaitTermination()
+        assert sorted(map(str, ingest.stored_lines(spark, f"{tmp_path}/lines").collect())) == sorted(map(str, rows))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize(("text", "message"), [("a\t1\nb\t1\na\t2\n", "lie apart"), ("a\t1\nno run here\n", "without a run")])
+def test_broken_archives_raise(spark, tmp_path, text, message):
+    (tmp_path / "part-00000").write_text(text)
+    with pytest.raises(FAILED, match=message):
+        readers.read_run_log(spark, str(tmp_path / "part-00000"), archive=True).collect()
+
+
+def test_logs_of_many_runs_are_few_files(spark, tmp_path):
+    rows = [(i, START + timedelta(seconds=i), i % 300 if i % 7 else None, "a\nb" if i % 5 == 0 else "click", 0.5, "{}") for i in range(900)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    path = queries_streaming.log_files(spark, str(tmp_path))
+    assert spark.read.text(path).select("_metadata.file_path").distinct().count() <= 8
+    got = readers.read_run_log(spark, path, archive=True).groupBy("run").agg(F.count("*").alias("n"), (F.max("ord") % readers.FILE_LINES).alias("last")).collect()
+    want = {}
+    for _, _, run, kind, _, _ in rows:
+        name = queries_streaming.NO_RUN if run is None else str(run)
+        want[name] = want.get(name, 0) + 1 + kind.count("\n")
+    assert {r.run: r.n for r in got} == want and all(r.n == r.last for r in got)
