@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import Lock
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,18 +17,34 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# Per session how many are inside rocksdb_state, and the state store that it named before the first of them.
+_inside: WeakKeyDictionary[SparkSession, tuple[int, str | None]] = WeakKeyDictionary()
+_lock = Lock()
+
+
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, which stateful processors need, whatever the session's default is."""
-    named = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB)
+    """Queries started inside keep their state in RocksDB, which stateful processors need, whatever the session's default is.
+
+    Threads may be inside side by side: the session's own state store comes back when the last has left.
+    """
+    with _lock:
+        users, named = _inside.get(spark, (0, None))
+        if not users:
+            named = spark.conf.get(STATE_STORE, None)
+            spark.conf.set(STATE_STORE, ROCKSDB)
+        _inside[spark] = users + 1, named
     try:
         yield
     finally:
-        if named is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, named)
+        with _lock:
+            users, named = _inside.pop(spark)
+            if users > 1:
+                _inside[spark] = users - 1, named
+            elif named is None:
+                spark.conf.unset(STATE_STORE)
+            else:
+                spark.conf.set(STATE_STORE, named)
 
 
 def drain(stream: DataFrame, label: str, mode: str = "append", key: str = "run", once: bool = False) -> DataFrame:

@@ -16,7 +16,7 @@ from gradeloom.plans.catalog import QUERIES
 from gradeloom.plans.queries_trainlog import WALL
 from gradeloom.sources import readers
 from gradeloom.streaming import ingest, losses, watch
-from gradeloom.streaming.sinks import STATE_STORE, drain
+from gradeloom.streaming.sinks import ROCKSDB, STATE_STORE, drain, rocksdb_state
 
 START = datetime(2026, 1, 2, 10)
 
@@ -155,6 +155,21 @@ def test_timers_run_whatever_state_store_the_session_names(spark, tmp_path, name
     }[name])
 
 
+def test_the_state_store_stays_while_another_query_needs_it(spark):
+    named = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, HDFS_STORE)
+    try:
+        first, second = rocksdb_state(spark), rocksdb_state(spark)
+        first.__enter__()
+        second.__enter__()
+        first.__exit__(None, None, None)
+        assert spark.conf.get(STATE_STORE) == ROCKSDB
+        second.__exit__(None, None, None)
+        assert spark.conf.get(STATE_STORE) == HDFS_STORE
+    finally:
+        spark.conf.set(STATE_STORE, named)
+
+
 def test_processors_load_where_the_package_is_missing(tmp_path):
     for processor in (watch._Watch(1, 2, 3, True), watch._WarnOnce(1)):
         (tmp_path / "processor").write_bytes(cloudpickle.dumps(processor))
