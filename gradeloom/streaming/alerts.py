@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -31,13 +32,17 @@ def first_per_batch(rows: DataFrame, by: str = "run", order: str = "ord") -> Dat
     """At most one row (the earliest) per run and Arrow batch, before any shuffle.
 
     Keeps a chatty run from sending all its lines to the one task that holds its state.
+    Arrow, not pandas: beside a null a whole number would become a float and lose digits.
     """
 
     def reduce(batches):
-        for pdf in batches:
-            yield pdf.sort_values(order).drop_duplicates(by)
+        for batch in batches:
+            lines = pa.Table.from_batches([batch]).sort_by(order)
+            lines = lines.append_column("_at", pa.array(range(len(lines)), pa.int64()))
+            first = lines.group_by(by).aggregate([("_at", "min")])["_at_min"]
+            yield from lines.drop_columns("_at").take(first).to_batches()
 
-    return rows.mapInPandas(reduce, rows.schema)
+    return rows.mapInArrow(reduce, rows.schema)
 
 
 def early_warning_stream(points: DataFrame, epoch: float = WARNING_EPOCH, loss: float = WARNING_LOSS) -> DataFrame:

@@ -155,6 +155,29 @@ def test_timers_run_whatever_state_store_the_session_names(spark, tmp_path, name
     }[name])
 
 
+LONG = 2**53 + 1
+
+
+def write_events(spark, folder, rows):
+    """The events and customer tables of ``(event_id, ts, user_id)``; every event is a late point."""
+    data = [(i, t, run, "click", 5.0, "{}") for i, t, run in rows]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(9,), (None,)], "c_custkey long").coalesce(1).write.parquet(f"{folder}/customer.parquet")
+
+
+@pytest.mark.parametrize("name", ["early_warnings", "early_warning_stream"])
+def test_long_run_ids_are_whole_beside_a_run_without_one(spark, tmp_path, name):
+    write_events(spark, tmp_path, [(122, START, LONG), (121, START, LONG), (123, START, None), (124, START, None)])
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        got = {tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert got == {(LONG, 121, 0.21, 5.0), (None, 123, 0.23, 5.0)}
+
+
 def test_the_state_store_stays_while_another_query_needs_it(spark):
     named = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, HDFS_STORE)
