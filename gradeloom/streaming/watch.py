@@ -12,7 +12,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from gradeloom.streaming.alerts import first_per_batch
 LAUNCH, LINE, END = "launch", "line", "end"
 #: How long a warned run is remembered, and a silent one after its last line.
 KEEP_HOURS = 7 * 24
+#: Milliseconds by which a replay's clock is ahead: watermarks begin at 1970, and what is older would count as late.
+AHEAD_MS = 2_000 * 366 * 86_400_000
 
 # Processors go to the workers by value: these need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -167,31 +170,35 @@ def watch_runs(
 
     With ``event_time`` the stream is a replay: lines count at their ``ts``, and time passes with the watermark, ``delay``
     behind the newest line. Lines are reduced to the first and last of each slot of ``silence`` seconds before they are
-    shuffled; within a slot no pause is long enough. A null ``ts`` says nothing and is left out.
+    shuffled; within a slot no pause is long enough. A null ``ts`` says nothing and is left out; lines without a run are
+    those of one run, as in a table grouped by it. The watermark of a replay runs ``AHEAD_MS`` ahead of its lines.
     """
     silence_ms, wall_ms, keep_ms = int(silence * 1000), int(wall * 1000), int(keep_hours * 3_600_000)
-    ms = F.unix_millis(F.col("ts").cast("timestamp")).alias("ms")
-    rows = history.filter("ts IS NOT NULL AND run IS NOT NULL").select("run", ms, "event")
-    rows = _slot_ends(rows, max(silence_ms, 1) if event_time else None)
+    ahead = AHEAD_MS if event_time else 0
+    # Cut towards zero, as SQL divides; unix_millis differs by one before 1970.
+    ms = F.expr(f"unix_micros(CAST(ts AS timestamp)) div 1000 + {ahead}").alias("ms")
+    rows = _slot_ends(history.filter("ts IS NOT NULL").select("run", ms, "event"), max(silence_ms, 1) if event_time else None)
     if event_time:
         rows = rows.withColumn("at", F.timestamp_millis("ms")).withWatermark("at", delay)
     start = None
     if launches is not None:
-        start = launches.filter("ts IS NOT NULL AND run IS NOT NULL").groupBy("run").agg(F.min(ms).alias("ms")).groupBy("run")
+        start = launches.filter("ts IS NOT NULL").groupBy("run").agg(F.min(ms).alias("ms")).groupBy("run")
     kind = history.schema["run"].dataType
     schema = StructType([StructField("run", kind)]).add("kind", "string").add("at_ms", LongType())
     processor = _Watch(silence_ms, wall_ms, keep_ms, event_time)
-    return rows.groupBy("run").transformWithState(processor, schema, "append", "EventTime" if event_time else "ProcessingTime", start)
+    alerts = rows.groupBy("run").transformWithState(processor, schema, "append", "EventTime" if event_time else "ProcessingTime", start)
+    return alerts.withColumn("at_ms", F.col("at_ms") - ahead) if ahead else alerts
 
 
 def _slot_ends(rows: DataFrame, slot_ms: int | None) -> DataFrame:
     """Per Arrow batch, run, event and slot of time the first and last row; without slots, of the batch."""
+    slot = F.floor(F.col("ms") / slot_ms) if slot_ms else F.lit(0).cast("bigint")
 
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            slot = pdf["ms"] // slot_ms if slot_ms else pdf["ms"] * 0
-            ends = pdf.groupby(["run", "event", slot.rename("slot")], sort=False)["ms"].agg(["min", "max"]).reset_index()
-            both = [ends[["run", c, "event"]].set_axis(["run", "ms", "event"], axis=1) for c in ("min", "max")]
-            yield pd.concat(both, ignore_index=True).drop_duplicates()
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = pa.Table.from_batches([batch]).group_by(["run", "event", "slot"]).aggregate([("ms", "min"), ("ms", "max")])
+            longer = ends.filter(pc.greater(ends["ms_max"], ends["ms_min"]))
+            for table, at in ((ends, "ms_min"), (longer, "ms_max")):
+                yield from pa.table([table["run"], table[at], table["event"]], ["run", "ms", "event"]).to_batches()
 
-    return rows.mapInPandas(reduce, rows.schema)
+    return rows.withColumn("slot", slot).mapInArrow(reduce, rows.schema)

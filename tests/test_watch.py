@@ -178,6 +178,26 @@ def test_long_run_ids_are_whole_beside_a_run_without_one(spark, tmp_path, name):
     assert got == {(LONG, 121, 0.21, 5.0), (None, 123, 0.23, 5.0)}
 
 
+@pytest.mark.parametrize("first", [START, datetime(1969, 11, 3, 4, 0, 0, 500)])
+def test_replays_have_lines_without_a_run_and_of_any_year(spark, tmp_path, first):
+    at = [first + timedelta(days=d) for d in (0, 1, 9, 20)]
+    write_events(spark, tmp_path, [(1, at[0], LONG), (2, at[1], None), (3, at[2], LONG), (4, at[3], None)])
+    a, b, c, _ = (int((t - datetime(1970, 1, 1)) / timedelta(milliseconds=1)) for t in at)
+    six = 6 * 3_600_000
+    silent = {(LONG, "silence", a + six), (LONG, "silence", c + six), (None, "silence", b + six)}
+    assert {tuple(r) for r in QUERIES["silence_timers"](spark, str(tmp_path)).collect()} == silent
+    assert {tuple(r) for r in QUERIES["wall_timers"](spark, str(tmp_path)).collect()} == {(LONG, "wall", a + WALL * 1000), (None, "wall", b + WALL * 1000)}
+
+
+def test_runs_launched_without_an_id_are_one_run(spark, tmp_path):
+    day = datetime(2024, 1, 1)
+    write_events(spark, tmp_path, [(1, day, 7), (2, day + timedelta(days=1), 7)])
+    launched, lines = (int((t - datetime(1970, 1, 1)) / timedelta(milliseconds=1)) for t in (datetime(2023, 12, 31, 12), day))
+    six = 6 * 3_600_000
+    want = {(7, "silence", lines + six), (9, "silence", launched + six), (None, "silence", launched + six)}
+    assert {tuple(r) for r in QUERIES["silence_from_launch"](spark, str(tmp_path)).collect()} == want
+
+
 def test_the_state_store_stays_while_another_query_needs_it(spark):
     named = spark.conf.get(STATE_STORE)
     spark.conf.set(STATE_STORE, HDFS_STORE)
